@@ -6,9 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What counts as white space at a line's end, and separators.
-WS_CHARS = "\t\x0b\x0c\x1c\x1d\x1e\x1f \x85\xa0                　"
-WS = r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0  -     　]"
-FIELD_SEPARATOR = "␞"
+WS_CHARS = (
+    "\t\x0b\x0c\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+WS = r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+FIELD_SEPARATOR = "\u241e"
 
 
 def text_or_empty(text: Column) -> Column:

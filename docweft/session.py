@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from .storage import ship
+
 
 def get_spark(app: str = "docweft", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the engine expects; a running session is reused."""
@@ -26,4 +28,5 @@ def get_spark(app: str = "docweft", master: str | None = None, **conf: str) -> S
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark

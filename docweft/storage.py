@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +51,20 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in the Python workers of all executors; once an application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="docweft-")) / "docweft.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, str(path.relative_to(package.parent)))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
