@@ -54,6 +54,8 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bytes of a string column without nulls (nulls are to be made empty before)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros(1, np.int64), np.empty(0, np.uint8)
     large = pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64 if large else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
