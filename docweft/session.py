@@ -20,6 +20,7 @@ def get_spark(app: str = "docweft", master: str | None = None, **conf: str) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
