@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, py_lower_strip
+from .text import WS, WS_CHARS
 
 # Fixed values.
 WEAK_SUMMARIES = ["pr", "fix", "fixed", "update", "changes", "cleanup", "clean up", "revert"]
@@ -50,10 +50,11 @@ def is_dangling_summary(summary: Column) -> Column:
 
 
 def ends_with_dangling_word(text: Column) -> Column:
-    """The subject's test: a linking word at the very end, or one parted by a space from a final mark."""
-    flat = py_lower_strip(F.coalesce(text, F.lit("")))
-    words = "|".join(DANGLING_WORDS)
-    return flat.rlike(rf"(?:\A|{WS})(?:{words})(?:{WS}+[.!?])?\z")
+    """The subject's test: a linking word at the very end, or one parted by white space from a final mark."""
+    flat = F.rtrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(WS_CHARS + "\n\r"))
+    spaced = F.regexp_extract(flat, rf"([a-z]+){WS}+[.!?]\z", 1)
+    word = F.when(spaced != "", spaced).otherwise(F.regexp_extract(flat, r"([a-z]+)\z", 1))
+    return word.isin(DANGLING_WORDS)
 
 
 def is_low_signal_message(message: Column) -> Column:
