@@ -7,7 +7,8 @@ import zipfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -46,6 +47,18 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_counted(df: DataFrame, name: str, *partition_by: str) -> tuple[DataFrame, int]:
+    """As ``written``, with the number of rows counted while they are written."""
+    seen = Observation()
+    return written(df.observe(seen, F.count(F.lit(1)).alias("n")), name, *partition_by), seen.get["n"]
+
+
+def drop_table(df: DataFrame) -> None:
+    """Deletes the files of a table that ``written`` made and nothing will read again."""
+    for path in {str(Path(f)).rpartition("/")[0] for f in df.inputFiles()}:
+        drop_path(df.sparkSession, path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file:///") else path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder written by this module."""
     jvm = spark.sparkContext._jvm
