@@ -34,7 +34,7 @@ def is_weak_issue_summary(summary: Column) -> Column:
     """True for summaries that say nothing: fixed words, three letters or less, or a dangling last word."""
     flat = collapse(F.coalesce(summary, F.lit("")))
     bare = F.lower(F.trim(F.regexp_replace(flat, r"^[ .,:;!\-_]+|[ .,:;!\-_]+$", "")))
-    words = F.regexp_replace(F.lower(last_word(flat)), r"^[.,;:!?]+|[.,;:!?]+$", "")
+    words = F.regexp_replace(last_word(bare), r"^[.,;:!?]+|[.,;:!?]+$", "")
     return (
         F.when((bare == "") | bare.isin(WEAK_SUMMARIES) | (F.length(bare) <= 3), True)
         .when(flat.rlike(r"[.!?]\z"), False)

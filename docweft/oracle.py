@@ -30,7 +30,7 @@ _LAST = "regexp_replace(lower(regexp_extract(flat, '[^ ]*$')), '^[.,;:!?]+|[.,;:
 def _weak(x: str) -> str:
     flat = _COLLAPSE.format(f"coalesce({x}, '')")
     bare = f"lower(trim(regexp_replace({flat}, '^[ .,:;!\\-_]+|[ .,:;!\\-_]+$', '', 'g')))"
-    last = _LAST.replace("flat", flat)
+    last = f"regexp_replace(regexp_extract({bare}, '[^ ]*$'), '^[.,;:!?]+|[.,;:!?]+$', '', 'g')"
     return f"""({bare} in ('', 'pr', 'fix', 'fixed', 'update', 'changes', 'cleanup', 'clean up', 'revert') or length({bare}) <= 3
       or (not regexp_matches({flat}, '[.!?]$') and {last} in {_DANGLING}))"""
 

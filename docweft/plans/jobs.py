@@ -69,7 +69,11 @@ def mined_samples(commits: DataFrame, file_changes: DataFrame, table: DataFrame)
     flags = known.join(good, ["slug", "h"], "left").select("slug", "h", F.coalesce("good", F.lit(False)).alias("good"))
     keyed = targets.withColumns({"slug": slug(F.col("project_slug")), "h": commit_hash(F.col("commit_hash"))})
     files = keyed.join(flags, ["slug", "h"], "left").where(F.coalesce("good", F.lit(True))).drop("slug", "h", "good")
-    pairs = aligned_pairs(table, files)
+    return samples_of(aligned_pairs(table, files))
+
+
+def samples_of(pairs: DataFrame) -> DataFrame:
+    """Classified pairs, the first of each content in scan order, classes bounded, each with its disposition."""
     labels = classify.with_gates(pairs)
     kept = pairs.join(labels, "pair_id").withColumns({"javadoc_before": F.col("old_javadoc"), "javadoc_after": F.col("new_javadoc"), "entity_type": F.col("new_entity_type")})
     order = F.struct("scan_seq", "file_seq", "file_id", "new_id")
