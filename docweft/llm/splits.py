@@ -28,6 +28,7 @@ def project_edges(commits: DataFrame) -> DataFrame:
         .where("node is not null and h is not null")
         .distinct()
     )
+    held = written(held, "held")  # four reads follow; the table of commits is read once
     rooted = held.join(roots(held), "h").select("node", "root")
     first = rooted.groupBy("root").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     return rooted.join(first, "root").where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
