@@ -157,7 +157,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 <<
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, fp, fp2, n, grams, tf): each row's set of shingles and two hashes of the set."""
+    """(id, text, others) to (id, fp, fp2, n, grams, tf, others): each row's set of shingles and two hashes of the set."""
     for batch in small_batches(batches, "text"):
         offsets, raw = buffers(batch.column("text"))
         h, r, tf = row_sets(*shingles(*token_hashes(offsets, raw, WORD_BYTES), width))
@@ -170,6 +170,7 @@ def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
                 "n": pa.array(np.diff(at).astype(np.int32)),
                 "grams": list_column(h.view(np.int64), at),
                 "tf": list_column(np.minimum(tf, 32767).astype(np.int16), at),
+                **{c: batch.column(c) for c in batch.schema.names if c not in ("id", "text")},
             }
         )
 
