@@ -21,7 +21,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..storage import written
@@ -35,6 +35,7 @@ MASK = (1 << SLOT_BITS) - 1
 SEGMENT = 2048  # words of a text numbered together
 LONG_WORD = 96  # bytes; longer words are merged by a heap in a Python worker, exactly alike
 SEPARATOR = "\x01"
+BROADCAST_BYTES = 64 << 20  # of words and ids; a larger dictionary is joined by a shuffle
 
 
 class Vocabulary:
@@ -198,8 +199,12 @@ def split_words(text: Column) -> Column:
 
 
 def _coded(documents: DataFrame, folder: str, name: str) -> DataFrame:
-    """(doc_id, th, codes, tails): ids of known words, and -1 - k for the k-th entry of ``tails``, the others."""
-    rows = documents.select("doc_id", F.xxhash64("text").alias("th"), split_words(F.col("text")).alias("words"))
+    """(doc_id, doc, th, codes, tails): ids of known words, and -1 - k for the k-th entry of ``tails``, the others.
+
+    ``doc`` and ``th`` (the id without null, a hash of text and null id) name a row's contents for plain equi joins.
+    """
+    key = {"doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "th": F.xxhash64("text", F.col("doc_id").isNull())}
+    rows = documents.select("doc_id", *[c.alias(n) for n, c in key.items()], split_words(F.col("text")).alias("words"))
     count = F.ceil(F.size("words") / SEGMENT).cast("int")
     starts = F.filter(F.sequence(F.lit(0), count), lambda i: i < count)
     parts = F.transform(starts, lambda i: F.slice(F.col("words"), i * SEGMENT + 1, SEGMENT))
@@ -213,7 +218,7 @@ def _coded(documents: DataFrame, folder: str, name: str) -> DataFrame:
             ),
         )
 
-    rows = rows.select("doc_id", "th", _bound(_word_tables(folder, name), lambda table: F.transform(parts, lambda words: part(table, words))).alias("parts"))
+    rows = rows.select("doc_id", "doc", "th", _bound(_word_tables(folder, name), lambda table: F.transform(parts, lambda words: part(table, words))).alias("parts"))
 
     def codes(done: Column, p: Column) -> Column:
         offset = F.size(done["tails"])
@@ -221,7 +226,7 @@ def _coded(documents: DataFrame, folder: str, name: str) -> DataFrame:
         return F.struct(F.concat(done["codes"], new).alias("codes"), F.concat(done["tails"], p["tail"]).alias("tails"))
 
     none = F.struct(F.expr("cast(array() as array<int>)").alias("codes"), F.expr("cast(array() as array<string>)").alias("tails"))
-    return rows.select("doc_id", "th", F.aggregate("parts", none, codes).alias("c")).select("doc_id", "th", "c.codes", "c.tails")
+    return rows.select("doc_id", "doc", "th", F.aggregate("parts", none, codes).alias("c")).select("doc_id", "doc", "th", "c.codes", "c.tails")
 
 
 def encode_words(words: DataFrame, folder: str = TOKENIZERS, name: str = VOCABULARY) -> DataFrame:
@@ -247,12 +252,15 @@ def encode(documents: DataFrame, folder: str = TOKENIZERS, name: str = VOCABULAR
     The texts of special tokens are ordinary text. Repeated rows are given as often as they stand.
     """
     coded = written(_coded(documents, folder, name), "coded")
-    tails = coded.where(F.size("tails") > 0).select("doc_id", "th", F.posexplode("tails").alias("k", "word"))
-    spelled = tails.join(encode_words(tails, folder, name), "word")
+    tails = coded.where(F.size("tails") > 0).select("doc", "th", F.posexplode("tails").alias("k", "word"))
+    # The dictionary grows with the corpus's vocabulary: it is broadcast only while its measured size allows.
+    size = Observation()
+    weighed = encode_words(tails, folder, name).observe(size, F.sum(F.octet_length("word") + F.size("ids") * 4 + 64).alias("bytes"))
+    dictionary = written(weighed, "dictionary")
+    spelled = tails.join(F.broadcast(dictionary) if (size.get["bytes"] or 0) <= BROADCAST_BYTES else dictionary, "word")
     # A set, since a document that stands twice brings every entry twice.
-    back = spelled.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("k", "ids"))).alias("entries"))
-    back = back.withColumnsRenamed({"doc_id": "b_id", "th": "b_th"})
-    joined = coded.drop("tails").join(back, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("th") == F.col("b_th")), "left")
+    back = spelled.groupBy("doc", "th").agg(F.array_sort(F.collect_set(F.struct("k", "ids"))).alias("entries"))
+    joined = coded.drop("tails").join(back, ["doc", "th"], "left")
     ids = F.flatten(F.transform("codes", lambda c: F.when(c >= 0, F.array(c)).otherwise(F.get(F.col("entries"), -1 - c)["ids"])))
     return joined.select("doc_id", ids.alias("ids"))
 
