@@ -57,4 +57,4 @@ def found(samples: DataFrame) -> DataFrame:
     """(keep_id, sample_id) of each member other than the smallest of its group."""
     members, groups = collapse(samples, "sample_id", canonical_sample())
     many = groups.where("copies > 1").drop("copies")
-    return members.join(many, ["h", "check", "len"]).where("id <> keep_id").select("keep_id", F.col("id").alias("sample_id"))
+    return members.join(many, ["h", "check", "len"]).where("id <> keep_id").select("keep_id", F.col("id").alias("sample_id")).distinct()

@@ -104,7 +104,7 @@ def found(samples: DataFrame) -> DataFrame:
     """(sample_id, field) of the comments that contain markup. Nulls and empty texts contain none."""
     fields = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("doc")) for f in FIELDS])
     each = samples.select("sample_id", F.explode(fields).alias("x")).select("sample_id", "x.field", "x.doc").where("doc is not null")
-    return each.where(F.size(kinds(F.col("doc"))) > 0).select("sample_id", "field")
+    return each.where(F.size(kinds(F.col("doc"))) > 0).select("sample_id", "field").distinct()
 
 
 _PRE = re.compile(r"<pre\b[^<>]*>(.*?)(?:</pre>|\Z)", re.S | re.I)

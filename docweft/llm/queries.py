@@ -53,8 +53,8 @@ e as (select sample_id, len(s) n, unnest(s) x from g)
 """
 _WEAK = """
 u as (select *, trim(regexp_replace(coalesce(issue_summary, ''), '\\s+', ' ', 'g')) flat from r),
-v as (select *, lower(trim(regexp_replace(flat, '^[ .,:;!\\-_]+|[ .,:;!\\-_]+$', '', 'g'))) bare,
-  regexp_replace(lower(regexp_extract(flat, '[^ ]*$')), '^[.,;:!?]+|[.,;:!?]+$', '', 'g') tail from u),
+t as (select *, lower(trim(regexp_replace(flat, '^[ .,:;!\\-_]+|[ .,:;!\\-_]+$', '', 'g'))) bare from u),
+v as (select *, regexp_replace(regexp_extract(bare, '[^ ]*$'), '^[.,;:!?]+|[.,;:!?]+$', '', 'g') tail from t),
 z as (select *, issue_summary is not null and not regexp_matches(flat, '(\\.\\.\\.|…)$') and not (
   bare in ('', 'pr', 'fix', 'fixed', 'update', 'changes', 'cleanup', 'clean up', 'revert') or length(bare) <= 3
   or (not regexp_matches(flat, '[.!?]$') and tail in ('by', 'to', 'for', 'with', 'of', 'in', 'on', 'and', 'or', 'from', 'into'))) usable from v)
