@@ -137,3 +137,66 @@ SQL: dict[str, str] = {
     "avg_max_multi": f"""with {_FLAT}, {_CHANGES}, k as (select count(*) n from c group by project_slug, commit_hash)
       select count(*)::bigint commits, sum(n)::bigint changes, round(avg(n), 4) average, max(n)::bigint largest, count(*) filter (n > 1)::bigint multi_change, count(*) filter (n > 3)::bigint more_than_three from k""",
 }
+
+
+_KEYWORDS = "('abstract','assert','boolean','break','byte','case','catch','char','class','continue','default','do','double','else','enum','extends','false','final','finally','float','for','if','implements','import','instanceof','int','interface','long','native','new','null','package','private','protected','public','record','return','short','static','strictfp','super','switch','synchronized','this','throw','throws','transient','true','try','void','volatile','while')"
+_BEHAVIOUR = "('break','case','catch','continue','default','else','false','if','new','null','return','switch','throw','true','try','while')"
+_SCAN = r"""(?s)//[^\n]*|/\*.*?\*/|/\*.*\z|"(?:\\.|[^"\\])*"|''(?:\\.|[^''\\])*''|"(?:\\.|[^"\\])*\\?\z|''(?:\\.|[^''\\])*\\?\z|[{}]"""
+_CODE_LINES = (
+    r"list_filter(list_transform(string_split(replace(replace(regexp_replace(c, '(?s)/\*.*?\*/|//[^\n]*', ' ', 'g'), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda y: "
+    + _strip("y")
+    + "), lambda y: y <> '' and not starts_with(y, '@'))"
+)
+_ENDS = " or ".join(f"ends_with(bare, '{e}')" for e in ("/**", "*", "(", ",", "=", "+"))
+# One row a sample and side: the scan, the declaration, and what is wrong as a method and as a class.
+_SNIPPETS = f"""z as (select sample_id, entity_type, 'before' side, coalesce(code_before, '') c from samples union all select sample_id, entity_type, 'after', coalesce(code_after, '') from samples),
+  t as (select *, regexp_extract_all(c, '{_SCAN}') k, {_CODE_LINES} ls from z),
+  y as (select *, list_position(list_transform(ls, lambda y: regexp_matches(y, '[{{;]')), true) at_ from t),
+  h as (select *, array_to_string(case when at_ > 0 then ls[1:at_] else ls end, ' ') head, list_filter(k, lambda y: y in ('{{', '}}')) br, coalesce(k[-1], '') last, rtrim(c, chr(10) || chr(13) || {_WS}) bare from y),
+  u as (select sample_id, side, unnest(list_transform(br, lambda y: case when y = '{{' then 1 else -1 end)) v, unnest(range(len(br))) i from h),
+  d as (select sample_id, side, sum(v) balance, min(run) low from (select *, sum(v) over (partition by sample_id, side order by i) run from u) group by 1, 2),
+  e as (select h.*, coalesce(balance, 0)::int balance, least(coalesce(low, 0), 0)::int lowest, starts_with(last, '/*') and not regexp_matches(last, '(?s)^/\\*.*\\*/$') open_comment,
+    regexp_matches(last, '^["'']') and not regexp_matches(last, '(?s)^(?:"(?:\\\\.|[^"\\\\])*"|''(?:\\\\.|[^''\\\\])*'')$') open_literal from h left join d using (sample_id, side)),
+  q as (select *, case when bare = '' then 'empty_code' when contains(c, '// ... relevant changed context ...') then 'placeholder_context'
+      when (length(c) - length(replace(c, '/**', ''))) / 3 > (length(c) - length(replace(c, '*/', ''))) / 2 then 'unclosed_javadoc' when {_ENDS} then 'unfinished_ending'
+      when open_comment then 'unclosed_comment' when open_literal then 'unclosed_string' when balance <> 0 or lowest < 0 then 'unbalanced_braces' end common,
+    regexp_extract(head, '\\b([A-Za-z_$][\\w$]*)\\s*\\([^;{{}}]*\\)', 1) method_name, regexp_matches(head, '\\b(?:class|interface|enum|record)\\s+[A-Za-z_$][\\w$]*') is_class from e),
+  x as (select *, coalesce(common, case when method_name in ('', 'if', 'for', 'while', 'switch', 'catch', 'return', 'throw', 'new') then 'missing_method_signature'
+      when case when contains(c, '{{') then not ends_with(bare, '}}') else not ends_with(bare, ';') end then 'unfinished_method' else '' end) as_method,
+    coalesce(common, case when not is_class then 'missing_class_declaration' when not ends_with(bare, '}}') then 'unfinished_class' else '' end) as_class from q)"""
+_TWO = f"tk as (select sample_id, {_TOKENS.format('code_before')} a, {_TOKENS.format('code_after')} b from samples)"
+_MULTI = f"""{_TWO}, ua as (select sample_id, unnest(a) t from tk), ub as (select sample_id, unnest(b) t from tk),
+  na as (select *, row_number() over (partition by sample_id, t) n from ua), nb as (select *, row_number() over (partition by sample_id, t) n from ub),
+  rm as (select sample_id, list(t order by t) l from (select * from na anti join nb using (sample_id, t, n)) group by 1), ad as (select sample_id, list(t order by t) l from (select * from nb anti join na using (sample_id, t, n)) group by 1),
+  df as (select tk.sample_id, a, b, coalesce(rm.l, []) removed, coalesce(ad.l, []) added from tk left join rm using (sample_id) left join ad using (sample_id))"""
+
+
+def _shape(x: str) -> str:
+    return f"list_transform({x}, lambda t: case when regexp_matches(t, '^[a-z_$][\\w$]*$') and t not in {_KEYWORDS} then 'id' || list_position({x}, t) else t end)"
+
+
+_DIRS = "string_split(lower(p), '/')[1:-2]"
+_CHANGED = "list_concat(removed, added)"
+SQL |= {
+    "path_filter": f"""select file_id, ends_with(p, '.java') and list_contains(string_split(lower(p), '/'), 'src') and string_split(lower(p), '/')[1] <> 'android'
+      and len(list_filter({_DIRS}, lambda d: d in ('test', 'tests', 'testdata', 'generated', 'target', 'build') or regexp_matches(d, '(?:^|[-_])(?:test|tests|testlib|testdata|benchmark|benchmarks|generated)(?:[-_]|$)'))) = 0
+      and not regexp_matches(string_split(p, '/')[-1], '^(?:Test.*|.*Tests?|.*TestCase)\\.java$') target from (select file_id, replace(coalesce(path, ''), chr(92), '/') p from file_changes)""",
+    "dangling_subject": f"""select sample_id, case when regexp_matches(l, '[a-z]+\\s+[.!?]$') then regexp_extract(l, '([a-z]+)\\s+[.!?]$', 1) else regexp_extract(l, '([a-z]+)$', 1) end in {_DANGLING} dangling
+      from (select sample_id, rtrim(lower(coalesce(issue_summary, '')), chr(10) || chr(13) || {_WS}) l from samples)""",
+    "brace_scan": f"with {_SNIPPETS} select sample_id, balance, lowest, open_comment, open_literal from e where side = 'after'",
+    "validate_snippet": f"with {_SNIPPETS} select sample_id, coalesce(common, case entity_type when 'method' then as_method when 'class' then as_class else 'unsupported_entity_type' end) problem from x where side = 'after'",
+    "infer_type": f"""with {_SNIPPETS} select b.sample_id, case when b.as_class = '' and a.as_class = '' then 'class' when b.as_method = '' and a.as_method = '' then 'method'
+      when b.is_class and a.is_class then 'class' when b.method_name <> '' and a.method_name <> '' and not b.is_class and not a.is_class then 'method' end inferred
+      from x b join x a using (sample_id) where b.side = 'before' and a.side = 'after'""",
+    "multiset_diff": f"with {_MULTI} select sample_id, array_to_string(removed, ' ') removed, array_to_string(added, ' ') added from df",
+    "substantial_code": f"""with {_MULTI} select sample_id, case when len(a) = 0 or len(b) = 0 or list_sort(a) = list_sort(b) then false when {_shape('a')} = {_shape('b')} then false
+      else len(list_filter({_CHANGED}, lambda t: t in {_BEHAVIOUR})) > 0 or len(list_filter({_CHANGED}, lambda t: t[1] in ('"', ''''))) > 0 or len({_CHANGED}) >= 4 end substantial from df""",
+    "unresolved_failures": """with f as (select distinct e.project_slug, e.commit_hash, 'git_extract_failed:' || side r from entities e left join file_changes c using (file_id) where case when side = 'old' then old_content else new_content end is null)
+      select project_slug, commit_hash, array_to_string(list_sort(list(r)), ',') reasons from f group by 1, 2""",
+    "repair_summaries": f"""with c as (select {_SLUG} s, nullif(regexp_replace({_strip("lower(commit_hash)")}, '^0+$', ''), '') h, commit_seq,
+        coalesce({_strip("list_filter(string_split(" + _unix("message") + ", chr(10)), lambda x: " + _strip("x") + " <> '')[1]")}, '') m from commits),
+      k as (select s, h, arg_min(m, commit_seq) m from c where s is not null and h is not null and m <> '' group by 1, 2),
+      w as (select sample_id, issue_summary, {_weak('issue_summary')} weak, {_SLUG} s, nullif(regexp_replace({_strip("lower(commit_hash)")}, '^0+$', ''), '') h from samples)
+      select sample_id, case when weak and m is not null and not {_weak('m')} then m else issue_summary end issue_summary,
+        case when not weak then 'existing_issue_summary' when m is not null and not {_weak('m')} then 'commit_subject' end issue_summary_source from w left join k using (s, h)""",
+}
