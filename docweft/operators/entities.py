@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,9 @@ from ..functions.java_entities import class_context_pair, parse_entities
 from ..functions.javadoc import semantic_tokens
 from ..functions.kernels import ratio, seq_ratio
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 ENTITY = (
     "entity_seq int, entity_type string, name string, signature string, javadoc string, start_line int, end_line int, "
     "return_type string, parameters array<string>, throws array<string>, code_start_line int, code_end_line int"
@@ -47,6 +50,8 @@ def both_sides(file_changes: DataFrame) -> DataFrame:
 
 def _greedy(group: pd.DataFrame) -> pd.DataFrame:
     """New entities in order take the most similar old one still free; ties by nearness, then by the later old."""
+    import pandas as pd
+
     old = group[group.side == "old"].sort_values("entity_seq").to_dict("records")
     free = list(range(len(old)))
     out = []

@@ -12,12 +12,15 @@ import shutil
 import subprocess
 from collections.abc import Iterator
 from pathlib import Path
+from typing import TYPE_CHECKING
 from urllib.parse import urlparse
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 COMMIT_SCHEMA = "scan_seq bigint, commit_hash string, message string, patch string, name_status string, error string"
 FILE_SCHEMA = "commit_hash string, scan_seq bigint, file_seq int, path string, old_content string, new_content string, error string"
 
