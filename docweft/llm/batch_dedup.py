@@ -16,10 +16,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import drop_path, fresh_path, written
+from ..storage import drop_path, fresh_path, written, written_counted
 from . import kernels as K
 from .near_dups import likeness, shingle_table
 
@@ -32,6 +32,7 @@ SEED = 31_013
 MOST_RUNS = 4
 BROADCAST_BYTES = 48 << 20  # a batch's side is broadcast only below this measured size; else both sides are shuffled
 MAX_ROUNDS = 10_000
+ROUNDS_A_JOB = 2
 SIGNED = "id bigint, fp bigint, fp2 bigint, n int, grams array<bigint>, key binary, batch bigint"
 
 
@@ -51,10 +52,10 @@ def exact_key() -> F.Column:
 
 
 def signed(samples: DataFrame) -> DataFrame:
-    """Each row's set and key, written by batch. A null batch comes first, as if it were the oldest."""
-    sets = shingle_table(samples.withColumn("sample_id", F.col("sample_id").cast("bigint")), "sample_id", FIELDS).drop("tf")
-    keys = samples.select(F.col("sample_id").cast("bigint").alias("id"), exact_key().alias("key"), F.coalesce(F.col("batch_id").cast("bigint"), F.lit(-1)).alias("batch"))
-    return written(sets.join(keys, "id").select("id", "fp", "fp2", "n", "grams", "key", "batch"), "signed", "batch")
+    """Each row's set and key, written by batch in one pass. A null batch comes first, as if it were the oldest."""
+    others = {"key": exact_key(), "batch": F.coalesce(F.col("batch_id").cast("bigint"), F.lit(-1))}
+    sets = shingle_table(samples, "sample_id", FIELDS, others=others)
+    return written(sets.select("id", "fp", "fp2", "n", "grams", "key", "batch"), "signed", "batch")
 
 
 def labelled(rows: DataFrame) -> DataFrame:
@@ -69,9 +70,14 @@ def labelled(rows: DataFrame) -> DataFrame:
     return rows.where("n > 0").select("id", "grams").mapInArrow(kernel, "label binary, id bigint")
 
 
-def _near(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A written table as the broadcast side if its measured size allows."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+def _side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """The smaller side of a join, broadcast if its measured size allows."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+
+
+def _none(spark: SparkSession, schema: str) -> DataFrame:
+    columns = (c.strip().split(" ", 1) for c in schema.split(","))
+    return spark.range(0).selectExpr(*[f"cast(null as {kind}) as {name}" for name, kind in columns])
 
 
 class Forest:
@@ -90,57 +96,75 @@ class Forest:
         df.write.option("compression", "zstd").parquet(path)
         return path
 
-    def labels(self) -> DataFrame | None:
-        return self.spark.read.schema("label binary, id bigint").parquet(*self.label_runs) if self.label_runs else None
+    def labels(self) -> DataFrame:
+        schema = "label binary, id bigint"
+        return self.spark.read.schema(schema).parquet(*self.label_runs) if self.label_runs else _none(self.spark, schema)
 
-    def rows(self) -> DataFrame | None:
-        return self.spark.read.schema("id bigint, grams array<bigint>, key binary").parquet(*self.row_runs) if self.row_runs else None
+    def rows(self) -> DataFrame:
+        schema = "id bigint, grams array<bigint>, key binary"
+        return self.spark.read.schema(schema).parquet(*self.row_runs) if self.row_runs else _none(self.spark, schema)
 
     def append(self, labels: DataFrame, rows: DataFrame) -> None:
         """Adds one run; when runs are many, all but the largest are merged into one."""
-        self.label_runs.append(self._write(labels.select("label", "id").repartitionByRange("label").sortWithinPartitions("label"), "labels"))
+        self.label_runs.append(self._write(_sorted_run(labels.select("label", "id")), "labels"))
         self.row_runs.append(self._write(rows.select("id", "grams", "key"), "rows"))
         if len(self.label_runs) > MOST_RUNS:
             old = self.label_runs[1:]
             merged = self.spark.read.schema("label binary, id bigint").parquet(*old)
-            self.label_runs = [self.label_runs[0], self._write(merged.repartitionByRange("label").sortWithinPartitions("label"), "labels")]
+            self.label_runs = [self.label_runs[0], self._write(_sorted_run(merged), "labels")]
             for path in old:
                 drop_path(self.spark, path)
 
-    def hits(self, labels: DataFrame, rows: DataFrame, depth: int) -> DataFrame:
-        """(id, other): rows whose label shares a prefix of ``depth`` values with an accepted row's, verified."""
+    def candidates(self, labels: DataFrame, rows: int, depth: int, own: DataFrame | None = None) -> tuple[DataFrame, int]:
+        """(a, b) and their number: rows whose label shares a prefix of ``depth`` values with an accepted row's.
+
+        With ``own``, the batch's labels, also pairs a > b among these.
+        """
         width = 1 + 4 * depth
         mine = labels.select(F.substring("label", 1, width).alias("prefix"), F.col("id").alias("a"))
-        size = labels.count() * (width + 24)
-        theirs = self.labels().select(F.substring("label", 1, width).alias("prefix"), F.col("id").alias("b"))
-        pairs = theirs.join(F.broadcast(mine) if size <= BROADCAST_BYTES else mine, "prefix").select("a", "b").distinct()
-        return verified(written(pairs, "candidates"), rows, self.rows())
+        theirs = self.labels().select(F.substring("label", 1, width).alias("prefix"), F.col("id").alias("b"), F.lit(False).alias("own"))
+        if own is not None:
+            theirs = theirs.union(own.select(F.substring("label", 1, width), "id", F.lit(True)))
+        pairs = theirs.join(_side(mine, rows * TREES, width + 24), "prefix").where("not own or a > b").select("a", "b").distinct()
+        return written_counted(pairs, "candidates")
 
 
-def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The (a, b) with likeness at or above the threshold; ``pairs`` is a written table."""
-    pairs = _near(pairs, 32)
-    near = left.select(F.col("id").alias("a"), F.col("grams").alias("ga")).join(pairs, "a")
+def _sorted_run(labels: DataFrame) -> DataFrame:
+    """Labels with the same beginning in one file, each file sorted: a prefix is one range of one file."""
+    parts = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return labels.repartition(parts, F.substring("label", 1, 3)).sortWithinPartitions("label")
+
+
+def verified(pairs: DataFrame, number: int, left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The (a, b) of ``number`` pairs with likeness at or above the threshold."""
+    near = left.select(F.col("id").alias("a"), F.col("grams").alias("ga")).join(_side(pairs, number, 32), "a")
     far = right.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
-    ids = _near(written(near.select("a", "b", "ga"), "left"), 4096)
-    return far.join(ids, "b").where(likeness(F.col("ga"), F.col("gb")) >= threshold).select("a", "b")
+    return far.join(_side(near, number, 4096), "b").where(likeness(F.col("ga"), F.col("gb")) >= threshold).select("a", "b")
 
 
 def _decide(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, accepted) of rows (id, cls, key) of one batch, in order of id, with links (c, d) between classes."""
-    state = rows.withColumn("status", F.lit(None).cast("boolean"))
+    """(id, accepted) of open rows (id, cls, key) of one batch, in order of id, with links (c, d) between classes.
+
+    A row belongs to its class and its key and watches these and the classes linked to its own. It is turned
+    away when a watched group has an accepted row before it, waits while one has an open row before it, and is
+    accepted otherwise. Groups are reduced to their smallest accepted and smallest open row.
+    """
+    named = {"c": F.concat(F.lit("c"), F.col("cls").cast("string")), "k": F.concat(F.lit("k"), F.hex("key"))}
+    own = rows.select("id", "cls", F.explode(F.array_compact(F.array(*named.values()))).alias("g"))
+    near = rows.join(links, F.col("cls") == F.col("c")).select("id", F.concat(F.lit("c"), F.col("d").cast("string")).alias("g"))
+    belongs, watches = own.select("id", "g"), own.select("id", "g").union(near)
+    state = rows.select("id", F.lit(None).cast("boolean").alias("accepted"))
     for _ in range(MAX_ROUNDS):
-        accepted, open_ = F.min(F.when(F.col("status"), F.col("id"))), F.min(F.when(F.col("status").isNull(), F.col("id")))
-        classes = state.where("cls is not null").groupBy("cls").agg(accepted.alias("acc"), open_.alias("und"))
-        linked = links.join(classes.withColumnRenamed("cls", "d"), "d").select(F.col("c").alias("cls"), "acc", "und")
-        around = classes.union(linked).groupBy("cls").agg(F.min("acc").alias("acc1"), F.min("und").alias("und1"))
-        keys = state.where("key is not null").groupBy("key").agg(accepted.alias("acc2"), open_.alias("und2"))
-        seen = state.join(around, "cls", "left").join(keys, "key", "left")
-        bar, wait = F.least("acc1", "acc2"), F.least("und1", "und2")
-        status = F.when(F.col("status").isNotNull(), F.col("status")).when(bar < F.col("id"), False).when(wait < F.col("id"), None).otherwise(True)
-        state = written(seen.select("id", "cls", "key", status.alias("status")), "round")
-        if state.where("status is null").isEmpty():
-            return state.select("id", F.col("status").alias("accepted"))
+        for _ in range(ROUNDS_A_JOB):
+            low = [F.min(F.when(c, F.col("id"))) for c in (F.col("accepted"), F.col("accepted").isNull())]
+            groups = state.join(belongs, "id").groupBy("g").agg(low[0].alias("done"), low[1].alias("open"))
+            seen = watches.join(groups, "g").groupBy("id").agg(F.min("done").alias("done"), F.min("open").alias("open"))
+            verdict = F.when(F.col("done") < F.col("id"), False).when(F.col("open") < F.col("id"), None).otherwise(True)
+            state = state.join(seen, "id").select("id", F.coalesce("accepted", verdict).alias("accepted"))
+        waiting = Observation()
+        state = written(state.observe(waiting, F.count_if(F.col("accepted").isNull()).alias("n")), "round")
+        if not waiting.get["n"]:
+            return state
     raise RuntimeError("a batch did not settle")
 
 
@@ -148,47 +172,46 @@ def check_batch(forest: Forest, batch: DataFrame) -> DataFrame:
     """(id, accepted) of the rows of one signed batch, and their entry into the forest.
 
     ``batch`` has the columns of ``signed``. Rows with an empty set can be turned away by their key only.
-    The work on history is one ordered look-up of the batch's prefixes; no accepted row is signed again.
+    Only one row of each set looks up the history: first by whole labels, then, with the sets left, by the
+    prefix that meets the recall target, together with the batch's own sets. No accepted row is signed again.
     """
-    labels = written(labelled(batch), "labels")
-    turned = batch.sparkSession.createDataFrame([], "id bigint")
-    if forest.labels() is not None:
-        keys = _near(batch.where("key is not null").select("id", "key"), 64)
-        turned = written(forest.rows().select("key").join(keys, "key").select("id").distinct(), "turned")
-        for depth in dict.fromkeys((DEPTH, least_depth())):
-            rest = labels.join(turned, "id", "left_anti")
-            hits = forest.hits(rest, batch, depth).select(F.col("a").alias("id"))
-            turned = written(turned.union(hits).distinct(), "turned")
-    rest = batch.join(turned, "id", "left_anti").where("n > 0").select("id", "fp", "fp2")
-    first = written(rest.groupBy("fp", "fp2").agg(F.min("id").alias("cls"), F.count("*").alias("copies")), "classes")
-    prefix = F.substring("label", 1, 1 + 4 * least_depth())
-    mine = labels.join(first.select(F.col("cls").alias("id")), "id", "left_semi").select(prefix.alias("prefix"), "id")
-    busy = mine.groupBy("prefix").agg(F.count("*").alias("c")).where("c > 1").select("prefix")
-    mine = mine.join(busy, "prefix", "left_semi")
-    pairs = mine.withColumnRenamed("id", "a").join(mine.withColumnRenamed("id", "b"), "prefix").where("a < b").select("a", "b").distinct()
-    near = written(verified(written(pairs, "candidates"), batch, batch), "links")
-    links = near.select(F.col("a").alias("c"), F.col("b").alias("d")).union(near.select("b", "a"))
-    # Rows alone in class and key and without links are accepted at once; only the others take rounds.
-    open_ = batch.join(turned, "id", "left_anti").join(first, ["fp", "fp2"], "left").withColumn("cls", F.when(F.col("n") > 0, F.col("cls")))
-    crowded = open_.where("key is not null").groupBy("key").agg(F.count("*").alias("same")).where("same > 1")
-    touched = links.select(F.col("c").alias("cls")).distinct().withColumn("linked", F.lit(True))
-    open_ = written(
-        open_.select("id", "cls", "key", "copies").join(crowded, "key", "left").join(touched, "cls", "left").select(
-            "id", "cls", "key", (F.coalesce("copies", F.lit(1)) > 1).alias("many"), F.col("same").isNotNull().alias("same"), F.coalesce("linked", F.lit(False)).alias("linked")
-        ),
-        "open",
-    )
-    contested = open_.where("(many and cls is not null) or same or linked")
-    decided = _decide(contested.select("id", "cls", "key"), links)
-    free = open_.where("not ((many and cls is not null) or same or linked)").select("id", F.lit(True).alias("accepted"))
-    result = written(free.union(decided).union(turned.select("id", F.lit(False))), "decided")
-    _enter(forest, batch, labels, result)
-    return result
-
-
-def _enter(forest: Forest, batch: DataFrame, labels: DataFrame, result: DataFrame) -> None:
+    full = batch.where("n > 0")
+    classes, sets = written_counted(full.groupBy("fp", "fp2").agg(F.min("id").alias("cls"), F.count("*").alias("copies")), "classes")
+    one = full.join(_side(classes.select(F.col("cls").alias("id")), sets, 32), "id", "left_semi").select("id", "n", "grams")
+    labels = written(labelled(one), "labels")
+    pairs, number = forest.candidates(labels, sets, DEPTH)
+    hit = written(verified(pairs, number, one, forest.rows()).select("a").distinct(), "hit")
+    rest = labels.join(hit, F.col("id") == F.col("a"), "left_anti")
+    pairs, number = forest.candidates(rest, sets, least_depth(), own=rest)
+    links = written(verified(pairs, number, one, forest.rows().select("id", "grams").union(one.select("id", "grams"))), "links")
+    inside = links.join(classes, F.col("b") == F.col("cls"), "left_semi")
+    linked = inside.select(F.col("a").alias("c"), F.col("b").alias("d")).union(inside.select("b", "a"))
+    # What is settled by history, and which rows depend on others of the batch.
+    against = links.join(classes, F.col("b") == F.col("cls"), "left_anti").select("a").union(hit).distinct()
+    keys = batch.where("key is not null").groupBy("key").agg(F.count("*").alias("same"))
+    old = forest.rows().select("key").join(_side(keys, sets, 64), "key").select("key").distinct().withColumn("old", F.lit(True))
+    told = (
+        batch.select("id", "n", "fp", "fp2", "key")
+        .join(classes, ["fp", "fp2"], "left")
+        .join(against.select(F.col("a").alias("cls"), F.lit(True).alias("hit")), "cls", "left")
+        .join(linked.select(F.col("c").alias("cls"), F.lit(True).alias("linked")).distinct(), "cls", "left")
+        .join(keys, "key", "left")
+        .join(old, "key", "left")
+    )
+    turned = F.coalesce("hit", F.lit(False)) | F.coalesce("old", F.lit(False))
+    contested = (F.coalesce("copies", F.lit(1)) > 1) | (F.coalesce("same", F.lit(1)) > 1) | F.coalesce("linked", F.lit(False))
+    disputes = Observation()
+    told = told.select("id", "cls", "key", turned.alias("turned"), (~turned & contested).alias("contested"))
+    told = written(told.observe(disputes, F.count_if("contested").alias("n")), "told")
+    result = told.where("not contested").select("id", (~F.col("turned")).alias("accepted"))
+    if disputes.get["n"]:
+        result = result.union(_decide(told.where("contested").select("id", "cls", "key"), linked))
     accepted = result.where("accepted").select("id")
-    forest.append(labels.join(accepted, "id", "left_semi"), batch.join(accepted, "id", "left_semi"))
+    # The label of a set enters with the set's first row, the rows enter one for one.
+    entered = told.join(accepted, "id", "left_semi").where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"))
+    named = labels.join(entered.withColumnRenamed("id", "first"), F.col("id") == F.col("cls")).select("label", F.col("first").alias("id"))
+    forest.append(named, batch.join(accepted, "id", "left_semi"))
+    return result
 
 
 def accept_all(forest: Forest, batch: DataFrame) -> DataFrame:
@@ -208,7 +231,7 @@ def decisions(samples: DataFrame, forest: Forest | None = None) -> DataFrame:
     rows = signed(samples)
     forest = forest or Forest(samples.sparkSession)
     numbers = [r["batch"] for r in rows.select("batch").distinct().orderBy("batch").collect()]
-    out = samples.sparkSession.createDataFrame([], "id bigint, accepted boolean")
+    out = _none(samples.sparkSession, "id bigint, accepted boolean")
     for number in numbers:
         batch = rows.where(F.col("batch") == number)
         out = out.union(accept_all(forest, batch) if number <= 0 else check_batch(forest, batch))
@@ -217,4 +240,4 @@ def decisions(samples: DataFrame, forest: Forest | None = None) -> DataFrame:
 
 def found(samples: DataFrame) -> DataFrame:
     """(sample_id) of the rows turned away."""
-    return decisions(samples).where("not accepted").select(F.col("id").alias("sample_id"))
+    return decisions(samples).where("not accepted").select(F.col("id").alias("sample_id")).distinct()
