@@ -30,6 +30,7 @@ MASKS = (
 )
 SUBSTITUTIONS = 2
 BLOCK_WORDS = 1_000_000
+DENSE = 2_000_000  # meetings of one text that are listed one by one
 WORDS = r"[^\p{L}\p{N}]+"
 
 
@@ -85,6 +86,64 @@ def _longest(equal: np.ndarray, allowed: int) -> tuple[int, int]:
     return best, subs
 
 
+def _diagonals(lo: np.ndarray, many: np.ndarray, hit: np.ndarray, rows: np.ndarray, at: np.ndarray, index: dict) -> list[np.ndarray]:
+    """Arrays (row, item, shift) of the diagonals with a hit.
+
+    A text that repeats itself meets an item that does so in a product of places. Where one text has more than
+    ``DENSE`` meetings, all diagonals of that text and the items it meets are given instead: at most as many as
+    both have words.
+    """
+    out = []
+    for begin, end, dense in _runs(rows[hit], many):
+        h, m, low = hit[begin:end], many[begin:end], lo[begin:end]
+        if not dense:
+            where = np.repeat(h, m)
+            entry = np.repeat(low - np.concatenate(([0], np.cumsum(m)[:-1])), m) + np.arange(m.sum())
+            out.append(np.unique(np.stack([rows[where], index["owner"][entry], where - index["place"][entry]]), axis=1))
+            continue
+        row = int(rows[h[0]])
+        first = np.unique(low, return_index=True)[1]
+        for item in np.unique(np.concatenate([index["owner"][low[k] : low[k] + m[k]] for k in first])):
+            shifts = np.arange(int(at[row]) - int(index["at"][item + 1]) + SPAN, int(at[row + 1]) - int(index["at"][item]) - SPAN + 1)
+            out.append(np.stack([np.full(len(shifts), row), np.full(len(shifts), item), shifts]))
+    return out
+
+
+def _runs(rows: np.ndarray, many: np.ndarray) -> Iterator[tuple[int, int, bool]]:
+    """(begin, end, dense) of the hits, whole rows together up to ``DENSE`` meetings; a row with more is alone."""
+    if not len(rows):
+        return
+    cuts = np.concatenate((np.flatnonzero(np.diff(rows)) + 1, [len(rows)]))
+    sums = np.concatenate(([0], np.cumsum(many)))
+    begin = last = 0
+    for cut in cuts.tolist():
+        if sums[cut] - sums[begin] > DENSE and last > begin:
+            yield begin, last, False
+            begin = last
+        if sums[cut] - sums[begin] > DENSE:
+            yield begin, cut, True
+            begin = cut
+        last = cut
+    if begin < len(rows):
+        yield begin, len(rows), False
+
+
+def _best(shifts: np.ndarray, doc: np.ndarray, doc_at: int, item: np.ndarray, item_at: int) -> tuple[int, int, int]:
+    """(longest exact run, longest run with substitutions, these) over diagonals, the longest overlap first."""
+    begin, end = np.maximum(doc_at, item_at + shifts), np.minimum(doc_at + len(doc), item_at + len(item) + shifts)
+    run = length = subs = 0
+    for k in np.argsort(begin - end, kind="stable").tolist():
+        a, b = int(begin[k]), int(end[k])
+        if b - a <= run or b - a < SPAN:
+            break
+        equal = doc[a - doc_at : b - doc_at] == item[a - shifts[k] - item_at : b - shifts[k] - item_at]
+        run = max(run, _longest(equal, 0)[0])
+        found, cost = _longest(equal, SUBSTITUTIONS)
+        if (found, -cost) > (length, -subs):
+            length, subs = found, cost
+    return run, length, subs
+
+
 def _scan(batches: Iterator[pa.RecordBatch], index: dict) -> Iterator[pa.RecordBatch]:
     for batch in K.small_batches(batches, "words"):
         offsets, raw = K.buffers(batch.column("words"))
@@ -98,34 +157,26 @@ def _scan(batches: Iterator[pa.RecordBatch], index: dict) -> Iterator[pa.RecordB
             lo = np.searchsorted(index["seeds"], h, "left")
             hit = np.flatnonzero((lo < len(index["seeds"])) & whole)
             hit = hit[index["seeds"][lo[hit]] == h[hit]]
-            if not len(hit):
-                continue
-            many = np.searchsorted(index["seeds"], h[hit], "right") - lo[hit]
-            where = np.repeat(hit, many)
-            entry = np.repeat(lo[hit] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
-            diagonals.append(np.stack([rows[where], index["owner"][entry], where - index["place"][entry]]))
+            if len(hit):
+                many = np.searchsorted(index["seeds"], h[hit], "right") - lo[hit]
+                diagonals += _diagonals(lo[hit], many, hit, rows, at, index)
         if not diagonals:
             continue
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for row, item, shift in np.unique(np.concatenate(diagonals, axis=1), axis=1).T.tolist():
-            # ``shift`` is the place in this batch's words minus the place in the items' words.
-            begin = max(int(at[row]), int(index["at"][item]) + shift)
-            end = min(int(at[row + 1]), int(index["at"][item + 1]) + shift)
-            equal = tokens[begin:end] == index["tokens"][begin - shift : end - shift]
-            run, _ = _longest(equal, 0)
-            length, subs = _longest(equal, SUBSTITUTIONS)
-            old = best.get((row, item), (0, 0, 0))
-            best[row, item] = (max(run, old[0]), *max((length, -subs), (old[1], -old[2])))
-            best[row, item] = (best[row, item][0], best[row, item][1], abs(best[row, item][2]))
-        keys = np.array(list(best), np.int64)
-        values = np.array(list(best.values()), np.int32)
+        row, item, shift = np.unique(np.concatenate(diagonals, axis=1), axis=1)
+        cuts = np.flatnonzero(np.diff(row, prepend=-1) | np.diff(item, prepend=-1))
+        values = []
+        for a, b in zip(cuts, [*cuts[1:], len(row)], strict=True):
+            r, i = int(row[a]), int(item[a])
+            d0, i0 = int(at[r]), int(index["at"][i])
+            values.append(_best(shift[a:b], tokens[d0 : at[r + 1]], d0, index["tokens"][i0 : index["at"][i + 1]], i0))
+        found_here = np.array(values, np.int32)
         yield pa.record_batch(
             {
-                "doc_id": pa.array(batch.column("doc_id").to_numpy()[keys[:, 0]]),
-                "item_id": pa.array(index["ids"][keys[:, 1]]),
-                "run": pa.array(values[:, 0]),
-                "overlap": pa.array(values[:, 1]),
-                "substitutions": pa.array(values[:, 2]),
+                "doc_id": pa.array(batch.column("doc_id").to_numpy()[row[cuts]]),
+                "item_id": pa.array(index["ids"][item[cuts]]),
+                "run": pa.array(found_here[:, 0]),
+                "overlap": pa.array(found_here[:, 1]),
+                "substitutions": pa.array(found_here[:, 2]),
             }
         )
 
