@@ -15,9 +15,9 @@ from .functions import java_scan, javadoc, messages, paths, summaries
 from .functions.kernels import seq_ratio, spelling_only
 from .functions.text import fingerprint, line_form, slug
 from .functions.tokens import identifier_shape, java_tokens, multiset_minus
-from .operators import classify, dedup, entities, limits, nest, quality, summarize
+from .operators import classify, dedup, entities, issues, limits, nest, quality, summarize
 from .oracle import SQL
-from .plans import jobs
+from .plans import jobs, recover
 from .storage import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -447,6 +447,24 @@ def reject_chain(samples: DataFrame) -> DataFrame:
     return jobs.rejected(samples).select("sample_id", "reject_reason")
 
 
+@_query("commits_nested", "entities", "file_changes")
+def recover_job(nested: DataFrame, table_: DataFrame, file_changes: DataFrame) -> DataFrame:
+    reasons = recover.reprocess(table_, file_changes)
+    return recover.report(reasons, recover.merge_recovered(recover.flat_changes(nested), reasons))
+
+
+@_query("commits_nested")
+def recovery_targets(nested: DataFrame) -> DataFrame:
+    return recover.targets(nested, 2).select("slug", "h", "current_change_count")
+
+
+@_query("commits", "samples")
+def resolve_issue_titles(commits: DataFrame, samples: DataFrame) -> DataFrame:
+    named = samples.where("issue_id is not null").select("project_slug", "issue_id", F.col("issue_summary").alias("title"), F.lit("jira_issue").alias("source"))
+    keyed = commits.select("commit_seq", slug(F.col("project_slug")).alias("project_slug"), "message", messages.issue_ids(F.col("message")).alias("issue_ids"))
+    return issues.resolve(keyed, named)
+
+
 @_query("samples")
 def quality_report_flat(samples: DataFrame) -> DataFrame:
     return quality.by_check(quality.flat_findings(samples.where("batch_id > 0"), samples.where("batch_id = 0")))

@@ -84,24 +84,30 @@ def with_gates(pairs: DataFrame) -> DataFrame:
     return kept.select("pair_id", label.alias("change_type"), F.round("similarity", 6).alias("similarity"))
 
 
+def with_line_forms(rows: DataFrame) -> DataFrame:
+    """``rows`` with the line form of each text as ``lf_`` columns, computed once for all rules that follow."""
+    return rows.withColumns({f"lf_{c}": line_form(F.col(c)) for c in ("code_before", "code_after", "javadoc_before", "javadoc_after")})
+
+
 def merge_reject_reason(has_fields: Column, entity_type: Column) -> Column:
-    """Why a flat change is left out of a merge; null to keep it. Texts are compared in line form."""
-    before, after = line_form(F.col("code_before")), line_form(F.col("code_after"))
-    old, new = line_form(F.col("javadoc_before")), line_form(F.col("javadoc_after"))
+    """Why a flat change is left out of a merge; null to keep it. Reads ``lf_`` columns."""
+    old, new = F.col("lf_javadoc_before"), F.col("lf_javadoc_after")
     return (
         F.when(~has_fields, "invalid_schema_or_empty_field")
         .when(entity_type.isNull(), "unknown_entity_type")
-        .when(before == after, "identical_code")
+        .when(F.col("lf_code_before") == F.col("lf_code_after"), "identical_code")
         .when(old == new, "identical_javadoc")
         .otherwise(F.nullif(javadoc.format_only_reason(old, new), F.lit("")))
     )
 
 
 def recovery_reject_reason(code_changed: Column, entity_type: Column) -> Column:
-    """The looser gates of a recovery run, in their order; empty to keep a pair."""
-    before, after = line_form(F.col("code_before")), line_form(F.col("code_after"))
-    old, new = line_form(F.col("javadoc_before")), line_form(F.col("javadoc_after"))
-    problems = [java_scan.snippet_problem(c, entity_type) for c in (before, after)]
+    """The looser gates of a recovery run, in their order; empty to keep a pair. Reads ``lf_`` columns."""
+    before, after, old, new = (F.col(f"lf_{c}") for c in ("code_before", "code_after", "javadoc_before", "javadoc_after"))
+
+    def invalid(side: str, code: Column, otherwise: Column) -> Column:
+        return let(java_scan.snippet_problem(code, entity_type), lambda p: F.when(p != "", F.concat(F.lit(f"invalid_code_{side}:"), p)).otherwise(otherwise))
+
     return (
         F.when((strip(text_or_empty(F.col("javadoc_before"))) == "") | (strip(text_or_empty(F.col("javadoc_after"))) == ""), "empty_javadoc")
         .when(javadoc.is_weak_inheritdoc(F.col("javadoc_after")), "weak_inheritdoc_only")
@@ -110,7 +116,5 @@ def recovery_reject_reason(code_changed: Column, entity_type: Column) -> Column:
         .when(before == after, "identical_code")
         .when(old == new, "identical_javadoc")
         .when(javadoc.format_only_reason(old, new) != "", "format_only_javadoc")
-        .when(problems[0] != "", F.concat(F.lit("invalid_code_before:"), problems[0]))
-        .when(problems[1] != "", F.concat(F.lit("invalid_code_after:"), problems[1]))
-        .otherwise("")
+        .otherwise(invalid("before", before, invalid("after", after, F.lit(""))))
     )

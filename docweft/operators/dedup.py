@@ -10,9 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.messages import is_weak_issue_summary
+from .running import running_sum
 
 
 def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str], kept: Sequence[str]) -> DataFrame:
@@ -64,10 +64,8 @@ def filter_with_limit(outcomes: DataFrame, source: str, order: str, most: int) -
 
     A source with fewer new rows is read to its end.
     """
-    # Running numbers need an order within a source; sources are few and their windows spill, not collect.
-    within = Window.partitionBy(source).orderBy(order)
-    numbered = outcomes.withColumn("_n", F.sum(F.when(F.col("outcome") == "new", 1).otherwise(0)).over(within))
-    read = numbered.where((F.col("_n") < most) | ((F.col("_n") == most) & (F.col("outcome") == "new")))
+    counted = running_sum(outcomes, [source], [order], F.when(F.col("outcome") == "new", 1).otherwise(0), "_n")
+    read = counted.where((F.col("_n") < most) | ((F.col("_n") == most) & (F.col("outcome") == "new")))
     return read.groupBy(source).agg(
         F.count_if(F.col("outcome") == "new").alias("kept"),
         F.count_if(F.col("outcome") == "in_frozen").alias("duplicate_against_baseline"),

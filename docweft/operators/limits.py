@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .running import numbered
+
 
 def sequence_ids(rows: DataFrame, source: str, order: str, prefix: str = "sample_") -> DataFrame:
     """Rows with ``seq_id``: prefix and a number of four digits or more, from 1 in each source."""
-    number = F.row_number().over(Window.partitionBy(source).orderBy(order))
-    return rows.withColumn("seq_id", F.format_string(prefix + "%04d", number))
+    return numbered(rows, [source], [order], "_n").withColumn("seq_id", F.format_string(prefix + "%04d", "_n")).drop("_n")
 
 
 def limit_per_source(rows: DataFrame, source: str, order: str, most: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import java_scan, javadoc, messages, paths, summaries
 from ..functions.text import WS_CHARS, commit_hash, fingerprint, line_form, slug, strip, text_or_empty
 from ..operators import classify, dedup, entities, nest, quality, summarize
+from ..storage import written
 
 TEXTS = ["code_before", "code_after", "javadoc_before", "javadoc_after"]
 ENTITY_COLUMNS = ["entity_type", "name", "parameters", "return_type", "throws", "signature", "javadoc", "code_start_line", "code_end_line"]
@@ -46,7 +47,9 @@ def recovered_changes(table: DataFrame, file_changes: DataFrame) -> DataFrame:
     """Every aligned pair of methods and classes with the recovery gates' reason; empty where it is kept."""
     pairs = aligned_pairs(table, file_changes).where("new_entity_type in ('method', 'class')")
     texts = pairs.withColumns({"javadoc_before": F.col("old_javadoc"), "javadoc_after": F.col("new_javadoc"), "entity_type": F.col("new_entity_type")})
-    return texts.withColumn("reason", classify.recovery_reject_reason(F.col("code_changed"), F.col("entity_type")))
+    forms = classify.with_line_forms(texts)
+    told = forms.withColumn("reason", classify.recovery_reject_reason(F.col("code_changed"), F.col("entity_type")))
+    return told.drop(*[f"lf_{c}" for c in TEXTS])
 
 
 def read_commits(commits: DataFrame) -> DataFrame:
@@ -74,6 +77,7 @@ def mined_samples(commits: DataFrame, file_changes: DataFrame, table: DataFrame)
 
 def samples_of(pairs: DataFrame) -> DataFrame:
     """Classified pairs, the first of each content in scan order, classes bounded, each with its disposition."""
+    pairs = written(pairs, "pairs")
     labels = classify.with_gates(pairs)
     kept = pairs.join(labels, "pair_id").withColumns({"javadoc_before": F.col("old_javadoc"), "javadoc_after": F.col("new_javadoc"), "entity_type": F.col("new_entity_type")})
     order = F.struct("scan_seq", "file_seq", "file_id", "new_id")
@@ -101,10 +105,13 @@ def missing_sides(table: DataFrame, file_changes: DataFrame) -> DataFrame:
 def rejected(samples: DataFrame) -> DataFrame:
     """Every sample with the merge's reason to leave it out; null where it is kept."""
     fields = F.lit(True)
-    for c in ("commit_hash", "issue_summary", *TEXTS):
+    for c in ("commit_hash", "issue_summary"):
         fields = fields & (line_form(F.col(c)) != "")
-    inferred = java_scan.infer_type(line_form(F.col("code_before")), line_form(F.col("code_after")))
-    return samples.withColumn("inferred_type", inferred).withColumn("reject_reason", classify.merge_reject_reason(fields, F.col("inferred_type")))
+    for c in TEXTS:
+        fields = fields & (F.col(f"lf_{c}") != "")
+    forms = classify.with_line_forms(samples)
+    typed = forms.withColumn("inferred_type", java_scan.infer_type(F.col("lf_code_before"), F.col("lf_code_after")))
+    return typed.withColumn("reject_reason", classify.merge_reject_reason(fields, F.col("inferred_type"))).drop(*[f"lf_{c}" for c in TEXTS])
 
 
 def repaired_summaries(changes: DataFrame, commits: DataFrame) -> DataFrame:
@@ -132,16 +139,17 @@ def repaired_summaries(changes: DataFrame, commits: DataFrame) -> DataFrame:
 def merge_and_clean(samples: DataFrame, commits: DataFrame) -> dict[str, DataFrame]:
     """Two datasets (batch 0 is the older) to one: reject, deduplicate by priority, repair, group, check, sum up."""
     normal = samples.withColumns({c: line_form(F.col(c)) for c in ("commit_hash", "issue_summary", *TEXTS)})
-    told = rejected(normal)
+    # Three results and the summary follow from these rows: the costly normal forms are computed once.
+    told = written(rejected(normal), "told")
     kept = told.where("reject_reason is null").withColumns(
         {"fp": fingerprint(*[F.col(c) for c in TEXTS]), "dataset": F.when(F.col("batch_id") == 0, "old").otherwise("new"), "source_order": F.col("sample_id")}
     )
     rank = dedup.priority_rank(F.col("issue_summary"), F.col("dataset") == "old", F.col("source_order"), F.col("sample_id"))
-    audit = dedup.priority_dedup(kept, "fp", rank, "sample_id")
+    audit = written(dedup.priority_dedup(kept, "fp", rank, "sample_id"), "audit")
     unique = kept.join(audit.where("is_kept").select("sample_id"), "sample_id", "left_semi")
-    repaired = repaired_summaries(unique, commits)
+    repaired = written(repaired_summaries(unique, commits), "repaired")
     resolved = repaired.where("issue_summary_source is not null").withColumns({"entity_type": F.col("inferred_type"), "repository_url": text_or_empty(F.col("repo"))})
-    nested = nest.group(resolved)
+    nested = written(nest.group(resolved), "nested")
     sizes = nested.select(F.size("changes").alias("size"))
     reasons = told.agg(
         F.count("*").alias("raw_changes"),

@@ -9,7 +9,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import sinks
 from ..functions import messages, paths, summaries
@@ -95,10 +94,14 @@ def mined(spark: SparkSession, options: MineOptions) -> tuple[DataFrame, DataFra
     return samples, counters
 
 
-def mine_repository(spark: SparkSession, options: MineOptions) -> dict:
-    """Mines one repository into ``output_dir`` and returns its counters."""
+def mine_repository(spark: SparkSession, options: MineOptions, baseline: DataFrame | None = None) -> dict:
+    """Mines one repository into ``output_dir`` and returns its counters; samples that stand in ``baseline`` are left out and counted."""
     samples, counters = mined(spark, options)
     samples = samples.persist()
+    known = 0
+    if baseline is not None:
+        found, samples = samples, dedup.not_in(samples, baseline, SIX).persist()
+        known = found.count() - samples.count()
     kept = sinks.write_samples(samples, options.output_dir, ["scan_seq", "file_seq", "new_id"], options.max_samples)
     told = samples.agg(
         F.count("*").alias("candidate_samples_found"), F.count_if(F.col("disposition") == "review").alias("moved_to_review"),
@@ -107,6 +110,7 @@ def mine_repository(spark: SparkSession, options: MineOptions) -> dict:
     last = kept.agg(F.count("*").alias("n"), F.count_if("issue_summary_fallback_applied").alias("f")).first()
     stats = counters.first().asDict() | told
     stats |= {"samples_retained": last["n"], "issue_summary_fallbacks": last["f"], "samples_filtered": max(0, told["candidate_samples_found"] - last["n"] - told["moved_to_review"])}
+    stats["duplicate_against_baseline"] = known
     stats["history_complete"] = options.full_history and (options.max_samples is None or last["n"] < options.max_samples)
     sinks.write_json(f"{options.output_dir}/stats.json", stats)
     return stats
@@ -130,11 +134,16 @@ def stop_reason(stats: dict, kept: int, remaining: int, options: ManyOptions) ->
     return f"target_total={options.target_total} reached" if kept >= remaining else "history_incomplete"
 
 
-def dataset_count(spark: SparkSession, folder: str) -> int:
-    """Samples of all projects under a final folder."""
+def read_final(spark: SparkSession, folder: str) -> DataFrame:
+    """The samples of all projects under a final folder; none if there are none."""
+    schema = ", ".join(f"{c} string" for c in SIX)
     if not any(Path(folder).glob("*/samples")):
-        return 0
-    return spark.read.schema(", ".join(f"{c} string" for c in SIX)).json(f"{folder}/*/samples").count()
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{folder}/*/samples")
+
+
+def dataset_count(spark: SparkSession, folder: str) -> int:
+    return read_final(spark, folder).count()
 
 
 def plan(options: ManyOptions, repositories: Iterable[Repository]) -> list[dict]:
@@ -153,6 +162,7 @@ def mine_multiple(spark: SparkSession, options: ManyOptions, repositories: Itera
     if options.dry_run:
         return []
     total, done = dataset_count(spark, options.final_dir), []
+    baseline = read_final(spark, options.baseline_dir) if options.baseline_dir else None
     for step in steps:
         if total >= options.target_total:
             break
@@ -164,7 +174,7 @@ def mine_multiple(spark: SparkSession, options: ManyOptions, repositories: Itera
             spec.url, options.cache_dir, staged, options.max_commits_per_repo or 1000, remaining, options.max_commits_per_repo is None, options.force_refresh
         )
         try:
-            stats = mine_repository(spark, mine)
+            stats = mine_repository(spark, mine, baseline)
         except (git.GitError, OSError) as error:
             done.append({"repository": spec.name, "project_slug": spec.slug, "error": str(error)[:1000]})
             continue
@@ -189,7 +199,29 @@ def continuation(samples: DataFrame, baseline: DataFrame, collected: DataFrame,
     keys = ["project_slug", *SIX]
     frozen = baseline.select(*keys).withColumn("_from", F.lit("baseline")).unionByName(collected.select(*keys).withColumn("_from", F.lit("collected")))
     told = dedup.against_frozen(samples, frozen.where("_from = 'baseline'"), keys, "source_order")
-    fresh = dedup.not_in(told.where("outcome = 'new'"), frozen.where("_from = 'collected'"), keys).withColumn("_n", F.row_number().over(Window.orderBy("source_order")))
-    kept = fresh if most is None else fresh.where(F.col("_n") <= most)
+    fresh = dedup.not_in(told.where("outcome = 'new'"), frozen.where("_from = 'collected'"), keys)
+    kept = fresh if most is None else fresh.orderBy("source_order").limit(most)
     counters = told.agg(F.count_if(F.col("outcome") == "in_frozen").alias("duplicate_against_baseline"), F.count_if(F.col("outcome") == "repeated").alias("duplicate_inside_new"))
-    return kept.drop("_n", "outcome"), counters
+    return kept.drop("outcome"), counters
+
+
+def refresh(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(all distinct samples, project counts) of a final folder, made anew from its projects.
+
+    Counts are taken before repeats across projects are dropped, so their sum can exceed the samples.
+    """
+    schema = "sample_id string, " + ", ".join(f"{c} string" for c in SIX)
+    read = spark.read.schema(schema).json(f"{folder}/*/samples").withColumn("project_slug", F.element_at(F.split("_metadata.file_path", "/"), -3))
+    sound = read.where(" and ".join(f"{c} is not null" for c in SIX))
+    first = dedup.keep_first(sound, ["project_slug", *SIX], ["sample_id"], ["sample_id"])
+    return first.drop("copies"), sound.groupBy("project_slug").agg(F.count("*").alias("retained_samples"))
+
+
+def render_readme(title: str, summary: dict, projects: Iterable[dict] = ()) -> str:
+    """A dataset's Markdown description from its summary and project rows."""
+    lines = [f"# {title}", "", "| Figure | Value |", "| --- | ---: |", *(f"| {k} | {v} |" for k, v in summary.items())]
+    rows = list(projects)
+    if rows:
+        head = list(rows[0])
+        lines += ["", "| " + " | ".join(head) + " |", "| " + " | ".join("---" for _ in head) + " |", *("| " + " | ".join(str(r.get(h, "")) for h in head) + " |" for r in rows)]
+    return "\n".join(lines) + "\n"

@@ -9,7 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from .operators import running
 
 SIX = ["commit_hash", "issue_summary", "code_before", "code_after", "javadoc_before", "javadoc_after"]
 SUMMARY = ["sample_id", "repo", "commit_hash", "file_path", "entity_type", "entity_name", "entity_signature", "javadoc_change_type", "method_change_type", "issue_id", "issue_summary"]
@@ -17,7 +18,7 @@ SUMMARY = ["sample_id", "repo", "commit_hash", "file_path", "entity_type", "enti
 
 def numbered(samples: DataFrame, order: list[str], most: int | None = None) -> DataFrame:
     """Retained samples with ``sample_id`` from ``sample_0001`` on, the first ``most`` in order."""
-    kept = samples.where("disposition = 'retain'").withColumn("_n", F.row_number().over(Window.orderBy(*order)))
+    kept = running.numbered(samples.where("disposition = 'retain'"), [], order, "_n")
     kept = kept if most is None else kept.where(F.col("_n") <= most)
     return kept.withColumn("sample_id", F.format_string("sample_%04d", "_n")).drop("_n")
 

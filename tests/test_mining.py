@@ -75,6 +75,12 @@ def test_mine_many(spark, repository, tmp_path):
     assert mining.dataset_count(spark, bounded.final_dir) == 0
     with pytest.raises(ValueError):
         mining.selected(specs, "unknown")
+    kept, counts = mining.refresh(spark, options.final_dir)
+    assert kept.count() == 1 and counts.first()["retained_samples"] == 1
+    again = mining.ManyOptions(str(tmp_path), str(tmp_path / "final3"), str(tmp_path / "cache"), baseline_dir=options.final_dir)
+    told = mining.mine_multiple(spark, again, specs[1:])[0]
+    assert told["duplicate_against_baseline"] == 1 and told["retained_samples"] == 0
+    assert "| commits | 2 |" in mining.render_readme("Title", {"commits": 2}, [{"project": "a", "n": 1}])
     options.dry_run = True
     assert mining.mine_multiple(spark, options, specs) == []
 

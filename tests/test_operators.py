@@ -227,3 +227,37 @@ def test_stream_keeps_first_contents(spark, tmp_path):
     seen = []
     streams.run_available(streams.first_contents(stream, "t"), lambda df, _: seen.extend(df.select("code_before").collect()), str(tmp_path / "state"))
     assert sorted(r[0] for r in seen) == [f"a{i}" for i in range(7)]
+
+
+def test_running_sums_over_many_partitions(spark):
+    from docweft.operators import running
+
+    rng = random.Random(8)
+    data = [(rng.choice(["hot", "hot", "hot", "b", None]), i, rng.randint(0, 3)) for i in range(500)]
+    df = spark.createDataFrame(data, "g string, i long, v long").repartition(5)
+    got = {(r["g"], r["i"]): (r["s"], r["n"]) for r in running.numbered(running.running_sum(df, ["g"], ["i"], F.col("v"), "s"), [], ["i"], "n").collect()}
+    sums = {}
+    for n, (g, i, v) in enumerate(data, 1):
+        sums[g] = sums.get(g, 0) + v
+        assert got[g, i] == (sums[g], n)
+
+
+def test_issue_titles(spark):
+    from docweft.operators import issues
+
+    commits = spark.createDataFrame([(1, "p", "Fix AB-1 and #2\n\nx", ["AB-1", "#2"]), (2, "p", "Repair it (AB-3)", ["AB-3"]), (3, "p", "Plain words", [])], "commit_seq long, project_slug string, message string, issue_ids array<string>")
+    titles = spark.createDataFrame([("p", "AB-1", "Pull title", "pull_request"), ("p", "#2", "Issue title", "github_issue"), ("p", "AB-3", "AB-3", "jira_issue"), ("p", "AB-3", None, "jira_issue"), ("q", "AB-3", "Other", "jira_issue")], "project_slug string, issue_id string, title string, source string")
+    assert rows(issues.resolve(commits, titles)) == [(1, "#2", "Issue title"), (2, "AB-3", "Repair it"), (3, "", "Plain words")]
+
+
+def test_recovery(spark):
+    from docweft.plans import recover
+
+    nested = spark.createDataFrame([(1, "P/x", "u", "AB", "Say it well", [(1, "method", "a", "b", "c", "d"), (2, "method", "e", "f", "g", "h")])], "row_seq long, project_slug string, repository_url string, commit_hash string, issue_summary string, changes array<struct<change_index:int,entity_type:string,code_before:string,code_after:string,javadoc_before:string,javadoc_after:string>>")
+    assert rows(recover.targets(nested, 2)) == [("p_x", "ab", 2, "Say it well")]
+    data = [(1, 10, "p", "h", "method", "", "a", "b", "c", "d \n"), (1, 11, "p", "h", "method", "", "n", "m", "o", "p"), (1, 12, "p", "h", "method", "", "n ", "m", "o", "p"), (1, 13, "p", "h", "method", "format_only_javadoc", "x", "y", "z", "w")]
+    reasons = spark.createDataFrame(data, "file_id long, new_id long, project_slug string, commit_hash string, new_entity_type string, reason string, code_before string, code_after string, javadoc_before string, javadoc_after string")
+    parts = recover.merge_recovered(recover.flat_changes(nested), reasons)
+    assert rows(parts["audit"]) == [("in_frozen", 1), ("new", 1), ("repeated", 1)]
+    summary = recover.report(reasons, parts).first().asDict()
+    assert (summary["raw_recovered"], summary["format_only"], summary["new_changes"], summary["commits"], summary["changes"]) == (3, 1, 1, 2, 3)
