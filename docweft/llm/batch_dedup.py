@@ -120,12 +120,13 @@ class Forest:
 
         With ``own``, the batch's labels, also pairs a > b among these.
         """
-        width = 1 + 4 * depth
-        mine = labels.select(F.substring("label", 1, width).alias("prefix"), F.col("id").alias("a"))
-        theirs = self.labels().select(F.substring("label", 1, width).alias("prefix"), F.col("id").alias("b"), F.lit(False).alias("own"))
+        # A prefix as one number: a compact table to look up, and what collides fails the verification.
+        prefix = F.xxhash64(F.substring("label", 1, 1 + 4 * depth)).alias("prefix")
+        mine = labels.select(prefix, F.col("id").alias("a"))
+        theirs = self.labels().select(prefix, F.col("id").alias("b"), F.lit(False).alias("own"))
         if own is not None:
-            theirs = theirs.union(own.select(F.substring("label", 1, width), "id", F.lit(True)))
-        pairs = theirs.join(_side(mine, rows * TREES, width + 24), "prefix").where("not own or a > b").select("a", "b").distinct()
+            theirs = theirs.union(own.select(prefix, "id", F.lit(True)))
+        pairs = theirs.join(_side(mine, rows * TREES, 64), "prefix").where("not own or a > b").select("a", "b").distinct()
         return written_counted(pairs, "candidates")
 
 
