@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections import Counter
 from functools import cache
 from typing import TYPE_CHECKING
 
@@ -18,13 +19,23 @@ def ratio(a: list[str], b: list[str]) -> float:
     return difflib.SequenceMatcher(None, a, b).ratio()
 
 
+def alike(a: str, b: str, least: float) -> bool:
+    """Whether the ratio reaches ``least``; two upper bounds, by length and by letters, spare most of the work."""
+    total = len(a) + len(b)
+    if 2 * min(len(a), len(b)) < least * total:
+        return False
+    if 2 * sum((Counter(a) & Counter(b)).values()) < least * total:
+        return False
+    return difflib.SequenceMatcher(None, a, b).ratio() >= least
+
+
 def pairs_by_spelling(removed: list[str], added: list[str], least: float = 0.8) -> bool:
     """Whether each removed word goes to another added word that is spelled alike; the first that fits is taken."""
     if not removed or len(removed) != len(added):
         return False
     free = list(added)
     for old in removed:
-        at = next((i for i, new in enumerate(free) if difflib.SequenceMatcher(None, old, new).ratio() >= least), -1)
+        at = next((i for i, new in enumerate(free) if alike(old, new, least)), -1)
         if at < 0:
             return False
         del free[at]

@@ -60,14 +60,26 @@ def identifier_shape(tokens: Column) -> Column:
     return let(tokens, renamed)
 
 
+def _counted(values: Column) -> Column:
+    """STRUCT(v, n): the distinct elements in order and how often each stands, from the bounds of equal runs."""
+    def bounds(xs: Column) -> Column:
+        begins = F.filter(F.transform(xs, lambda x, i: F.when((i == 0) | (F.get(xs, i - 1) != x), i)), lambda i: i.isNotNull())
+        return let(begins, lambda at: counts(xs, at))
+
+    def counts(xs: Column, at: Column) -> Column:
+        ends = F.concat(F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), F.array(F.size(xs)))
+        return F.struct(F.transform(at, lambda i: F.get(xs, i)).alias("v"), F.zip_with(at, ends, lambda a, b: b - a).alias("n"))
+
+    return let(F.sort_array(values), bounds)
+
+
 def multiset_minus(a: Column, b: Column) -> Column:
-    """``a`` without as many of each element as ``b`` has; the rest sorted."""
-    def numbered(values: Column) -> Column:
-        return let(
-            F.sort_array(values), lambda xs: F.transform(xs, lambda x, i: F.struct(x.alias("x"), (i - F.array_position(xs, x)).alias("n")))
-        )
+    """``a`` without as many of each element as ``b`` has; the rest sorted. Elements must not be null."""
+    def left(x: Column) -> Column:
+        there = lambda u: F.coalesce(F.get(x["b"]["n"], (F.array_position(x["b"]["v"], u) - 1).cast("int")), F.lit(0))
+        return F.flatten(F.transform(x["a"]["v"], lambda u, i: F.array_repeat(u, F.greatest(F.get(x["a"]["n"], i) - there(u), F.lit(0)))))
 
-    return F.transform(F.array_except(numbered(a), numbered(b)), lambda s: s["x"])
+    return let(F.struct(_counted(a).alias("a"), _counted(b).alias("b")), left)
 
 
 def split_identifier(name: Column) -> Column:
