@@ -32,7 +32,6 @@ SEED = 31_013
 MOST_RUNS = 4
 BROADCAST_BYTES = 48 << 20  # a batch's side is broadcast only below this measured size; else both sides are shuffled
 MAX_ROUNDS = 10_000
-ROUNDS_A_JOB = 2
 SIGNED = "id bigint, fp bigint, fp2 bigint, n int, grams array<bigint>, key binary, batch bigint"
 
 
@@ -150,22 +149,22 @@ def _decide(rows: DataFrame, links: DataFrame) -> DataFrame:
     away when a watched group has an accepted row before it, waits while one has an open row before it, and is
     accepted otherwise. Groups are reduced to their smallest accepted and smallest open row.
     """
-    named = {"c": F.concat(F.lit("c"), F.col("cls").cast("string")), "k": F.concat(F.lit("k"), F.hex("key"))}
-    own = rows.select("id", "cls", F.explode(F.array_compact(F.array(*named.values()))).alias("g"))
-    near = rows.join(links, F.col("cls") == F.col("c")).select("id", F.concat(F.lit("c"), F.col("d").cast("string")).alias("g"))
-    belongs, watches = own.select("id", "g"), own.select("id", "g").union(near)
-    state = rows.select("id", F.lit(None).cast("boolean").alias("accepted"))
+    named = F.array_compact(F.array(F.concat(F.lit("c"), F.col("cls").cast("string")), F.concat(F.lit("k"), F.hex("key"))))
+    own = rows.select("id", "cls", F.explode(named).alias("g"))
+    near = rows.join(links, F.col("cls") == F.col("c")).select("id", F.concat(F.lit("c"), F.col("d").cast("string")).alias("g"), F.lit(False))
+    watched = written(own.select("id", "g", F.lit(True).alias("own")).union(near), "watched")
+    state = watched.withColumn("accepted", F.lit(None).cast("boolean"))
     for _ in range(MAX_ROUNDS):
-        for _ in range(ROUNDS_A_JOB):
-            low = [F.min(F.when(c, F.col("id"))) for c in (F.col("accepted"), F.col("accepted").isNull())]
-            groups = state.join(belongs, "id").groupBy("g").agg(low[0].alias("done"), low[1].alias("open"))
-            seen = watches.join(groups, "g").groupBy("id").agg(F.min("done").alias("done"), F.min("open").alias("open"))
-            verdict = F.when(F.col("done") < F.col("id"), False).when(F.col("open") < F.col("id"), None).otherwise(True)
-            state = state.join(seen, "id").select("id", F.coalesce("accepted", verdict).alias("accepted"))
+        low = [F.min(F.when(c, F.col("id"))) for c in (F.col("accepted"), F.col("accepted").isNull())]
+        groups = state.where("own").groupBy("g").agg(low[0].alias("done"), low[1].alias("open"))
+        seen = state.join(groups, "g").groupBy("id").agg(F.min("done").alias("done"), F.min("open").alias("open"), F.first("accepted").alias("accepted"))
+        verdict = F.when(F.col("done") < F.col("id"), False).when(F.col("open") < F.col("id"), None).otherwise(True)
         waiting = Observation()
-        state = written(state.observe(waiting, F.count_if(F.col("accepted").isNull()).alias("n")), "round")
+        told = seen.select("id", F.coalesce("accepted", verdict).alias("accepted"))
+        told = written(told.observe(waiting, F.count_if(F.col("accepted").isNull()).alias("n")), "round")
         if not waiting.get["n"]:
-            return state
+            return told
+        state = watched.join(told, "id")
     raise RuntimeError("a batch did not settle")
 
 
@@ -185,22 +184,20 @@ def check_batch(forest: Forest, batch: DataFrame) -> DataFrame:
     rest = labels.join(hit, F.col("id") == F.col("a"), "left_anti")
     pairs, number = forest.candidates(rest, sets, least_depth(), own=rest)
     links = written(verified(pairs, number, one, forest.rows().select("id", "grams").union(one.select("id", "grams"))), "links")
-    inside = links.join(classes, F.col("b") == F.col("cls"), "left_semi")
+    # Links among the batch's own sets, and what is settled by history.
+    own = F.broadcast(classes) if sets * 32 <= BROADCAST_BYTES else classes
+    sided = links.join(own.select(F.col("cls").alias("b"), F.lit(True).alias("inside")), "b", "left").select("a", "b", F.col("inside").isNotNull().alias("inside"))
+    inside = sided.where("inside")
     linked = inside.select(F.col("a").alias("c"), F.col("b").alias("d")).union(inside.select("b", "a"))
-    # What is settled by history, and which rows depend on others of the batch.
-    against = links.join(classes, F.col("b") == F.col("cls"), "left_anti").select("a").union(hit).distinct()
-    keys = batch.where("key is not null").groupBy("key").agg(F.count("*").alias("same"))
-    old = forest.rows().select("key").join(_side(keys, sets, 64), "key").select("key").distinct().withColumn("old", F.lit(True))
-    told = (
-        batch.select("id", "n", "fp", "fp2", "key")
-        .join(classes, ["fp", "fp2"], "left")
-        .join(against.select(F.col("a").alias("cls"), F.lit(True).alias("hit")), "cls", "left")
-        .join(linked.select(F.col("c").alias("cls"), F.lit(True).alias("linked")).distinct(), "cls", "left")
-        .join(keys, "key", "left")
-        .join(old, "key", "left")
-    )
-    turned = F.coalesce("hit", F.lit(False)) | F.coalesce("old", F.lit(False))
-    contested = (F.coalesce("copies", F.lit(1)) > 1) | (F.coalesce("same", F.lit(1)) > 1) | F.coalesce("linked", F.lit(False))
+    yes, no = F.lit(True), F.lit(False)
+    marks = hit.select(F.col("a").alias("cls"), yes.alias("hit")).union(sided.select("a", ~F.col("inside"))).union(inside.select("b", no))
+    marks = marks.groupBy("cls").agg(F.max("hit").alias("hit"))  # a class without marks is neither hit nor linked
+    held = forest.rows().select("key").join(_side(batch.where("key is not null").select("key"), sets, 64), "key", "left_semi").select("key", F.lit(2).alias("n"), yes.alias("old"))
+    keys = batch.where("key is not null").select("key", F.lit(1).alias("n"), no.alias("old")).union(held)
+    keys = keys.groupBy("key").agg(F.sum("n").alias("same"), F.max("old").alias("old"))
+    told = batch.select("id", "n", "fp", "fp2", "key").join(classes, ["fp", "fp2"], "left").join(marks, "cls", "left").join(keys, "key", "left")
+    turned = F.coalesce("hit", no) | F.coalesce("old", no)
+    contested = (F.coalesce("copies", F.lit(1)) > 1) | (F.coalesce("same", F.lit(1)) > 1) | F.col("hit").isNotNull()
     disputes = Observation()
     told = told.select("id", "cls", "key", turned.alias("turned"), (~turned & contested).alias("contested"))
     told = written(told.observe(disputes, F.count_if("contested").alias("n")), "told")
@@ -208,10 +205,10 @@ def check_batch(forest: Forest, batch: DataFrame) -> DataFrame:
     if disputes.get["n"]:
         result = result.union(_decide(told.where("contested").select("id", "cls", "key"), linked))
     accepted = result.where("accepted").select("id")
-    # The label of a set enters with the set's first row, the rows enter one for one.
-    entered = told.join(accepted, "id", "left_semi").where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"))
-    named = labels.join(entered.withColumnRenamed("id", "first"), F.col("id") == F.col("cls")).select("label", F.col("first").alias("id"))
-    forest.append(named, batch.join(accepted, "id", "left_semi"))
+    entered = written(batch.join(accepted, "id", "left_semi"), "entered")
+    # The label of a set enters with the set's first accepted row, the rows enter one for one.
+    first = entered.where("n > 0").groupBy("fp", "fp2").agg(F.min("id").alias("first")).join(classes, ["fp", "fp2"])
+    forest.append(labels.join(first, F.col("id") == F.col("cls")).select("label", F.col("first").alias("id")), entered)
     return result
 
 
