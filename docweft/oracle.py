@@ -200,3 +200,11 @@ SQL |= {
       select sample_id, case when weak and m is not null and not {_weak('m')} then m else issue_summary end issue_summary,
         case when not weak then 'existing_issue_summary' when m is not null and not {_weak('m')} then 'commit_subject' end issue_summary_source from w left join k using (s, h)""",
 }
+
+_HASH = "nullif(regexp_replace(" + _strip("lower(commit_hash)") + ", '^0+$', ''), '')"
+_IDENT = f"regexp_matches(t, '^[a-z_$][\\w$]*$') and t not in {_KEYWORDS}"
+SQL |= {
+    "code_shape": f"""with tk as (select sample_id, {_TOKENS.format('code_after')} a from samples), ps as (select *, list_sort(list_distinct(list_transform(list_filter(a, lambda t: {_IDENT}), lambda t: list_position(a, t)))) p from tk)
+      select sample_id, array_to_string(list_transform(a, lambda t: case when {_IDENT} then 'id' || (list_position(p, list_position(a, t)) - 1) else t end), ' ') shape from ps""",
+    "recovery_targets": f"select {_SLUG} slug, {_HASH} h, sum(len(changes))::bigint current_change_count from commits_nested group by 1, 2 having slug is not null and h is not null and sum(len(changes)) >= 2",
+}

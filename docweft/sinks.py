@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import running
+from .storage import exists
 
 SIX = ["commit_hash", "issue_summary", "code_before", "code_after", "javadoc_before", "javadoc_after"]
 SUMMARY = ["sample_id", "repo", "commit_hash", "file_path", "entity_type", "entity_name", "entity_signature", "javadoc_change_type", "method_change_type", "issue_id", "issue_summary"]
@@ -76,7 +77,7 @@ class Progress:
         self.spark, self.folder = spark, folder
 
     def done(self) -> DataFrame:
-        if not Path(self.folder).exists():
+        if not exists(self.spark, self.folder):
             return self.spark.createDataFrame([], "project_slug string, commit_hash string")
         return self.spark.read.schema("project_slug string, commit_hash string").parquet(self.folder)
 

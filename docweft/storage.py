@@ -59,6 +59,12 @@ def drop_table(df: DataFrame) -> None:
         drop_path(df.sparkSession, path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file:///") else path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder written by this module."""
     jvm = spark.sparkContext._jvm
