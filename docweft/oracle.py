@@ -208,3 +208,62 @@ SQL |= {
       select sample_id, array_to_string(list_transform(a, lambda t: case when {_IDENT} then 'id' || (list_position(p, list_position(a, t)) - 1) else t end), ' ') shape from ps""",
     "recovery_targets": f"select {_SLUG} slug, {_HASH} h, sum(len(changes))::bigint current_change_count from commits_nested group by 1, 2 having slug is not null and h is not null and sum(len(changes)) >= 2",
 }
+
+
+def _is_blank(x: str) -> str:
+    return _strip(f"coalesce({x}, '')") + " = ''"
+
+
+def _counted(checks: dict[str, str], source: str) -> str:
+    return " union all ".join(f"select '{name}' as \"check\", count(*)::bigint findings from {source} where {test}" for name, test in checks.items())
+
+
+_COMMIT_CHECKS = {
+    "missing_commit_fields": "commit_hash is null or issue_summary is null or changes is null",
+    "duplicate_commits": "row_seq > first_",
+    "empty_issue_summary": _is_blank("issue_summary"),
+    "weak_issue_summary": f"not ({_is_blank('issue_summary')}) and {_weak('issue_summary')}",
+    "empty_changes": "coalesce(len(changes), 0) = 0",
+}
+_CHANGE_CHECKS = {
+    "bad_change_index": "change_index is distinct from pos",
+    "bad_entity_type": "coalesce(entity_type not in ('method', 'class'), true)",
+    "empty_change_fields": " or ".join(_is_blank(c) for c in ("entity_type", *_TEXTS)),
+    "identical_code": "code_before is not distinct from code_after",
+    "identical_javadoc": "javadoc_before is not distinct from javadoc_after",
+    "format_only_javadoc": f"{_layout('javadoc_before')} = {_layout('javadoc_after')} or {_format('javadoc_before')} = {_format('javadoc_after')}",
+    "duplicate_changes": "nth > 1",
+    "duplicate_changes_within_commit": "nth_here > 1",
+}
+SQL["quality_report_nested"] = f"""with n as (select *, min(row_seq) over (partition by project_slug, commit_hash) first_ from commits_nested),
+  i as (select row_seq, changes, unnest(range(1, len(changes) + 1)) pos from commits_nested),
+  c as (select row_seq, pos, changes[pos].change_index change_index, changes[pos].entity_type entity_type, {", ".join(f"changes[pos].{t} {t}" for t in _TEXTS)} from i),
+  f as (select *, {_FP} fp from c),
+  g as (select *, row_number() over (partition by fp order by row_seq, pos) nth, row_number() over (partition by fp, row_seq order by pos) nth_here from f)
+  select * from ({_counted(_COMMIT_CHECKS, "n")} union all {_counted(_CHANGE_CHECKS, "g")}) where findings > 0"""
+
+_SIX = ("commit_hash", "issue_summary", *_TEXTS)
+_KEY = "concat_ws(chr(31), project_slug, " + ", ".join(f"coalesce({c}, '')" for c in _SIX) + ")"
+_EITHER = "coalesce(common, case when as_method = '' or as_class = '' then '' else as_method end)"
+_FLAT_CHECKS = {
+    "empty_field": " or ".join(_is_blank(c) for c in _SIX),
+    "duplicate_inside_new": "sample_id > first_",
+    "duplicate_against_baseline": "k in (select k from o where batch_id = 0)",
+    "dangling_issue_summary": f"{_LAST.replace('flat', _COLLAPSE.format(_SUMMARY))} in {_DANGLING}",
+    "identical_code": "coalesce(code_before, '') = coalesce(code_after, '')",
+    "identical_javadoc": _COLLAPSE.format("coalesce(javadoc_before, '')") + " = " + _COLLAPSE.format("coalesce(javadoc_after, '')"),
+    "invalid_code_before": "problem_before <> ''",
+    "invalid_code_after": "problem_after <> ''",
+}
+SQL["quality_report_flat"] = f"""with {_SNIPPETS}, o as (select *, {_KEY} k from samples),
+  w as (select o.*, b.problem problem_before, a.problem problem_after, min(o.sample_id) over (partition by k) first_ from o
+    join (select sample_id, {_EITHER} problem from x where side = 'before') b using (sample_id) join (select sample_id, {_EITHER} problem from x where side = 'after') a using (sample_id) where batch_id > 0)
+  select * from ({_counted(_FLAT_CHECKS, "w")}) where findings > 0"""
+_FORMS = _SNIPPETS.replace("coalesce(code_before, '') c", _line_form("code_before") + " c").replace("coalesce(code_after, '') from", _line_form("code_after") + " from")
+SQL["reject_chain"] = f"""with {_FORMS}, v as (select b.sample_id, case when b.as_class = '' and a.as_class = '' then 'class' when b.as_method = '' and a.as_method = '' then 'method'
+      when b.is_class and a.is_class then 'class' when b.method_name <> '' and a.method_name <> '' and not b.is_class and not a.is_class then 'method' end inferred
+      from x b join x a using (sample_id) where b.side = 'before' and a.side = 'after')
+  select sample_id, case when {" or ".join(f"{_line_form(c)} = ''" for c in _SIX)} then 'invalid_schema_or_empty_field' when inferred is null then 'unknown_entity_type'
+    when {_line_form('code_before')} = {_line_form('code_after')} then 'identical_code' when {_line_form('javadoc_before')} = {_line_form('javadoc_after')} then 'identical_javadoc'
+    when {_layout('javadoc_before')} = {_layout('javadoc_after')} then 'whitespace_or_line_wrapping_only' when {_format('javadoc_before')} = {_format('javadoc_after')} then 'punctuation_or_html_formatting_only' end reject_reason
+  from samples join v using (sample_id)"""
