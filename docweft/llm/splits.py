@@ -34,11 +34,10 @@ def project_edges(commits: DataFrame) -> DataFrame:
     return rooted.join(first, "root").where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _state(clusters: DataFrame) -> tuple[int, int]:
-    row = clusters.agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("node", "member").bitwiseAND(F.lit(0xFFFFFFFF))), F.lit(0)).alias("s")
-    ).first()
-    return row["n"], row["s"]
+def _state(clusters: DataFrame) -> tuple[int, int | None]:
+    """Number of rows and the exclusive or of their hashes: equal states are equal tables, at any size without overflow."""
+    row = clusters.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node", "member")).alias("x")).first()
+    return row["n"], row["x"]
 
 
 def hash_to_min(edges: DataFrame) -> DataFrame:
