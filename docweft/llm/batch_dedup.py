@@ -32,7 +32,6 @@ SEED = 31_013
 MOST_RUNS = 4
 BROADCAST_BYTES = 48 << 20  # a batch's side is broadcast only below this measured size; else both sides are shuffled
 MAX_ROUNDS = 10_000
-SIGNED = "id bigint, fp bigint, fp2 bigint, n int, grams array<bigint>, key binary, batch bigint"
 
 
 def least_depth(threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> int:
@@ -50,23 +49,29 @@ def exact_key() -> F.Column:
     return F.when(usable, F.unhex(F.md5(F.concat_ws("\x01", F.lower("commit_hash"), code))))
 
 
-def signed(samples: DataFrame) -> DataFrame:
-    """Each row's set and key, written by batch in one pass. A null batch comes first, as if it were the oldest."""
+def signed(samples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (sets and keys), classes of equal sets and labels of all rows that have shingles, each written by batch.
+
+    A null batch comes first, as if it were the oldest. Texts are read once and nothing but hashes leaves the scan.
+    """
     others = {"key": exact_key(), "batch": F.coalesce(F.col("batch_id").cast("bigint"), F.lit(-1))}
     sets = shingle_table(samples, "sample_id", FIELDS, others=others)
-    return written(sets.select("id", "fp", "fp2", "n", "grams", "key", "batch"), "signed", "batch")
+    rows = written(sets.select("id", "fp", "fp2", "n", "grams", "key", "batch"), "signed", "batch")
+    classes = rows.where("n > 0").groupBy("batch", "fp", "fp2").agg(F.min("id").alias("cls"), F.count("*").alias("copies"))
+    return rows, written(classes, "classes", "batch"), written(labelled(rows), "labels", "batch")
 
 
 def labelled(rows: DataFrame) -> DataFrame:
-    """(label, id) for each tree of each row that has shingles."""
+    """(label, id, batch) for each tree of each row that has shingles."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 grams, at = K.list_values(batch.column("grams"), "int64")
                 labels = K.tree_labels(K.minhash(grams.view("uint64"), at, TREES * DEPTH, SEED), TREES, DEPTH)
-                yield pa.record_batch({"label": labels, "id": pa.array(batch.column("id").to_numpy().repeat(TREES))})
+                each = {c: pa.array(batch.column(c).to_numpy().repeat(TREES)) for c in ("id", "batch")}
+                yield pa.record_batch({"label": labels, **each})
 
-    return rows.where("n > 0").select("id", "grams").mapInArrow(kernel, "label binary, id bigint")
+    return rows.where("n > 0").select("id", "grams", "batch").mapInArrow(kernel, "label binary, id bigint, batch bigint")
 
 
 def _side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
@@ -114,10 +119,10 @@ class Forest:
             for path in old:
                 drop_path(self.spark, path)
 
-    def candidates(self, labels: DataFrame, rows: int, depth: int, own: DataFrame | None = None) -> tuple[DataFrame, int]:
-        """(a, b) and their number: rows whose label shares a prefix of ``depth`` values with an accepted row's.
+    def candidates(self, labels: DataFrame, sets: int, depth: int, own: DataFrame | None = None) -> tuple[DataFrame, int]:
+        """(a, b, own) and their number: sets whose label shares a prefix of ``depth`` values with an accepted row's.
 
-        With ``own``, the batch's labels, also pairs a > b among these.
+        With ``own``, the batch's labels, also pairs a > b among these, with ``own`` true.
         """
         # A prefix as one number: a compact table to look up, and what collides fails the verification.
         prefix = F.xxhash64(F.substring("label", 1, 1 + 4 * depth)).alias("prefix")
@@ -125,8 +130,8 @@ class Forest:
         theirs = self.labels().select(prefix, F.col("id").alias("b"), F.lit(False).alias("own"))
         if own is not None:
             theirs = theirs.union(own.select(prefix, "id", F.lit(True)))
-        pairs = theirs.join(_side(mine, rows * TREES, 64), "prefix").where("not own or a > b").select("a", "b").distinct()
-        return written_counted(pairs, "candidates")
+        met = theirs.join(_side(mine, sets * TREES, 64), "prefix").where("not own or a > b")
+        return written_counted(met.groupBy("a", "b").agg(F.max("own").alias("own")), "candidates")
 
 
 def _sorted_run(labels: DataFrame) -> DataFrame:
@@ -136,14 +141,14 @@ def _sorted_run(labels: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, number: int, left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The (a, b) of ``number`` pairs with likeness at or above the threshold."""
+    """The (a, b, own) of ``number`` pairs with likeness at or above the threshold."""
     near = left.select(F.col("id").alias("a"), F.col("grams").alias("ga")).join(_side(pairs, number, 32), "a")
     far = right.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
-    return far.join(_side(near, number, 4096), "b").where(likeness(F.col("ga"), F.col("gb")) >= threshold).select("a", "b")
+    return far.join(_side(near, number, 4096), "b").where(likeness(F.col("ga"), F.col("gb")) >= threshold).select("a", "b", "own")
 
 
 def _decide(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, accepted) of open rows (id, cls, key) of one batch, in order of id, with links (c, d) between classes.
+    """(id, cls, accepted) of open rows (id, cls, key) of one batch, in order of id, with links (c, d) between classes.
 
     A row belongs to its class and its key and watches these and the classes linked to its own. It is turned
     away when a watched group has an accepted row before it, waits while one has an open row before it, and is
@@ -151,72 +156,66 @@ def _decide(rows: DataFrame, links: DataFrame) -> DataFrame:
     """
     named = F.array_compact(F.array(F.concat(F.lit("c"), F.col("cls").cast("string")), F.concat(F.lit("k"), F.hex("key"))))
     own = rows.select("id", "cls", F.explode(named).alias("g"))
-    near = rows.join(links, F.col("cls") == F.col("c")).select("id", F.concat(F.lit("c"), F.col("d").cast("string")).alias("g"), F.lit(False))
-    watched = written(own.select("id", "g", F.lit(True).alias("own")).union(near), "watched")
+    near = rows.join(links, F.col("cls") == F.col("c")).select("id", "cls", F.concat(F.lit("c"), F.col("d").cast("string")).alias("g"), F.lit(False))
+    watched = written(own.select("id", "cls", "g", F.lit(True).alias("own")).union(near), "watched")
     state = watched.withColumn("accepted", F.lit(None).cast("boolean"))
     for _ in range(MAX_ROUNDS):
         low = [F.min(F.when(c, F.col("id"))) for c in (F.col("accepted"), F.col("accepted").isNull())]
         groups = state.where("own").groupBy("g").agg(low[0].alias("done"), low[1].alias("open"))
-        seen = state.join(groups, "g").groupBy("id").agg(F.min("done").alias("done"), F.min("open").alias("open"), F.first("accepted").alias("accepted"))
+        seen = state.join(groups, "g").groupBy("id").agg(F.min("done").alias("done"), F.min("open").alias("open"), F.first("accepted").alias("accepted"), F.first("cls").alias("cls"))
         verdict = F.when(F.col("done") < F.col("id"), False).when(F.col("open") < F.col("id"), None).otherwise(True)
         waiting = Observation()
-        told = seen.select("id", F.coalesce("accepted", verdict).alias("accepted"))
+        told = seen.select("id", "cls", F.coalesce("accepted", verdict).alias("accepted"))
         told = written(told.observe(waiting, F.count_if(F.col("accepted").isNull()).alias("n")), "round")
         if not waiting.get["n"]:
             return told
-        state = watched.join(told, "id")
+        state = watched.join(told.drop("cls"), "id")
     raise RuntimeError("a batch did not settle")
 
 
-def check_batch(forest: Forest, batch: DataFrame) -> DataFrame:
+def check_batch(forest: Forest, batch: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """(id, accepted) of the rows of one signed batch, and their entry into the forest.
 
-    ``batch`` has the columns of ``signed``. Rows with an empty set can be turned away by their key only.
-    Only one row of each set looks up the history: first by whole labels, then, with the sets left, by the
-    prefix that meets the recall target, together with the batch's own sets. No accepted row is signed again.
+    The tables are the batch's parts of what ``signed`` gives. Rows with an empty set can be turned away by
+    their key only. Only one row of each set looks up the history: first by whole labels, then, with the sets
+    left, by the prefix that meets the recall target, together with the batch's own sets. No accepted row is
+    signed again.
     """
-    full = batch.where("n > 0")
-    classes, sets = written_counted(full.groupBy("fp", "fp2").agg(F.min("id").alias("cls"), F.count("*").alias("copies")), "classes")
-    one = full.join(_side(classes.select(F.col("cls").alias("id")), sets, 32), "id", "left_semi").select("id", "n", "grams")
-    labels = written(labelled(one), "labels")
-    pairs, number = forest.candidates(labels, sets, DEPTH)
-    hit = written(verified(pairs, number, one, forest.rows()).select("a").distinct(), "hit")
-    rest = labels.join(hit, F.col("id") == F.col("a"), "left_anti")
-    pairs, number = forest.candidates(rest, sets, least_depth(), own=rest)
-    links = written(verified(pairs, number, one, forest.rows().select("id", "grams").union(one.select("id", "grams"))), "links")
-    # Links among the batch's own sets, and what is settled by history.
-    own = F.broadcast(classes) if sets * 32 <= BROADCAST_BYTES else classes
-    sided = links.join(own.select(F.col("cls").alias("b"), F.lit(True).alias("inside")), "b", "left").select("a", "b", F.col("inside").isNotNull().alias("inside"))
-    inside = sided.where("inside")
-    linked = inside.select(F.col("a").alias("c"), F.col("b").alias("d")).union(inside.select("b", "a"))
+    sets = classes.count()
+    one = labels.join(_side(classes.select(F.col("cls").alias("id")), sets, 32), "id", "left_semi")
+    hit = written(verified(*forest.candidates(one, sets, DEPTH), batch, forest.rows()).select("a").distinct(), "hit")
+    rest = one.join(hit, F.col("id") == F.col("a"), "left_anti")
+    both = forest.rows().select("id", "grams").union(batch.select("id", "grams"))
+    links = written(verified(*forest.candidates(rest, sets, least_depth(), own=one), batch, both), "links")
+    # A class with a mark is hit, settled by history, or linked to others of the batch, or both.
     yes, no = F.lit(True), F.lit(False)
-    marks = hit.select(F.col("a").alias("cls"), yes.alias("hit")).union(sided.select("a", ~F.col("inside"))).union(inside.select("b", no))
-    marks = marks.groupBy("cls").agg(F.max("hit").alias("hit"))  # a class without marks is neither hit nor linked
-    held = forest.rows().select("key").join(_side(batch.where("key is not null").select("key"), sets, 64), "key", "left_semi").select("key", F.lit(2).alias("n"), yes.alias("old"))
-    keys = batch.where("key is not null").select("key", F.lit(1).alias("n"), no.alias("old")).union(held)
-    keys = keys.groupBy("key").agg(F.sum("n").alias("same"), F.max("old").alias("old"))
-    told = batch.select("id", "n", "fp", "fp2", "key").join(classes, ["fp", "fp2"], "left").join(marks, "cls", "left").join(keys, "key", "left")
+    inside = links.where("own")
+    marks = hit.select(F.col("a").alias("cls"), yes.alias("hit")).union(links.select("a", ~F.col("own"))).union(inside.select("b", no))
+    marks = marks.groupBy("cls").agg(F.max("hit").alias("hit"))
+    mine = batch.where("key is not null").select("key")
+    held = forest.rows().select("key").join(_side(mine, sets, 64), "key", "left_semi").select("key", F.lit(2).alias("n"), yes.alias("old"))
+    keys = mine.select("key", F.lit(1).alias("n"), no.alias("old")).union(held).groupBy("key").agg(F.sum("n").alias("same"), F.max("old").alias("old"))
+    told = batch.select("id", "n", "fp", "fp2", "key").join(classes.select("fp", "fp2", "cls", "copies"), ["fp", "fp2"], "left").join(marks, "cls", "left").join(keys, "key", "left")
     turned = F.coalesce("hit", no) | F.coalesce("old", no)
     contested = (F.coalesce("copies", F.lit(1)) > 1) | (F.coalesce("same", F.lit(1)) > 1) | F.col("hit").isNotNull()
     disputes = Observation()
     told = told.select("id", "cls", "key", turned.alias("turned"), (~turned & contested).alias("contested"))
     told = written(told.observe(disputes, F.count_if("contested").alias("n")), "told")
-    result = told.where("not contested").select("id", (~F.col("turned")).alias("accepted"))
+    result = told.where("not contested").select("id", "cls", (~F.col("turned")).alias("accepted"))
     if disputes.get["n"]:
+        linked = inside.select(F.col("a").alias("c"), F.col("b").alias("d")).union(inside.select("b", "a"))
         result = result.union(_decide(told.where("contested").select("id", "cls", "key"), linked))
-    accepted = result.where("accepted").select("id")
-    entered = written(batch.join(accepted, "id", "left_semi"), "entered")
+    accepted = result.where("accepted")
     # The label of a set enters with the set's first accepted row, the rows enter one for one.
-    first = entered.where("n > 0").groupBy("fp", "fp2").agg(F.min("id").alias("first")).join(classes, ["fp", "fp2"])
-    forest.append(labels.join(first, F.col("id") == F.col("cls")).select("label", F.col("first").alias("id")), entered)
-    return result
+    first = accepted.where("cls is not null").groupBy("cls").agg(F.min("id").alias("first"))
+    named = labels.join(first, F.col("id") == F.col("cls")).select("label", F.col("first").alias("id"))
+    forest.append(named, batch.join(accepted.select("id"), "id", "left_semi"))
+    return result.select("id", "accepted")
 
 
-def accept_all(forest: Forest, batch: DataFrame) -> DataFrame:
+def accept_all(forest: Forest, batch: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """The oldest batch: every row is accepted; the forest keeps labels of one row of each set."""
-    labels = labelled(batch)
-    first = batch.where("n > 0").groupBy("fp", "fp2").agg(F.min("id").alias("id")).select("id")
-    forest.append(labels.join(first, "id", "left_semi"), batch)
+    forest.append(labels.join(classes.select(F.col("cls").alias("id")), "id", "left_semi"), batch)
     return batch.select("id", F.lit(True).alias("accepted"))
 
 
@@ -226,13 +225,13 @@ def decisions(samples: DataFrame, forest: Forest | None = None) -> DataFrame:
     ``sample_id`` must be unique. Null texts count as empty; a null commit hash equals none. An empty
     table gives an empty result.
     """
-    rows = signed(samples)
+    tables = signed(samples)
     forest = forest or Forest(samples.sparkSession)
-    numbers = [r["batch"] for r in rows.select("batch").distinct().orderBy("batch").collect()]
+    numbers = [r["batch"] for r in tables[0].select("batch").distinct().orderBy("batch").collect()]
     out = _none(samples.sparkSession, "id bigint, accepted boolean")
     for number in numbers:
-        batch = rows.where(F.col("batch") == number)
-        out = out.union(accept_all(forest, batch) if number <= 0 else check_batch(forest, batch))
+        parts = [t.where(F.col("batch") == number) for t in tables]
+        out = out.union(accept_all(forest, *parts) if number <= 0 else check_batch(forest, *parts))
     return out
 
 
