@@ -262,6 +262,20 @@ def band_keys(signature: np.ndarray, rows_per_band: int) -> np.ndarray:
     return out
 
 
+def prefixes(h: np.ndarray, rank: np.ndarray, at: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index into ``h``, row, place) of the first members of each row's set, the lowest rank first, ties by hash.
+
+    A set of n keeps n - ceil(threshold * n) + 1 members. ``rank`` is a function of the member alone, so two sets whose
+    likeness reaches the threshold have a member in common among these.
+    """
+    sizes = np.diff(at)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((mix(h), rank, row))
+    pos = np.arange(len(h)) - np.repeat(at[:-1], sizes)
+    kept = pos < (sizes - np.ceil(threshold * sizes - 1e-6) + 1)[row]
+    return order[kept], row[kept], pos[kept]
+
+
 def list_values(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
     """Values and bounds of a list column without nulls."""
     at = column.offsets.to_numpy().astype(np.int64)

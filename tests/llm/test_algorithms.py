@@ -3,10 +3,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docweft.llm import batch_dedup, format_dups, hashes, near_dups, splits, survivor
+from docweft.llm import batch_dedup, format_dups, hashes, kernels, near_dups, splits, survivor
 
 COMMITS = "commit_seq long, project_slug string, commit_hash string"
 SAMPLES = "sample_id long, batch_id int, commit_hash string, code_before string, code_after string, javadoc_before string, javadoc_after string"
@@ -103,6 +104,28 @@ def test_likeness_of_common_words_only(spark):
     assert near_dups.found(df).count() == sum(_like(sets[a], sets[b]) >= 0.6 for a in range(30) for b in range(a + 1, 30))
 
 
+def test_edits_of_a_template_that_fills_a_third_of_the_rows(spark):
+    shared = " ".join(f"s{i}" for i in range(62))
+    edits = {i: " ".join(f"r{i}x{k}" for k in range(20 - i % 2)) for i in range(40)}
+    data = [(i, 0, None, shared, own, None, None) for i, own in edits.items()]
+    data += [(i, 0, None, " ".join(f"o{i}x{k}" for k in range(80)), None, None, None) for i in range(40, 120)]
+    sets = {r[0]: _grams(r[3], r[4]) for r in data}
+    expected = [(a, b) for a in sets for b in sets if a < b and _like(sets[a], sets[b]) >= 0.6]
+    assert len(expected) == 780 and rows(near_dups.found(spark.createDataFrame(data, SAMPLES))) == expected
+
+
+def test_prefixes_meet_at_the_threshold():
+    rng = random.Random(5)
+    for _ in range(300):
+        both, one, two = (rng.sample(range(k, k + 90), rng.randint(1, 60)) for k in (0, 100, 200))
+        sets = [np.array(sorted(both + own), np.uint64) for own in (one, two)]
+        at = np.array([0, len(sets[0]), len(sets[0]) + len(sets[1])])
+        h = np.concatenate(sets)
+        which, row, _ = kernels.prefixes(h, np.where(h < 90, h % 7, 9.0), at, 0.6)
+        if _like(set(sets[0].tolist()), set(sets[1].tolist())) >= 0.6:
+            assert set(h[which[row == 0]].tolist()) & set(h[which[row == 1]].tolist())
+
+
 def _turned_away(data):
     accepted, out = [], set()
     for r in sorted(data, key=lambda r: (r[1], r[0])):
