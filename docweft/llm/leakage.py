@@ -73,16 +73,14 @@ def _longest(equal: np.ndarray, allowed: int) -> tuple[int, int]:
     """Length of the longest stretch with at most ``allowed`` unequal words inside, ends equal, and its unequal words."""
     wrong = np.flatnonzero(~equal)
     edges = np.concatenate(([-1], wrong, [len(equal)]))
+    filled = np.diff(edges) > 1
     best, subs = 0, 0
     for miss in range(min(allowed, len(wrong)) + 1):
+        # A stretch that begins or ends with an unequal word is, without it, one with fewer of them.
         spans = edges[miss + 1 :] - edges[: len(edges) - miss - 1] - 1
-        if len(spans) and int(spans.max()) > best:
-            k = int(spans.argmax())
-            inside = equal[edges[k] + 1 : edges[k + miss + 1]]
-            ends = np.flatnonzero(inside)
-            if len(ends) and ends[-1] - ends[0] + 1 > best:
-                best = int(ends[-1] - ends[0] + 1)
-                subs = int((~inside[ends[0] : ends[-1] + 1]).sum())
+        spans = np.where(filled[: len(spans)] & filled[miss:], spans, 0)
+        if int(spans.max()) > best:
+            best, subs = int(spans.max()), miss
     return best, subs
 
 

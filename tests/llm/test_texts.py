@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from docweft.llm import function_docs, leakage, markup, shared_spans, tokenizer
@@ -178,6 +179,20 @@ def test_leaked_passages_equal_brute_force(spark):
     assert {tuple(r) for r in leakage.found(df, it).collect()} == expected and expected
 
 
+def test_longest_stretch_is_not_hidden_by_a_wider_one_with_unequal_ends():
+    def stretch(*runs):
+        return np.concatenate([np.full(n, k % 2 == 0) for k, n in enumerate(runs)])
+
+    assert leakage._longest(stretch(18, 3, 8, 1, 4, 1, 5), 2) == (19, 2)
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        equal = rng.random(rng.integers(1, 25)) < 0.7
+        n = len(equal)
+        all_ = [(b - a + 1, -int((~equal[a : b + 1]).sum())) for a in range(n) for b in range(a, n) if equal[a] and equal[b]]
+        length, cost = max([x for x in all_ if x[1] >= -2], default=(0, 0))
+        assert leakage._longest(equal, 2) == (length, -cost)
+
+
 def test_leakage_in_blocks_and_with_substitutions(spark, monkeypatch):
     item = " ".join(f"w{i}" for i in range(30))
     changed = item.replace("w7 ", "other ").replace("w20 ", "word ")
