@@ -361,11 +361,15 @@ def start_from_max_n(repositories: DataFrame) -> DataFrame:
 
 @_query("samples")
 def early_stop_limit(samples: DataFrame) -> DataFrame:
+    """One row a commit, in order of its first sample; a row without a hash is a commit of its own."""
     flat = _flat(samples)
-    first = flat.groupBy("fp").agg(F.min_by(F.struct("batch_id", "code_after", "entity_type"), "sample_id").alias("f"))
+    first = flat.groupBy("fp").agg(F.min_by(F.struct("sample_id", "code_after", "entity_type"), "sample_id").alias("f"))
     good = java_scan.snippet_problem(F.col("f.code_after"), F.col("f.entity_type")) == ""
-    flags = first.groupBy(F.col("f.batch_id").alias("scan_seq")).agg(F.count("*").alias("uniques"), F.count_if(good).alias("retained"))
-    return limits.early_stop(flags, "scan_seq", 150)
+    new = first.select(F.col("f.sample_id").alias("sample_id"), F.coalesce(good, F.lit(False)).alias("good"))
+    commit = F.coalesce(F.lower("commit_hash"), F.col("sample_id").cast("string"))
+    told = flat.select("sample_id", "project_slug", commit.alias("commit")).join(new, "sample_id", "left")
+    flags = told.groupBy("project_slug", "commit").agg(F.min("sample_id").alias("scan_seq"), F.count("good").alias("uniques"), F.count_if("good").alias("retained"))
+    return limits.early_stop(flags.select("scan_seq", "uniques", "retained"), "scan_seq", 150)
 
 
 @_query("commits_nested", "commits")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .running import numbered
+from ..storage import written
+from .running import numbered, running_sum
 
 
 def sequence_ids(rows: DataFrame, source: str, order: str, prefix: str = "sample_") -> DataFrame:
@@ -48,10 +49,10 @@ def early_stop(flags: DataFrame, order: str, most: int, step: int = 10) -> DataF
 
     ``flags`` has one row a commit: ``uniques`` new rows and ``retained`` of them that pass. Once the running
     unique number reaches a threshold (first ``most``), retained rows are counted; at ``most`` the scan stops,
-    else the threshold becomes that number plus ``step``. The jumps are few, and each is an aggregate.
+    else the threshold becomes that number plus ``step``. The jumps are few, and each is an aggregate. ``order`` is total.
     """
-    run = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    running = flags.withColumns({"unique_total": F.sum("uniques").over(run), "retained_total": F.sum("retained").over(run)})
+    uniques = running_sum(flags, [], [order], F.col("uniques"), "unique_total")
+    running = written(running_sum(uniques, [], [order], F.col("retained"), "retained_total"), "early_stop")
     threshold = most
     while True:
         stop = running.where(F.col("unique_total") >= threshold).agg(F.min(F.struct(order, "unique_total", "retained_total")).alias("s")).first()["s"]

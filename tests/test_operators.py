@@ -61,6 +61,22 @@ def test_early_stop(spark):
     assert read.count() == expected
 
 
+def test_early_stop_runs_over_commits(spark):
+    from docweft import catalogue
+
+    folder = "/root/testdata/sf0.001"
+    samples = spark.read.parquet(f"{folder}/samples.parquet").select("sample_id", "project_slug", "commit_hash").collect()
+    starts = {}
+    for i, p, h in sorted(samples):
+        starts.setdefault((p, h.lower() if h is not None else i), i)
+    got = catalogue.queries()["early_stop_limit"](spark, folder).orderBy("scan_seq").collect()
+    assert [r["scan_seq"] for r in got] == sorted(starts.values())[: len(got)] and len(got) > 10
+    uniques = retained = 0
+    for r in got:
+        uniques, retained = uniques + r["uniques"], retained + r["retained"]
+        assert (r["unique_total"], r["retained_total"]) == (uniques, retained)
+
+
 def test_interleaved_order(spark):
     old = spark.createDataFrame([("a", 0), ("b", 1)], "fp string, o long")
     new = spark.createDataFrame([("c", 0), ("d", 1)], "fp string, o long")
