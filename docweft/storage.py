@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 import uuid
@@ -30,7 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL_DIRS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="docweft-"))
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = own = tempfile.mkdtemp(prefix="docweft-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -53,6 +58,35 @@ def written_counted(df: DataFrame, name: str, *partition_by: str) -> tuple[DataF
     return written(df.observe(seen, F.count(F.lit(1)).alias("n")), name, *partition_by), seen.get["n"]
 
 
+class Scratch:
+    """Tables written for one job, deleted together once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def written(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+        """As the function ``written``; the files are deleted by ``drop``."""
+        path = fresh_path(self.spark, name)
+        self.paths.append(path)
+        writer = df.write.option("compression", "zstd")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """A written table and the number of its rows, counted while it is written."""
+        seen = Observation()
+        out = self.written(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+        return out, seen.get["n"]
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+        self.paths.clear()
+
+
 def drop_table(df: DataFrame) -> None:
     """Deletes the files of a table that ``written`` made and nothing will read again."""
     for path in {str(Path(f)).rpartition("/")[0] for f in df.inputFiles()}:
