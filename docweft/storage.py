@@ -9,6 +9,7 @@ import zipfile
 import uuid
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,17 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 def written_counted(df: DataFrame, name: str, *partition_by: str) -> tuple[DataFrame, int]:
     """As ``written``, with the number of rows counted while they are written."""
     seen = Observation()
-    return written(df.observe(seen, F.count(F.lit(1)).alias("n")), name, *partition_by), seen.get["n"]
+    return written(df.observe(seen, F.count(F.lit(1)).alias("n")), name, *partition_by), noted(seen, "n")
+
+
+def noted(seen: Observation, name: str) -> int:
+    """A number observed by a finished action; 0 where Spark found the observed part empty and left it out."""
+    try:
+        return seen.get.get(name) or 0
+    except Py4JJavaError as error:
+        if "AssertionError" in str(error):
+            return 0
+        raise
 
 
 class Scratch:
@@ -79,7 +90,7 @@ class Scratch:
         """A written table and the number of its rows, counted while it is written."""
         seen = Observation()
         out = self.written(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
-        return out, seen.get["n"]
+        return out, noted(seen, "n")
 
     def drop(self) -> None:
         for path in self.paths:
