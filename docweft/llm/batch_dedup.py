@@ -1,10 +1,10 @@
-"""New batches against all that was accepted before: a forest of prefix trees over set signatures.
+"""New batches against all that was accepted before.
 
-The index keeps, for each of ``TREES`` permutations, the sorted labels of all accepted rows (a label is
-the permutation's number and ``DEPTH`` minimum hashes). Runs are Parquet files sorted by label, one run
-a batch, merged when they grow many. A batch looks its own labels up by prefix, deepest first; rows for
-which no duplicate is verified look again with a shorter prefix, until the prefix length at which the
-recall target is met. Every candidate is verified over whole sets.
+Accepted sets lie in a persisted forest of prefix trees (``forest``). A batch looks its own labels up, deepest
+prefix first and nearest neighbours first; sets for which no duplicate is verified look again under a shorter
+prefix, until the prefix length at which the recall target is met and all entries under it are seen. Every
+candidate is verified over whole sets. One row of each set and one of each key (commit and code) enters the
+forest, so copies weigh nothing.
 
 Within a batch the order decides: a row is turned away by an *accepted* earlier row only. Rows with equal
 sets form a class; links lie between classes; decisions go in rounds over the smallest accepted and the
@@ -16,21 +16,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..storage import drop_path, fresh_path, written, written_counted
+from ..storage import Scratch, fresh_path, noted
 from . import kernels as K
+from .forest import DEPTH, EXACT, TREES, WIDTH, Forest
 from .near_dups import likeness, shingle_table
 
 FIELDS = ("code_after", "javadoc_after")
 THRESHOLD = 0.6
-TREES = 32
-DEPTH = 5
 RECALL = 0.999
 SEED = 31_013
-MOST_RUNS = 4
-BROADCAST_BYTES = 48 << 20  # a batch's side is broadcast only below this measured size; else both sides are shuffled
+NEAR = 64  # neighbours on either side that a look-up takes first; it goes on, eight times as far, while more are left
+CROWD = 64  # open classes of one batch under one prefix, beyond which they are compared with its first one first
 MAX_ROUNDS = 10_000
 
 
@@ -49,190 +48,217 @@ def exact_key() -> F.Column:
     return F.when(usable, F.unhex(F.md5(F.concat_ws("\x01", F.lower("commit_hash"), code))))
 
 
-def signed(samples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (sets and keys), classes of equal sets and labels of all rows that have shingles, each written by batch.
+def open_forest(samples: DataFrame, folder: str | None = None) -> Forest:
+    """The index in ``folder``, which all executors must share; a new one where there is none."""
+    return Forest(samples.sparkSession, folder or fresh_path(samples.sparkSession, "forest"), {"fields": list(FIELDS), "threshold": THRESHOLD, "seed": SEED})
 
-    A null batch comes first, as if it were the oldest. Texts are read once and nothing but hashes leaves the scan.
+
+def signed(samples: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows, classes of equal sets, and labels of these classes and of the keys; each written by batch.
+
+    rows (id, fp, fp2, key, batch); classes (fp, fp2, cls, copies, n, grams, batch) with the smallest row of each set;
+    labels (label, id, n, batch). A null batch comes first, as if it were the oldest. Texts are read once.
     """
     others = {"key": exact_key(), "batch": F.coalesce(F.col("batch_id").cast("bigint"), F.lit(-1))}
-    sets = shingle_table(samples, "sample_id", FIELDS, others=others)
-    rows = written(sets.select("id", "fp", "fp2", "n", "grams", "key", "batch"), "signed", "batch")
-    classes = rows.where("n > 0").groupBy("batch", "fp", "fp2").agg(F.min("id").alias("cls"), F.count("*").alias("copies"))
-    return rows, written(classes, "classes", "batch"), written(labelled(rows), "labels", "batch")
+    sets = scratch.written(shingle_table(samples, "sample_id", FIELDS, others=others).drop("tf"), "signed", "batch")
+    grouped = sets.where("n > 0").groupBy("batch", "fp", "fp2").agg(F.min("id").alias("cls"), F.count("*").alias("copies"), F.min_by(F.struct("n", "grams"), "id").alias("s"))
+    classes = scratch.written(grouped.select("fp", "fp2", "cls", "copies", "s.n", "s.grams", "batch"), "classes", "batch")
+    keys = sets.where("key is not null").groupBy("batch", "key").agg(F.min("id").alias("id")).select(key_label().alias("label"), "id", F.lit(0).alias("n"), "batch")
+    labels = scratch.written(labelled(classes).unionByName(keys), "labels", "batch")
+    return sets.select("id", "fp", "fp2", "n", "key", "batch"), classes, labels
+
+
+def key_label() -> F.Column:
+    """A key as a label of the forest."""
+    return F.concat(F.unhex(F.lit(f"{EXACT:02X}")), F.col("key"), F.unhex(F.lit("00" * (WIDTH - 17))))
 
 
-def labelled(rows: DataFrame) -> DataFrame:
-    """(label, id, batch) for each tree of each row that has shingles."""
+def labelled(classes: DataFrame) -> DataFrame:
+    """(label, id, n, batch) for each tree of each class."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 grams, at = K.list_values(batch.column("grams"), "int64")
                 labels = K.tree_labels(K.minhash(grams.view("uint64"), at, TREES * DEPTH, SEED), TREES, DEPTH)
-                each = {c: pa.array(batch.column(c).to_numpy().repeat(TREES)) for c in ("id", "batch")}
+                each = {c: pa.array(batch.column(b).to_numpy().repeat(TREES)) for c, b in (("id", "cls"), ("n", "n"), ("batch", "batch"))}
                 yield pa.record_batch({"label": labels, **each})
 
-    return rows.where("n > 0").select("id", "grams", "batch").mapInArrow(kernel, "label binary, id bigint, batch bigint")
-
-
-def _side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    """The smaller side of a join, broadcast if its measured size allows."""
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
-
-
-def _none(spark: SparkSession, schema: str) -> DataFrame:
-    columns = (c.strip().split(" ", 1) for c in schema.split(","))
-    return spark.range(0).selectExpr(*[f"cast(null as {kind}) as {name}" for name, kind in columns])
-
-
-class Forest:
-    """The persisted index of accepted rows. ``folder`` must be one that all executors share."""
-
-    def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
-        self.spark = spark
-        self.folder = folder or fresh_path(spark, "forest")
-        self.label_runs: list[str] = []
-        self.row_runs: list[str] = []
-        self.number = 0
-
-    def _write(self, df: DataFrame, kind: str) -> str:
-        self.number += 1
-        path = f"{self.folder}/{kind}-{self.number:06d}"
-        df.write.option("compression", "zstd").parquet(path)
-        return path
-
-    def labels(self) -> DataFrame:
-        schema = "label binary, id bigint"
-        return self.spark.read.schema(schema).parquet(*self.label_runs) if self.label_runs else _none(self.spark, schema)
-
-    def rows(self) -> DataFrame:
-        schema = "id bigint, grams array<bigint>, key binary"
-        return self.spark.read.schema(schema).parquet(*self.row_runs) if self.row_runs else _none(self.spark, schema)
+    return classes.select("cls", "n", "grams", "batch").mapInArrow(kernel, "label binary, id bigint, n int, batch bigint")
 
-    def append(self, labels: DataFrame, rows: DataFrame) -> None:
-        """Adds one run; when runs are many, all but the largest are merged into one."""
-        self.label_runs.append(self._write(_sorted_run(labels.select("label", "id")), "labels"))
-        self.row_runs.append(self._write(rows.select("id", "grams", "key"), "rows"))
-        if len(self.label_runs) > MOST_RUNS:
-            old = self.label_runs[1:]
-            merged = self.spark.read.schema("label binary, id bigint").parquet(*old)
-            self.label_runs = [self.label_runs[0], self._write(_sorted_run(merged), "labels")]
-            for path in old:
-                drop_path(self.spark, path)
 
-    def candidates(self, labels: DataFrame, sets: int, depth: int, own: DataFrame | None = None) -> tuple[DataFrame, int]:
-        """(a, b, own) and their number: sets whose label shares a prefix of ``depth`` values with an accepted row's.
+def held_before(forest: Forest, classes: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(a) of the classes with a near duplicate in the forest, and (a) of the keys that stand there; both by their smallest row.
 
-        With ``own``, the batch's labels, also pairs a > b among these, with ``own`` true.
-        """
-        # A prefix as one number: a compact table to look up, and what collides fails the verification.
-        prefix = F.xxhash64(F.substring("label", 1, 1 + 4 * depth)).alias("prefix")
-        mine = labels.select(prefix, F.col("id").alias("a"))
-        theirs = self.labels().select(prefix, F.col("id").alias("b"), F.lit(False).alias("own"))
-        if own is not None:
-            theirs = theirs.union(own.select(prefix, "id", F.lit(True)))
-        met = theirs.join(_side(mine, sets * TREES, 64), "prefix").where("not own or a > b")
-        return written_counted(met.groupBy("a", "b").agg(F.max("own").alias("own")), "candidates")
-
-
-def _sorted_run(labels: DataFrame) -> DataFrame:
-    """Labels with the same beginning in one file, each file sorted: a prefix is one range of one file."""
-    parts = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return labels.repartition(parts, F.substring("label", 1, 3)).sortWithinPartitions("label")
-
-
-def verified(pairs: DataFrame, number: int, left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The (a, b, own) of ``number`` pairs with likeness at or above the threshold."""
-    near = left.select(F.col("id").alias("a"), F.col("grams").alias("ga")).join(_side(pairs, number, 32), "a")
-    far = right.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
-    return far.join(_side(near, number, 4096), "b").where(likeness(F.col("ga"), F.col("gb")) >= threshold).select("a", "b", "own")
-
-
-def _decide(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, cls, accepted) of open rows (id, cls, key) of one batch, in order of id, with links (c, d) between classes.
+    Rounds: the nearest ``NEAR`` entries on each side under ever shorter prefixes, for the classes not settled so far;
+    then, while any open class has entries left under the shortest prefix, eight times as far each time.
+    """
+    own = classes.select(F.col("cls").alias("id"), "grams")
+    hits = keys = classes.select(F.col("cls").alias("a")).limit(0)
+    trees = labels.where(F.substring("label", 1, 1) != F.unhex(F.lit(f"{EXACT:02X}")))
+    if not forest.runs:
+        return hits, keys
+    rounds = [(depth, 0, NEAR) for depth in range(DEPTH, least_depth() - 1, -1)]
+    asked = labels
+    while rounds:
+        depth, near, far = rounds.pop(0)
+        looked, compared = Observation(), Observation()
+        pairs = forest.candidates(asked, depth, near, far, THRESHOLD, looked)
+        if asked is labels:
+            pairs = scratch.written(pairs, "met")
+            keys = pairs.where("b is null").select("a")
+        hits = hits.union(scratch.written(forest.verify(pairs, own, THRESHOLD, compared).distinct(), "hits"))
+        forest.bytes_read += noted(looked, "read") + noted(compared, "read")
+        if not rounds and noted(looked, "more"):
+            rounds.append((depth, far, far * 8))
+        asked = trees.join(hits, F.col("id") == F.col("a"), "left_anti")
+    return hits, keys
+
+
+def _pairs_verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The (a, b) of one batch whose sets are like enough; sizes are compared before any set is fetched."""
+    sizes = classes.select("cls", "n")
+    near = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    near = near.where(F.least("na", "nb") >= F.greatest("na", "nb") * THRESHOLD).select("a", "b")
+    sets = classes.select("cls", "grams")
+    return near.join(sets.toDF("a", "ga"), "a").join(sets.toDF("b", "gb"), "b").where(likeness(F.col("ga"), F.col("gb")) >= THRESHOLD).select("a", "b")
+
+
+def links_inside(labels: DataFrame, hits: DataFrame, classes: DataFrame, firm: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(a, b) links between open classes of one batch, a > b, and (a) of classes that a surely accepted row turns away.
+
+    Classes that share a prefix of the least depth are compared. Where more than ``CROWD`` do, they are first compared with
+    the first of them only: if that one is ``firm`` (the first of its key, which is new) and the first under all its
+    prefixes, it will be accepted, and whatever is near it goes at once. This repeats while it turns any away, so a batch
+    in which a third of the rows are edits of one text is not paired with itself.
+    """
+    prefix = F.xxhash64(F.substring("label", 1, 1 + 4 * least_depth())).alias("p")
+    trees = labels.where(F.substring("label", 1, 1) != F.unhex(F.lit(f"{EXACT:02X}")))
+    sizes = Observation()
+    open_ = trees.join(hits, F.col("id") == F.col("a"), "left_anti").select(prefix, "id")
+    shared = open_.groupBy("p").agg(F.count("*").alias("c"), F.min("id").alias("low")).where("c > 1")
+    open_ = scratch.written(open_.join(shared, "p").observe(sizes, F.max("c").alias("most")), "open")
+    turned = classes.select(F.col("cls").alias("a")).limit(0)
+    for _ in range(MAX_ROUNDS):
+        if noted(sizes, "most") <= CROWD:
+            break
+        first = open_.groupBy("id").agg(F.bool_and(F.col("low") == F.col("id")).alias("first")).where("first").join(firm, "id", "left_semi").select("id")
+        crowded = open_.where(f"c > {CROWD}").join(first.select(F.col("id").alias("low")), "low", "left_semi")
+        star = crowded.where("id > low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
+        gone, number = scratch.counted(_pairs_verified(star, classes).select("a").distinct(), "gone")
+        # A first one has now met all under its crowded prefixes: it leaves them, with those it turns away.
+        settled = crowded.where("id = low").select("p", "id")
+        left = open_.drop("c", "low").join(gone.select(F.col("a").alias("id")), "id", "left_anti").join(settled, ["p", "id"], "left_anti")
+        shared = left.groupBy("p").agg(F.count("*").alias("c"), F.min("id").alias("low")).where("c > 1")
+        sizes, before = Observation(), open_
+        open_ = scratch.written(left.join(shared, "p").observe(sizes, F.max("c").alias("most")), "open")
+        turned = turned.union(gone)
+        if not number and before.count() == open_.count():
+            break
+    pairs = open_.select("p", F.col("id").alias("a")).join(open_.select("p", F.col("id").alias("b")), "p").where("a > b").select("a", "b").distinct()
+    return scratch.written(_pairs_verified(pairs, classes), "links"), turned
+
+
+def _decide(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, cls, key, accepted) of open rows (id, cls, key) of one batch, in order of id, with links (c, d) between classes.
 
     A row belongs to its class and its key and watches these and the classes linked to its own. It is turned
     away when a watched group has an accepted row before it, waits while one has an open row before it, and is
-    accepted otherwise. Groups are reduced to their smallest accepted and smallest open row.
+    accepted otherwise. Groups are reduced to their smallest accepted and smallest open row before they are joined.
     """
-    named = F.array_compact(F.array(F.concat(F.lit("c"), F.col("cls").cast("string")), F.concat(F.lit("k"), F.hex("key"))))
-    own = rows.select("id", "cls", F.explode(named).alias("g"))
-    near = rows.join(links, F.col("cls") == F.col("c")).select("id", "cls", F.concat(F.lit("c"), F.col("d").cast("string")).alias("g"), F.lit(False))
-    watched = written(own.select("id", "cls", "g", F.lit(True).alias("own")).union(near), "watched")
-    state = watched.withColumn("accepted", F.lit(None).cast("boolean"))
+    state = rows.withColumn("accepted", F.lit(None).cast("boolean"))
+    low = [F.min(F.when(c, F.col("id"))).alias(n) for c, n in ((F.col("accepted"), "done"), (F.col("accepted").isNull(), "open"))]
+    links = scratch.written(links, "watched")
     for _ in range(MAX_ROUNDS):
-        low = [F.min(F.when(c, F.col("id"))) for c in (F.col("accepted"), F.col("accepted").isNull())]
-        groups = state.where("own").groupBy("g").agg(low[0].alias("done"), low[1].alias("open"))
-        seen = state.join(groups, "g").groupBy("id").agg(F.min("done").alias("done"), F.min("open").alias("open"), F.first("accepted").alias("accepted"), F.first("cls").alias("cls"))
-        verdict = F.when(F.col("done") < F.col("id"), False).when(F.col("open") < F.col("id"), None).otherwise(True)
+        own = state.where("cls is not null").groupBy("cls").agg(*low)
+        near = links.join(own, F.col("d") == F.col("cls")).select(F.col("c").alias("cls"), "done", "open")
+        seen = own.union(near).groupBy("cls").agg(F.min("done").alias("done"), F.min("open").alias("open"))
+        keys = state.where("key is not null").groupBy("key").agg(*[c.alias(f"k_{n}") for c, n in zip(low, ("done", "open"), strict=True)])
+        watched = state.join(seen, "cls", "left").join(keys, "key", "left")
+        done, open_ = F.least("done", "k_done"), F.least("open", "k_open")
+        verdict = F.when(done < F.col("id"), False).when(open_ < F.col("id"), None).otherwise(True)
         waiting = Observation()
-        told = seen.select("id", "cls", F.coalesce("accepted", verdict).alias("accepted"))
-        told = written(told.observe(waiting, F.count_if(F.col("accepted").isNull()).alias("n")), "round")
-        if not waiting.get["n"]:
-            return told
-        state = watched.join(told.drop("cls"), "id")
+        state = watched.select("id", "cls", "key", F.coalesce("accepted", verdict).alias("accepted"))
+        state = scratch.written(state.observe(waiting, F.count_if(F.col("accepted").isNull()).alias("n")), "round")
+        if not noted(waiting, "n"):
+            return state
     raise RuntimeError("a batch did not settle")
 
 
-def check_batch(forest: Forest, batch: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, accepted) of the rows of one signed batch, and their entry into the forest.
+def _enter(forest: Forest, number: int, result: DataFrame, classes: DataFrame, labels: DataFrame, rows: DataFrame, bound: tuple[int, int]) -> DataFrame:
+    """Writes the batch's decisions (id, cls, accepted) and enters its first accepted row of each set and of each key."""
+    path = f"{forest.folder}/decisions/{number}"
+    result.select("id", "cls", "accepted").write.mode("overwrite").option("compression", "zstd").parquet(path)
+    told = rows.sparkSession.read.schema("id bigint, cls bigint, accepted boolean").parquet(path)
+    first = told.where("accepted and cls is not null").groupBy("cls").agg(F.min("id").alias("first"))
+    tree = labels.where(F.substring("label", 1, 1) != F.unhex(F.lit(f"{EXACT:02X}")))
+    named = tree.join(first, F.col("id") == F.col("cls")).select("label", F.col("first").alias("id"), "n")
+    keyed = rows.where("key is not null").join(told.where("accepted"), "id", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
+    forest.append(
+        named.union(keyed.select(key_label(), "id", F.lit(0))), classes.join(first, "cls").select(F.col("first").alias("id"), "grams"), bound, str(number), path
+    )
+    return told
+
 
-    The tables are the batch's parts of what ``signed`` gives. Rows with an empty set can be turned away by
-    their key only. Only one row of each set looks up the history: first by whole labels, then, with the sets
-    left, by the prefix that meets the recall target, together with the batch's own sets. No accepted row is
-    signed again.
+def check_batch(forest: Forest, number: int, rows: DataFrame, classes: DataFrame, labels: DataFrame, accept_all: bool = False) -> DataFrame:
+    """(id, cls, accepted) of the rows of one signed batch, and their entry into the forest.
+
+    The tables are the batch's parts of what ``signed`` gives. A batch that the index has already is not decided again:
+    its decisions are read. Rows with an empty set can be turned away by their key only.
     """
+    spark = rows.sparkSession
+    if str(number) in forest.batches:
+        return spark.read.schema("id bigint, cls bigint, accepted boolean").parquet(forest.batches[str(number)])
+    scratch = Scratch(spark)
     sets = classes.count()
-    one = labels.join(_side(classes.select(F.col("cls").alias("id")), sets, 32), "id", "left_semi")
-    hit = written(verified(*forest.candidates(one, sets, DEPTH), batch, forest.rows()).select("a").distinct(), "hit")
-    rest = one.join(hit, F.col("id") == F.col("a"), "left_anti")
-    both = forest.rows().select("id", "grams").union(batch.select("id", "grams"))
-    links = written(verified(*forest.candidates(rest, sets, least_depth(), own=one), batch, both), "links")
-    # A class with a mark is hit, settled by history, or linked to others of the batch, or both.
+    bound = (sets * TREES + labels.where(F.substring("label", 1, 1) == F.unhex(F.lit(f"{EXACT:02X}"))).count(), sets)
+    classed = rows.join(classes.select("fp", "fp2", "cls", "copies"), ["fp", "fp2"], "left").select("id", "cls", "copies", "key")
+    if accept_all:
+        out = _enter(forest, number, classed.withColumn("accepted", F.lit(True)), classes, labels, rows, bound)
+        scratch.drop()
+        return out
+    hits, held = held_before(forest, classes, labels, scratch)
+    keys = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("same"), F.min("id").alias("first"))
+    keys = scratch.written(keys.join(held.withColumn("old", F.lit(True)), F.col("first") == F.col("a"), "left").select("key", "same", "first", "old"), "keys")
+    # A class whose first row is the first of its key, and that key new, or has no key, depends on its set alone.
+    lead = rows.join(classes.select(F.col("cls").alias("id")), "id", "left_semi").select("id", "key").join(keys, "key", "left")
+    firm = lead.where("key is null or (old is null and first = id)").select("id")
+    links, turned = links_inside(labels, hits, classes, firm, scratch)
     yes, no = F.lit(True), F.lit(False)
-    inside = links.where("own")
-    marks = hit.select(F.col("a").alias("cls"), yes.alias("hit")).union(links.select("a", ~F.col("own"))).union(inside.select("b", no))
+    marks = hits.union(turned).select(F.col("a").alias("cls"), yes.alias("hit")).union(links.select("a", no)).union(links.select("b", no))
     marks = marks.groupBy("cls").agg(F.max("hit").alias("hit"))
-    mine = batch.where("key is not null").select("key")
-    held = forest.rows().select("key").join(_side(mine, sets, 64), "key", "left_semi").select("key", F.lit(2).alias("n"), yes.alias("old"))
-    keys = mine.select("key", F.lit(1).alias("n"), no.alias("old")).union(held).groupBy("key").agg(F.sum("n").alias("same"), F.max("old").alias("old"))
-    told = batch.select("id", "n", "fp", "fp2", "key").join(classes.select("fp", "fp2", "cls", "copies"), ["fp", "fp2"], "left").join(marks, "cls", "left").join(keys, "key", "left")
-    turned = F.coalesce("hit", no) | F.coalesce("old", no)
+    told = classed.join(marks, "cls", "left").join(keys, "key", "left")
+    away = F.coalesce("hit", no) | F.coalesce("old", no)
     contested = (F.coalesce("copies", F.lit(1)) > 1) | (F.coalesce("same", F.lit(1)) > 1) | F.col("hit").isNotNull()
     disputes = Observation()
-    told = told.select("id", "cls", "key", turned.alias("turned"), (~turned & contested).alias("contested"))
-    told = written(told.observe(disputes, F.count_if("contested").alias("n")), "told")
-    result = told.where("not contested").select("id", "cls", (~F.col("turned")).alias("accepted"))
-    if disputes.get["n"]:
-        linked = inside.select(F.col("a").alias("c"), F.col("b").alias("d")).union(inside.select("b", "a"))
-        result = result.union(_decide(told.where("contested").select("id", "cls", "key"), linked))
-    accepted = result.where("accepted")
-    # The label of a set enters with the set's first accepted row, the rows enter one for one.
-    first = accepted.where("cls is not null").groupBy("cls").agg(F.min("id").alias("first"))
-    named = labels.join(first, F.col("id") == F.col("cls")).select("label", F.col("first").alias("id"))
-    forest.append(named, batch.join(accepted.select("id"), "id", "left_semi"))
-    return result.select("id", "accepted")
-
-
-def accept_all(forest: Forest, batch: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """The oldest batch: every row is accepted; the forest keeps labels of one row of each set."""
-    forest.append(labels.join(classes.select(F.col("cls").alias("id")), "id", "left_semi"), batch)
-    return batch.select("id", F.lit(True).alias("accepted"))
+    told = told.select("id", "cls", "key", away.alias("away"), (~away & contested).alias("contested"))
+    told = scratch.written(told.observe(disputes, F.count_if("contested").alias("n")), "told")
+    result = told.where("not contested").select("id", "cls", (~F.col("away")).alias("accepted"))
+    if noted(disputes, "n"):
+        both = links.select(F.col("a").alias("c"), F.col("b").alias("d")).union(links.select("b", "a"))
+        result = result.union(_decide(told.where("contested").select("id", "cls", "key"), both, scratch).select("id", "cls", "accepted"))
+    out = _enter(forest, number, result, classes, labels, rows, bound)
+    scratch.drop()
+    return out
 
 
 def decisions(samples: DataFrame, forest: Forest | None = None) -> DataFrame:
-    """(id, accepted) of all rows, batch after batch; batch 0 and older are accepted whole.
+    """(id, accepted) of all rows of ``samples``, batch after batch; batch 0 and older are accepted whole.
 
-    ``sample_id`` must be unique. Null texts count as empty; a null commit hash equals none. An empty
-    table gives an empty result.
+    ``forest`` may hold the batches of earlier calls, which are not read again; it is opened from its folder by
+    ``open_forest``. ``sample_id`` must be unique. Null texts count as empty; a null commit hash equals none. An
+    empty table gives an empty result. What is in the index already keeps its decisions.
     """
-    tables = signed(samples)
-    forest = forest or Forest(samples.sparkSession)
+    spark = samples.sparkSession
+    forest = forest or open_forest(samples)
+    scratch = Scratch(spark)
+    tables = signed(samples, scratch)
     numbers = [r["batch"] for r in tables[0].select("batch").distinct().orderBy("batch").collect()]
-    out = _none(samples.sparkSession, "id bigint, accepted boolean")
     for number in numbers:
-        parts = [t.where(F.col("batch") == number) for t in tables]
-        out = out.union(accept_all(forest, *parts) if number <= 0 else check_batch(forest, *parts))
-    return out
+        check_batch(forest, number, *[t.where(F.col("batch") == number) for t in tables], accept_all=number <= 0)
+    scratch.drop()
+    paths = [forest.batches[str(n)] for n in numbers]
+    schema = "id bigint, accepted boolean"
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def found(samples: DataFrame) -> DataFrame:

@@ -283,6 +283,19 @@ def list_values(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
     return values.astype(dtype, copy=False), at - at[0]
 
 
+def set_likeness(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Size of the intersection over that of the union of the sets in each row of two list columns; 0 if either is empty."""
+    (x, xa), (y, ya) = list_values(a, np.int64), list_values(b, np.int64)
+    nx, ny = np.diff(xa), np.diff(ya)
+    row = np.concatenate([np.repeat(np.arange(len(nx)), nx), np.repeat(np.arange(len(ny)), ny)])
+    value = np.concatenate([x, y])
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    same = (row[1:] == row[:-1]) & (value[1:] == value[:-1])
+    both = np.bincount(row[1:][same], minlength=len(nx))
+    return np.where((nx > 0) & (ny > 0), both / np.maximum(nx + ny - both, 1), 0.0)
+
+
 def tree_labels(signature: np.ndarray, trees: int, depth: int) -> pa.Array:
     """One binary label a row and tree: the tree's number, then ``depth`` sample values, most significant byte first."""
     n = signature.shape[0]

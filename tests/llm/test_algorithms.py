@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docweft.llm import batch_dedup, format_dups, hashes, kernels, near_dups, splits, survivor
+from docweft.llm import batch_dedup, forest as forest_module, format_dups, hashes, kernels, near_dups, splits, survivor
 
 COMMITS = "commit_seq long, project_slug string, commit_hash string"
 SAMPLES = "sample_id long, batch_id int, commit_hash string, code_before string, code_after string, javadoc_before string, javadoc_after string"
@@ -153,14 +153,51 @@ def test_only_accepted_rows_turn_away(spark):
     assert rows(batch_dedup.found(spark.createDataFrame(data, SAMPLES))) == [(2,), (5,)]
 
 
-def test_forest_takes_later_batches(spark):
+@pytest.mark.parametrize("near", [64, 1])
+def test_forest_is_reopened_for_later_batches(spark, tmp_path, monkeypatch, near):
+    monkeypatch.setattr(batch_dedup, "NEAR", near)
     data = _samples(3)
     df = spark.createDataFrame(data, SAMPLES)
-    forest = batch_dedup.Forest(spark)
-    first = batch_dedup.decisions(df.where("batch_id < 2"), forest).where("not accepted")
-    later = batch_dedup.decisions(df.where("batch_id >= 2"), forest).where("not accepted")
-    assert {r[0] for r in first.union(later).collect()} == _turned_away(data)
-    assert len(forest.label_runs) <= batch_dedup.MOST_RUNS + 1
+    folder = f"file://{tmp_path}/forest"
+    got = []
+    for part in ("batch_id < 2", "batch_id = 2", "batch_id > 2"):
+        forest = batch_dedup.open_forest(df, folder)  # each part by an object that knows the folder only
+        got += batch_dedup.decisions(df.where(part), forest).where("not accepted").collect()
+    assert {r[0] for r in got} == _turned_away(data)
+    again = batch_dedup.open_forest(df, folder)
+    number, runs = again.number, len(again.runs)
+    assert {r[0] for r in batch_dedup.decisions(df, again).where("not accepted").collect()} == _turned_away(data)
+    assert again.number == number and runs <= forest_module.TIER * 3
+    with pytest.raises(ValueError):
+        forest_module.Forest(spark, folder, {"seed": 1})
+
+
+def test_runs_are_merged_and_only_some_files_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(forest_module, "LABELS_A_FILE", 256)
+    monkeypatch.setattr(forest_module, "SETS_A_FILE", 16)
+    text = lambda i: " ".join(f"t{i}w{k}" for k in range(20))
+    data = [(b * 100 + i, b, None, None, text(b * 100 + i), None, None) for b in range(6) for i in range(40)] + [(900, 6, None, None, text(3) + " x", None, None)]
+    df = spark.createDataFrame(data, SAMPLES)
+    forest = batch_dedup.open_forest(df, f"file://{tmp_path}/forest")
+    batch_dedup.decisions(df.where("batch_id < 6"), forest)
+    assert [r.tier for r in forest.runs] == [1, 0, 0] and sum(p.rows for r in forest.runs for p in r.sets) == 240
+    assert len(forest.runs[0].labels) > 8
+    before = forest.bytes_read
+    assert rows(batch_dedup.decisions(df.where("batch_id = 6"), forest)) == [(900, False)]
+    assert 0 < forest.bytes_read - before
+
+
+def test_a_batch_of_edits_of_one_text(spark, monkeypatch):
+    monkeypatch.setattr(batch_dedup, "CROWD", 8)
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(40)]
+    data = [(1, 0, None, None, "other words stand in here", None, None)]
+    for i in range(2, 122):
+        words = list(base) if i % 3 else [f"v{i}x{k}" for k in range(30)]
+        words[rng.randrange(len(words))] = f"e{i}"
+        data.append((i, 1, None if i % 5 else "aa", None, " ".join(words), None, None))
+    got = {r[0] for r in batch_dedup.found(spark.createDataFrame(data, SAMPLES)).collect()}
+    assert got == _turned_away(data) and len(got) > 70
 
 
 def test_survivor_is_the_lexicographic_best_of_the_skyline(spark):
