@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..storage import Scratch, fresh_path, noted
 from . import kernels as K
-from .forest import DEPTH, EXACT, TREES, WIDTH, Forest
+from .forest import DEPTH, EXACT, TREES, WIDTH, Forest, labels_of
 from .near_dups import likeness, shingle_table
 
 FIELDS = ("code_after", "javadoc_after")
@@ -57,60 +57,66 @@ def signed(samples: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame,
     """Rows, classes of equal sets, and labels of these classes and of the keys; each written by batch.
 
     rows (id, fp, fp2, key, batch); classes (fp, fp2, cls, copies, n, grams, batch) with the smallest row of each set;
-    labels (label, id, n, batch). A null batch comes first, as if it were the oldest. Texts are read once.
+    signs (sign, id, n, batch) of the classes and of the keys. A null batch comes first, as if it were the oldest. Texts
+    are read once.
     """
     others = {"key": exact_key(), "batch": F.coalesce(F.col("batch_id").cast("bigint"), F.lit(-1))}
     sets = scratch.written(shingle_table(samples, "sample_id", FIELDS, others=others).drop("tf"), "signed", "batch")
     grouped = sets.where("n > 0").groupBy("batch", "fp", "fp2").agg(F.min("id").alias("cls"), F.count("*").alias("copies"), F.min_by(F.struct("n", "grams"), "id").alias("s"))
     classes = scratch.written(grouped.select("fp", "fp2", "cls", "copies", "s.n", "s.grams", "batch"), "classes", "batch")
-    keys = sets.where("key is not null").groupBy("batch", "key").agg(F.min("id").alias("id")).select(key_label().alias("label"), "id", F.lit(0).alias("n"), "batch")
-    labels = scratch.written(labelled(classes).unionByName(keys), "labels", "batch")
-    return sets.select("id", "fp", "fp2", "n", "key", "batch"), classes, labels
+    keys = sets.where("key is not null").groupBy("batch", "key").agg(F.min("id").alias("id")).select(key_sign(), "id", F.lit(0).alias("n"), "batch")
+    signs = scratch.written(set_signs(classes).unionByName(keys), "signs", "batch")
+    return sets.select("id", "fp", "fp2", "n", "key", "batch"), classes, signs
 
 
-def key_label() -> F.Column:
+def key_sign() -> F.Column:
     """A key as a label of the forest."""
-    return F.concat(F.unhex(F.lit(f"{EXACT:02X}")), F.col("key"), F.unhex(F.lit("00" * (WIDTH - 17))))
+    return F.concat(F.unhex(F.lit(f"{EXACT:02X}")), F.col("key"), F.unhex(F.lit("00" * (WIDTH - 17)))).alias("sign")
 
 
-def labelled(classes: DataFrame) -> DataFrame:
-    """(label, id, n, batch) for each tree of each class."""
+def of_sets(signs: DataFrame) -> DataFrame:
+    """The rows of ``signs`` that are sets, not keys."""
+    return signs.where(F.octet_length("sign") > WIDTH)
+
+
+def set_signs(classes: DataFrame) -> DataFrame:
+    """(sign, id, n, batch): the minimum hashes of each class."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 grams, at = K.list_values(batch.column("grams"), "int64")
-                labels = K.tree_labels(K.minhash(grams.view("uint64"), at, TREES * DEPTH, SEED), TREES, DEPTH)
-                each = {c: pa.array(batch.column(b).to_numpy().repeat(TREES)) for c, b in (("id", "cls"), ("n", "n"), ("batch", "batch"))}
-                yield pa.record_batch({"label": labels, **each})
+                sign = K.signature_column(K.minhash(grams.view("uint64"), at, TREES * DEPTH, SEED))
+                yield pa.record_batch({"sign": sign, "id": batch.column("cls"), "n": batch.column("n"), "batch": batch.column("batch")})
 
-    return classes.select("cls", "n", "grams", "batch").mapInArrow(kernel, "label binary, id bigint, n int, batch bigint")
+    return classes.select("cls", "n", "grams", "batch").mapInArrow(kernel, "sign binary, id bigint, n int, batch bigint")
 
 
-def held_before(forest: Forest, classes: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def held_before(forest: Forest, classes: DataFrame, signs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(a) of the classes with a near duplicate in the forest, and (a) of the keys that stand there; both by their smallest row.
 
-    Rounds: the nearest ``NEAR`` entries on each side under ever shorter prefixes, for the classes not settled so far;
-    then, while any open class has entries left under the shortest prefix, eight times as far each time.
+    Rounds: the nearest ``NEAR`` entries on each side under ever shorter prefixes, for the classes not settled so far. Deep
+    prefixes are looked up in some of the trees, as what is nearly equal meets in most; the shortest in all of them. Then,
+    while any open class has entries left under the shortest prefix, eight times as far each time.
     """
     own = classes.select(F.col("cls").alias("id"), "grams")
     hits = keys = classes.select(F.col("cls").alias("a")).limit(0)
-    trees = labels.where(F.substring("label", 1, 1) != F.unhex(F.lit(f"{EXACT:02X}")))
     if not forest.runs:
         return hits, keys
-    rounds = [(depth, 0, NEAR) for depth in range(DEPTH, least_depth() - 1, -1)]
-    asked = labels
+    least = least_depth()
+    rounds = [(depth, 0, NEAR) for depth in range(DEPTH, least - 1, -1)]
+    asked = signs
     while rounds:
         depth, near, far = rounds.pop(0)
         looked, compared = Observation(), Observation()
-        pairs = forest.candidates(asked, depth, near, far, THRESHOLD, looked)
-        if asked is labels:
+        pairs = forest.candidates(asked, TREES >> (depth - least), depth, near, far, THRESHOLD, looked)
+        if depth == DEPTH:
             pairs = scratch.written(pairs, "met")
             keys = pairs.where("b is null").select("a")
         hits = hits.union(scratch.written(forest.verify(pairs, own, THRESHOLD, compared).distinct(), "hits"))
         forest.bytes_read += noted(looked, "read") + noted(compared, "read")
         if not rounds and noted(looked, "more"):
             rounds.append((depth, far, far * 8))
-        asked = trees.join(hits, F.col("id") == F.col("a"), "left_anti")
+        asked = of_sets(signs).join(hits, F.col("id") == F.col("a"), "left_anti")
     return hits, keys
 
 
@@ -123,7 +129,7 @@ def _pairs_verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return near.join(sets.toDF("a", "ga"), "a").join(sets.toDF("b", "gb"), "b").where(likeness(F.col("ga"), F.col("gb")) >= THRESHOLD).select("a", "b")
 
 
-def links_inside(labels: DataFrame, hits: DataFrame, classes: DataFrame, firm: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def links_inside(signs: DataFrame, hits: DataFrame, classes: DataFrame, firm: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(a, b) links between open classes of one batch, a > b, and (a) of classes that a surely accepted row turns away.
 
     Classes that share a prefix of the least depth are compared. Where more than ``CROWD`` do, they are first compared with
@@ -132,9 +138,8 @@ def links_inside(labels: DataFrame, hits: DataFrame, classes: DataFrame, firm: D
     in which a third of the rows are edits of one text is not paired with itself.
     """
     prefix = F.xxhash64(F.substring("label", 1, 1 + 4 * least_depth())).alias("p")
-    trees = labels.where(F.substring("label", 1, 1) != F.unhex(F.lit(f"{EXACT:02X}")))
     sizes = Observation()
-    open_ = trees.join(hits, F.col("id") == F.col("a"), "left_anti").select(prefix, "id")
+    open_ = labels_of(of_sets(signs).join(hits, F.col("id") == F.col("a"), "left_anti")).select(prefix, "id")
     shared = open_.groupBy("p").agg(F.count("*").alias("c"), F.min("id").alias("low")).where("c > 1")
     open_ = scratch.written(open_.join(shared, "p").observe(sizes, F.max("c").alias("most")), "open")
     turned = classes.select(F.col("cls").alias("a")).limit(0)
@@ -184,45 +189,43 @@ def _decide(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     raise RuntimeError("a batch did not settle")
 
 
-def _enter(forest: Forest, number: int, result: DataFrame, classes: DataFrame, labels: DataFrame, rows: DataFrame, bound: tuple[int, int]) -> DataFrame:
+def _enter(forest: Forest, number: int, result: DataFrame, classes: DataFrame, signs: DataFrame, rows: DataFrame, bound: tuple[int, int]) -> DataFrame:
     """Writes the batch's decisions (id, cls, accepted) and enters its first accepted row of each set and of each key."""
     path = f"{forest.folder}/decisions/{number}"
     result.select("id", "cls", "accepted").write.mode("overwrite").option("compression", "zstd").parquet(path)
     told = rows.sparkSession.read.schema("id bigint, cls bigint, accepted boolean").parquet(path)
     first = told.where("accepted and cls is not null").groupBy("cls").agg(F.min("id").alias("first"))
-    tree = labels.where(F.substring("label", 1, 1) != F.unhex(F.lit(f"{EXACT:02X}")))
-    named = tree.join(first, F.col("id") == F.col("cls")).select("label", F.col("first").alias("id"), "n")
+    named = of_sets(signs).join(first, F.col("id") == F.col("cls")).select("sign", F.col("first").alias("id"), "n")
     keyed = rows.where("key is not null").join(told.where("accepted"), "id", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
     forest.append(
-        named.union(keyed.select(key_label(), "id", F.lit(0))), classes.join(first, "cls").select(F.col("first").alias("id"), "grams"), bound, str(number), path
+        labels_of(named.union(keyed.select(key_sign(), "id", F.lit(0)))), classes.join(first, "cls").select(F.col("first").alias("id"), "grams"), bound, str(number), path
     )
     return told
 
 
-def check_batch(forest: Forest, number: int, rows: DataFrame, classes: DataFrame, labels: DataFrame, accept_all: bool = False) -> DataFrame:
+def check_batch(forest: Forest, number: int, size: int, rows: DataFrame, classes: DataFrame, signs: DataFrame, accept_all: bool = False) -> DataFrame:
     """(id, cls, accepted) of the rows of one signed batch, and their entry into the forest.
 
-    The tables are the batch's parts of what ``signed`` gives. A batch that the index has already is not decided again:
+    The tables are the batch's parts of what ``signed`` gives, ``size`` the number of its rows. A batch that the index has already is not decided again:
     its decisions are read. Rows with an empty set can be turned away by their key only.
     """
     spark = rows.sparkSession
     if str(number) in forest.batches:
         return spark.read.schema("id bigint, cls bigint, accepted boolean").parquet(forest.batches[str(number)])
     scratch = Scratch(spark)
-    sets = classes.count()
-    bound = (sets * TREES + labels.where(F.substring("label", 1, 1) == F.unhex(F.lit(f"{EXACT:02X}"))).count(), sets)
+    bound = (size * (TREES + 1), size)
     classed = rows.join(classes.select("fp", "fp2", "cls", "copies"), ["fp", "fp2"], "left").select("id", "cls", "copies", "key")
     if accept_all:
-        out = _enter(forest, number, classed.withColumn("accepted", F.lit(True)), classes, labels, rows, bound)
+        out = _enter(forest, number, classed.withColumn("accepted", F.lit(True)), classes, signs, rows, bound)
         scratch.drop()
         return out
-    hits, held = held_before(forest, classes, labels, scratch)
+    hits, held = held_before(forest, classes, signs, scratch)
     keys = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("same"), F.min("id").alias("first"))
     keys = scratch.written(keys.join(held.withColumn("old", F.lit(True)), F.col("first") == F.col("a"), "left").select("key", "same", "first", "old"), "keys")
     # A class whose first row is the first of its key, and that key new, or has no key, depends on its set alone.
     lead = rows.join(classes.select(F.col("cls").alias("id")), "id", "left_semi").select("id", "key").join(keys, "key", "left")
     firm = lead.where("key is null or (old is null and first = id)").select("id")
-    links, turned = links_inside(labels, hits, classes, firm, scratch)
+    links, turned = links_inside(signs, hits, classes, firm, scratch)
     yes, no = F.lit(True), F.lit(False)
     marks = hits.union(turned).select(F.col("a").alias("cls"), yes.alias("hit")).union(links.select("a", no)).union(links.select("b", no))
     marks = marks.groupBy("cls").agg(F.max("hit").alias("hit"))
@@ -236,7 +239,7 @@ def check_batch(forest: Forest, number: int, rows: DataFrame, classes: DataFrame
     if noted(disputes, "n"):
         both = links.select(F.col("a").alias("c"), F.col("b").alias("d")).union(links.select("b", "a"))
         result = result.union(_decide(told.where("contested").select("id", "cls", "key"), both, scratch).select("id", "cls", "accepted"))
-    out = _enter(forest, number, result, classes, labels, rows, bound)
+    out = _enter(forest, number, result, classes, signs, rows, bound)
     scratch.drop()
     return out
 
@@ -252,11 +255,11 @@ def decisions(samples: DataFrame, forest: Forest | None = None) -> DataFrame:
     forest = forest or open_forest(samples)
     scratch = Scratch(spark)
     tables = signed(samples, scratch)
-    numbers = [r["batch"] for r in tables[0].select("batch").distinct().orderBy("batch").collect()]
-    for number in numbers:
-        check_batch(forest, number, *[t.where(F.col("batch") == number) for t in tables], accept_all=number <= 0)
+    sizes = {r["batch"]: r["count"] for r in tables[0].groupBy("batch").count().collect()}
+    for number, size in sorted(sizes.items()):
+        check_batch(forest, number, size, *[t.where(F.col("batch") == number) for t in tables], accept_all=number <= 0)
     scratch.drop()
-    paths = [forest.batches[str(n)] for n in numbers]
+    paths = [forest.batches[str(n)] for n in sizes]
     schema = "id bigint, accepted boolean"
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 

@@ -36,8 +36,7 @@ EXACT = 255  # in place of a tree's number: the label is a key and only equal ke
 TIER = 4
 LABELS_A_FILE, LABELS_A_GROUP = 1 << 20, 1 << 13
 SETS_A_FILE, SETS_A_GROUP = 1 << 14, 1 << 7
-CHUNK = 1 << 18  # labels looked up in one file at a time
-CHUNK_BYTES = 32 << 20  # of shingles compared at a time
+CHUNK_BYTES = 32 << 20  # of labels looked up, or of shingles compared, in one file at a time
 SCHEMAS = {
     "labels": pa.schema([("label", pa.binary(WIDTH)), ("id", pa.int64()), ("n", pa.int32())]),
     "sets": pa.schema([("id", pa.int64()), ("grams", pa.list_(pa.int64()))]),
@@ -53,9 +52,29 @@ def _label_values(column: pa.Array) -> np.ndarray:
     """Labels as fixed strings of bytes, which compare byte by byte."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.binary(WIDTH))
-    raw = np.frombuffer(column.buffers()[1], np.uint8, len(column) * WIDTH, column.offset * WIDTH) if len(column) else np.empty(0, np.uint8)
-    return np.ascontiguousarray(raw).view(f"S{WIDTH}")
+    return np.ascontiguousarray(K.byte_matrix(column, WIDTH)).reshape(-1).view(f"S{WIDTH}")
+
+
+def asked_labels(batch: pa.RecordBatch, trees: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(labels, ids, sizes) of rows (sign, id, n): a signature gives one label for each of the first ``trees``, a key itself."""
+    wide = pc.binary_length(batch.column("sign")).to_numpy() > WIDTH
+    sets, keys = (batch.filter(pa.array(x)) for x in (wide, ~wide))
+    signs = K.byte_matrix(sets.column("sign"), TREES * DEPTH * 4)
+    labels = [K.tree_labels(signs, trees, DEPTH).reshape(-1).view(f"S{WIDTH}"), _label_values(keys.column("sign"))]
+    ids = [np.repeat(sets.column("id").to_numpy(), trees), keys.column("id").to_numpy()]
+    sizes = [np.repeat(sets.column("n").to_numpy(), trees), keys.column("n").to_numpy()]
+    return np.concatenate(labels), np.concatenate(ids), np.concatenate(sizes)
+
+
+def labels_of(signs: DataFrame, trees: int = TREES) -> DataFrame:
+    """(label, id, n) of all labels of rows (sign, id, n)."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                labels, ids, sizes = asked_labels(batch, trees)
+                yield pa.record_batch({"label": K.fixed_binary(labels.view(np.uint8).reshape(-1, WIDTH)), "id": ids, "n": sizes})
+
+    return signs.select("sign", "id", "n").mapInArrow(kernel, LABELS)
 
 
 def prefix_range(labels: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,14 +141,14 @@ def write_sorted(df: DataFrame, kind: str, folder: str, rows: int) -> list[Part]
     return order
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: str, most_rows: int, most_bytes: int) -> Iterator[pa.Table]:
-    """Rows sorted by ``column`` in tables that hold one of its values only, cut where they grow large."""
+def _chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """Rows sorted by ``column`` in tables that hold one of its values only, cut at ``CHUNK_BYTES``."""
     held: list[pa.RecordBatch] = []
-    rows = size = 0
+    size = 0
 
     def flush() -> pa.Table:
-        nonlocal held, rows, size
-        out, held, rows, size = pa.Table.from_batches(held).combine_chunks(), [], 0, 0
+        nonlocal held, size
+        out, held, size = pa.Table.from_batches(held).combine_chunks(), [], 0
         return out
 
     for batch in batches:
@@ -142,8 +161,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: str, most_rows: int, most
             if held and held[0].column(column)[0].as_py() != int(values[begin]):
                 yield flush()
             held.append(piece)
-            rows, size = rows + piece.num_rows, size + piece.get_total_buffer_size() * piece.num_rows // max(1, batch.num_rows)
-            if rows >= most_rows or size >= most_bytes:
+            size += piece.nbytes
+            if size >= CHUNK_BYTES:
                 yield flush()
     if held:
         yield flush()
@@ -235,10 +254,9 @@ class Forest:
     def size(self) -> int:
         return sum(p.bytes for r in self.runs for p in [*r.labels, *r.sets])
 
-    def candidates(self, labels: DataFrame, depth: int, near: int, far: int, threshold: float, seen: Observation) -> DataFrame:
-        """(a, b, file): entries within ``near`` to ``far`` places of where a label would stand, under its prefix of ``depth`` values.
+    def candidates(self, signs: DataFrame, trees: int, depth: int, near: int, far: int, threshold: float, seen: Observation) -> DataFrame:
+        """(a, b, file) of rows (sign, id, n): entries of the first ``trees`` within ``near`` to ``far`` places of where a label would stand, under its prefix of ``depth`` values.
 
-        With ``near`` 0 the entries that also share the next deeper prefix are left out, as an earlier look-up gave them.
         A key that is held gives (id, null, null). ``seen`` counts the labels with more entries beyond ``far`` and the
         bytes read.
         """
@@ -265,19 +283,24 @@ class Forest:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                low, high = prefix_range(_label_values(batch.column("label")), depth)
+                asked = asked_labels(batch, trees)
+                low, high = prefix_range(asked[0], depth)
                 for numbers, least, most in shared.value["runs"]:
-                    first, last = np.searchsorted(most, low, "left"), np.searchsorted(least, high, "right")
-                    row, at = _spread(first, last)
-                    if len(row):
-                        chosen = batch.take(pa.array(row))
-                        tree = pa.array(_label_values(chosen.column("label")).view(np.uint8)[::WIDTH].astype(np.int32))
-                        yield pa.record_batch({"file": pa.array(np.array(numbers, np.int64)[at]), "tree": tree, **{c: chosen.column(c) for c in ("label", "id", "n")}})
+                    row, at = _spread(np.searchsorted(most, low, "left"), np.searchsorted(least, high, "right"))
+                    where = np.array(numbers, np.int64)[at] * 256 + asked[0][row].view(np.uint8)[::WIDTH]
+                    order = np.argsort(where, kind="stable")
+                    where, row = where[order], row[order]
+                    cuts = np.flatnonzero(np.diff(where, prepend=-1))
+                    blocks = list(zip(cuts, [*cuts[1:], len(where)], strict=True))
+                    packed = {c: pa.array([x[row[i:j]].tobytes() for i, j in blocks], pa.binary()) for c, x in zip(("labels", "ids", "sizes"), asked, strict=True)}
+                    yield pa.record_batch({"file": pa.array(where[cuts] // 256), "tree": pa.array((where[cuts] % 256).astype(np.int32)), **packed})
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in _chunks(batches, "file", CHUNK, 1 << 40):
+            for table in _chunks(batches, "file"):
                 number = table.column("file")[0].as_py()
-                mine, n, ids = _label_values(table.column("label")), table.column("n").to_numpy(), table.column("id").to_numpy()
+                mine, ids, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("labels", f"S{WIDTH}"), ("ids", np.int64), ("sizes", np.int32)))
+                order = np.argsort(mine, kind="stable")
+                mine, ids, n = mine[order], ids[order], n[order]
                 low, high = prefix_range(mine, depth)
                 fs, inside = _open(shared.value["paths"][number])
                 with fs.open_input_file(inside) as source:
@@ -290,9 +313,6 @@ class Forest:
                 lo, hi, at = np.searchsorted(theirs, low, "left"), np.searchsorted(theirs, high, "right"), np.searchsorted(theirs, mine, "left")
                 tree = mine.view(np.uint8).reshape(-1, WIDTH)[:, 0] != EXACT
                 left, right = np.maximum(lo, at - near), np.minimum(hi, at + near)
-                if near == 0 and depth < DEPTH:
-                    deeper = prefix_range(mine, depth + 1)
-                    left, right = np.searchsorted(theirs, deeper[0], "left"), np.searchsorted(theirs, deeper[1], "right")
                 which, place = (np.concatenate(x) for x in zip(_spread(np.maximum(lo, at - far), left), _spread(right, np.minimum(hi, at + far)), strict=True))
                 other = held.column("n").to_numpy()[place]
                 keep = tree[which] & (np.minimum(n[which], other) >= threshold * np.maximum(n[which], other))
@@ -311,9 +331,9 @@ class Forest:
                     }
                 )
 
-        sent = labels.select("label", "id", "n").mapInArrow(send, "file bigint, tree int, label binary, id bigint, n int")
-        # By file and tree, so that a row group is read by one task; a part that grows large is split at run time.
-        placed = sent.hint("rebalance", "file", "tree").sortWithinPartitions("file", "label")
+        # Labels travel in blocks of one file and tree, so a row group is read by one task; a large part is split at run time.
+        sent = signs.select("sign", "id", "n").mapInArrow(send, "file bigint, tree int, labels binary, ids binary, sizes binary")
+        placed = sent.hint("rebalance", "file", "tree").sortWithinPartitions("file")
         met = placed.mapInArrow(search, "a bigint, b bigint, file bigint, more bigint, read bigint")
         met = met.observe(seen, F.sum("more").alias("more"), F.sum(F.when(F.col("read") >= 0, F.col("read"))).alias("read"))
         return met.where("read < 0").select("a", "b", "file").distinct()
@@ -323,7 +343,7 @@ class Forest:
         paths = self.spark.sparkContext.broadcast([p.path for r in self.runs for p in r.sets])
 
         def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in _chunks(batches, "file", 1 << 40, CHUNK_BYTES):
+            for table in _chunks(batches, "file"):
                 b = table.column("b").to_numpy()
                 fs, inside = _open(paths.value[table.column("file")[0].as_py()])
                 with fs.open_input_file(inside) as source:

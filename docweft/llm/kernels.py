@@ -296,13 +296,32 @@ def set_likeness(a: pa.Array, b: pa.Array) -> np.ndarray:
     return np.where((nx > 0) & (ny > 0), both / np.maximum(nx + ny - both, 1), 0.0)
 
 
-def tree_labels(signature: np.ndarray, trees: int, depth: int) -> pa.Array:
-    """One binary label a row and tree: the tree's number, then ``depth`` sample values, most significant byte first."""
-    n = signature.shape[0]
-    label = np.zeros((n, trees, 1 + 4 * depth), np.uint8)
+def fixed_binary(values: np.ndarray) -> pa.Array:
+    """The rows of a matrix of bytes as binary values of one width."""
+    n, width = values.shape
+    offsets = np.arange(n + 1, dtype=np.int64) * width
+    if n * width < 1 << 31:
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values).reshape(-1))])
+    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values).reshape(-1))])
+
+
+def byte_matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Binary values of one width as a matrix of bytes."""
+    column = column.cast(pa.binary(width))
+    if not len(column):
+        return np.empty((0, width), np.uint8)
+    return np.frombuffer(column.buffers()[1], np.uint8, len(column) * width, column.offset * width).reshape(-1, width)
+
+
+def signature_column(signature: np.ndarray) -> pa.Array:
+    """Each row's sample values as one binary value, the most significant byte first."""
+    return fixed_binary(np.ascontiguousarray(signature.astype(">u4")).view(np.uint8).reshape(len(signature), -1))
+
+
+def tree_labels(signatures: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """(rows, ``trees``, 1 + 4 * ``depth``) bytes: the tree's number, then its values out of signatures as bytes."""
+    n = len(signatures)
+    label = np.empty((n, trees, 1 + 4 * depth), np.uint8)
     label[:, :, 0] = np.arange(trees, dtype=np.uint8)
-    values = np.ascontiguousarray(signature[:, : trees * depth].astype(">u4")).view(np.uint8)
-    label[:, :, 1:] = values.reshape(n, trees, 4 * depth)
-    width = 1 + 4 * depth
-    offsets = np.arange(n * trees + 1, dtype=np.int32) * width
-    return pa.Array.from_buffers(pa.binary(), n * trees, [None, pa.py_buffer(offsets), pa.py_buffer(label.reshape(-1))])
+    label[:, :, 1:] = signatures[:, : trees * depth * 4].reshape(n, trees, 4 * depth)
+    return label
