@@ -95,4 +95,11 @@ def oracle_sql() -> dict[str, str]:
         "p10_found": """with w as (select doc_id, unnest(list_transform(range(1, greatest(length(text) - 298, 1)), lambda i: substr(text, i, 300))) x from documents),
           r as (select x from w group by x having min(doc_id) < max(doc_id))
           select distinct doc_id from w join r using (x)""",
+        "p10_report": """with w as (select distinct doc_id, unnest(range(1, greatest(length(text) - 298, 1))) i, text from documents),
+          x as (select doc_id, i, substr(text, i, 300) x from w),
+          r as (select x from x group by x having min(doc_id) < max(doc_id)),
+          h as (select doc_id, i, lead(i) over (partition by doc_id order by i) n from (select distinct doc_id, i from x join r using (x))),
+          c as (select doc_id, sum(least(300, coalesce(n - i, 300)))::bigint shared_chars from h group by doc_id)
+          select doc_id, coalesce(length(text), 0)::bigint n_chars, coalesce(shared_chars, 0)::bigint shared_chars,
+            case when length(text) > 0 then round(coalesce(shared_chars, 0) / length(text), 6) else 0.0 end as share from documents left join c using (doc_id)""",
     }
