@@ -169,7 +169,7 @@ def shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
                 "fp2": pa.array(segment_sum(mix(h ^ U64(0xA5A5A5A5A5A5A5A5)), at).view(np.int64)),
                 "n": pa.array(np.diff(at).astype(np.int32)),
                 "grams": list_column(h.view(np.int64), at),
-                "tf": list_column(np.minimum(tf, 32767).astype(np.int16), at),
+                "tf": list_column(tf.astype(np.int32), at),
                 **{c: batch.column(c) for c in batch.schema.names if c not in ("id", "text")},
             }
         )
@@ -215,40 +215,59 @@ def minhash(h: np.ndarray, at: np.ndarray, k: int, seed: int) -> np.ndarray:
     return out
 
 
+def _log_gamma_quantiles(cells: int) -> np.ndarray:
+    """ln of the quantiles of Gamma(2, 1) at k / ``cells``; the two ends are finite stand-ins."""
+    x = np.concatenate([np.geomspace(1e-6, 0.1, 4000), np.linspace(0.1, 40, 200_000)[1:]])
+    at = np.interp(np.arange(1, cells) / cells, 1 - (1 + x) * np.exp(-x), np.log(x))
+    return np.concatenate([[at[0] - 1], at, [at[-1] + 0.7]]).astype(np.float32)
+
+
 class ConsistentSampler:
     """Improved consistent weighted sampling.
 
     For each sample j and feature x with weight w: r, c ~ Gamma(2, 1) and b ~ U(0, 1) by the hash of
     (x, j); t = floor(ln w / r + b); ln a = ln c - r (t - b + 1). The feature with the least a is the
-    sample. ln a is a function of (x, j, t) alone, so equal least values are equal samples (x, t), and
-    two rows agree in a sample with the probability of their weighted Jaccard. r, c and b come from a
-    fixed pool indexed by 16 bits of the hash.
+    sample. ln a is a function of (x, j, t) alone, and two rows agree in a sample with the probability of
+    their weighted Jaccard. ln c is read from a table of quantiles and set within its cell by 32 more bits
+    of the hash; r and b come from a pool. A sample's name is ln a with 32 bits of the feature's own hash, which
+    also break ties: sets without a common feature share no name, however large they are.
     """
 
+    CELLS = 1 << 16
+
     def __init__(self, k: int, seed: int) -> None:
         rng = np.random.default_rng(seed)
         self.odd = rng.integers(0, 1 << 63, k, dtype=U64) * U64(2) + U64(1)
-        size = 1 << 16
-        self.r = rng.gamma(2.0, 1.0, size).astype(np.float32)
-        self.r = np.maximum(self.r, np.float32(1e-3))
-        self.b = rng.random(size).astype(np.float32)
-        self.c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32)
+        self.r = np.maximum(rng.gamma(2.0, 1.0, self.CELLS).astype(np.float32), np.float32(1e-3))
+        self.b = rng.random(self.CELLS).astype(np.float32)
         self.over_r = (np.float32(1) / self.r).astype(np.float32)
+        self.c = _log_gamma_quantiles(self.CELLS)
+        self.step = np.diff(self.c)
         self.k = k
 
     def sample(self, h: np.ndarray, weights: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """(rows, k) of 32-bit sample names; rows without members keep infinity's."""
-        out = np.full((len(at) - 1, self.k), np.inf, np.float32)
+        """(rows, k) of 64-bit sample names; rows without members keep the largest number."""
+        out = np.full((len(at) - 1, self.k), np.iinfo(U64).max, U64)
         log_w = np.log(weights).astype(np.float32)
+        own = mix(h ^ U64(0xC3A5C85C97CB3127)) & U64(0xFFFFFFFF)
         for row, stop, begin, end in _pieces(at, 2048):
-            index = (h[begin:end, None] * self.odd) >> U64(48)
-            index = index.astype(np.int32)
-            b = self.b[index]
-            t = np.floor(log_w[begin:end, None] * self.over_r[index] + b)
+            bits = h[begin:end, None] * self.odd
+            cell = (bits >> U64(48)).astype(np.int32)
+            pool = ((bits >> U64(32)) & U64(0xFFFF)).astype(np.int32)
+            inside = (((bits >> U64(16)) & U64(0xFFFFFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2**-32)
+            value = self.c[cell] + inside * self.step[cell]
+            lowest = cell == 0  # where the density is that of x, ln c is half the ln of twice the probability
+            if lowest.any():
+                value[lowest] = 0.5 * np.log(inside[lowest] * np.float32(2 / self.CELLS))
+            b = self.b[pool]
+            t = np.floor(log_w[begin:end, None] * self.over_r[pool] + b)
             t -= b
             t += np.float32(1)
-            _segment_min(self.c[index] - self.r[index] * t, at, row, stop, begin, end, out)
-        return out.view(np.uint32)
+            value -= self.r[pool] * t
+            order = value.view(np.uint32)
+            order = np.where(order >> 31, ~order, order | np.uint32(1 << 31)).astype(U64)
+            _segment_min((order << U64(32)) | own[begin:end, None], at, row, stop, begin, end, out)
+        return out
 
 
 def band_keys(signature: np.ndarray, rows_per_band: int) -> np.ndarray:
@@ -318,6 +337,19 @@ def signature_column(signature: np.ndarray) -> pa.Array:
     return fixed_binary(np.ascontiguousarray(signature.astype(">u4")).view(np.uint8).reshape(len(signature), -1))
 
 
+def weighted_likeness(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Sum of the lesser over that of the greater weights of the sets in each row of (members, weights, bounds); 0 if one is empty."""
+    na, nb = np.diff(a[2]), np.diff(b[2])
+    row = np.concatenate([np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)])
+    value, weight = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+    order = np.lexsort((value, row))
+    row, value, weight = row[order], value[order], weight[order]
+    same = np.flatnonzero((row[1:] == row[:-1]) & (value[1:] == value[:-1]))
+    least = np.bincount(row[same], np.minimum(weight[same], weight[same + 1]), len(na))
+    total = np.bincount(row, weight, len(na)) - least
+    return np.divide(least, total, out=np.zeros(len(na)), where=total > 0)
+
+
 def tree_labels(signatures: np.ndarray, trees: int, depth: int) -> np.ndarray:
     """(rows, ``trees``, 1 + 4 * ``depth``) bytes: the tree's number, then its values out of signatures as bytes."""
     n = len(signatures)

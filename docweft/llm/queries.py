@@ -29,6 +29,7 @@ def queries() -> dict[str, Query]:
         "p3_found": _on(batch_dedup.found, "samples"),
         "p4_found": _on(near_dups.found, "samples"),
         "p4_classes": _on(near_dups.classes, "samples"),
+        "p4_weighted": _on(near_dups.weighted_links, "samples"),
         "p5_found": _on(markup.found, "samples"),
         "p5_clean": _on(markup.cleaned, "samples"),
         "p6_found": _on(survivor.found, "commits_nested", "dataset_trust"),
@@ -79,6 +80,17 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": f"""with {_SHINGLES},
           m as (select a.sample_id a, b.sample_id b, any_value(a.n) na, any_value(b.n) nb, count(*) both_ from e a join e b on a.x = b.x and a.sample_id < b.sample_id group by 1, 2)
           select a sample_a, b sample_b from m where both_ * 1.0 / (na + nb - both_) >= 0.6""",
+        "p4_classes": f"""with recursive {_SHINGLES},
+          f as (select sample_id, list_sort(s) k from g where len(s) > 0),
+          c as (select k, min(sample_id) rep from f group by k),
+          q as (select sample_id, rep from f join c using (k)),
+          y as (select e.* from e where sample_id in (select rep from q)),
+          m as (select a.sample_id a, b.sample_id b, any_value(a.n) na, any_value(b.n) nb, count(*) both_ from y a join y b on a.x = b.x and a.sample_id <> b.sample_id group by 1, 2),
+          l as (select a, b from m where both_ * 1.0 / (na + nb - both_) >= 0.6),
+          t(a, b) as (select a, b from l union select t.a, l.b from t join l on t.b = l.a),
+          o as (select a, count(*)::bigint links from l group by a), z as (select a, least(a, min(b)) grp from t group by a)
+          select s.sample_id, coalesce(rep, s.sample_id) class_id, coalesce(grp, rep, s.sample_id) group_id, coalesce(links, 0)::bigint links
+          from samples s left join q using (sample_id) left join o on o.a = rep left join z on z.a = rep""",
         "p6_found": f"""with r as (select {_SLUG} s, {_HASH} h, row_seq, n.dataset, issue_summary, mined_at, trust_rank from commits_nested n left join dataset_trust t on n.dataset = t.dataset), {_WEAK},
           f as (select distinct a.s, a.h, (select b.h from z b where b.s = a.s and starts_with(b.h, a.h) order by length(b.h) desc, b.h limit 1) full_ from z a where a.s is not null and a.h is not null),
           k as (select z.*, full_, count(*) over (partition by z.s, full_) n from z join f on z.s = f.s and z.h = f.h),

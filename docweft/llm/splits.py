@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import commit_hash, slug
-from ..storage import written
+from ..storage import Scratch, written
 from .hashes import roots
 
 DEFAULT_SPLITS = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -49,17 +49,20 @@ def hash_to_min(edges: DataFrame) -> DataFrame:
         .union(edges.select("b", "b"))
         .distinct()
     )
-    clusters = written(clusters, "clusters")
+    scratch = Scratch(edges.sparkSession)
+    clusters = scratch.written(clusters, "clusters")
     seen = _state(clusters)
     for _ in range(MAX_ROUNDS):
         # The smallest member is one small row a node (combined before the shuffle); a node whose
         # cluster holds a third of the graph is split by the adaptive skew join, as rows are independent.
         low = clusters.groupBy("node").agg(F.min("member").alias("low"))
         sent = clusters.join(low, "node")
-        clusters = written(
+        before, scratch = scratch, Scratch(edges.sparkSession)
+        clusters = scratch.written(
             sent.select(F.col("low").alias("node"), "member").union(sent.select("member", "low")).distinct(), "clusters"
         )
         now = _state(clusters)
+        before.drop()  # the clusters of one round are kept, not those of all
         if now == seen:
             return clusters.groupBy("node").agg(F.min("member").alias("component"))
         seen = now

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -114,6 +115,70 @@ def test_edits_of_a_template_that_fills_a_third_of_the_rows(spark):
     assert len(expected) == 780 and rows(near_dups.found(spark.createDataFrame(data, SAMPLES))) == expected
 
 
+def test_samples_agree_as_often_as_the_sets_are_alike():
+    rng = np.random.default_rng(3)
+    sampler = kernels.ConsistentSampler(600, 1)
+    for n in (40, 3000):
+        h = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        w = rng.uniform(1, 9, (2, n))
+        w[0, : n // 4] = w[1, n // 4 : n // 2] = 0
+        sides = [(h[w[k] > 0].view(np.int64), w[k][w[k] > 0], np.array([0, (w[k] > 0).sum()])) for k in (0, 1)]
+        names = [sampler.sample(a[0].view(np.uint64), a[1], a[2])[0] for a in sides]
+        true = np.minimum(*w).sum() / np.maximum(*w).sum()
+        assert kernels.weighted_likeness(*sides)[0] == pytest.approx(true)
+        assert abs((names[0] == names[1]).mean() - true) < 0.07
+
+
+@pytest.mark.parametrize("n", [5000, 200_000])
+def test_large_sets_without_a_common_member_share_no_sample(n):
+    rng = np.random.default_rng(n)
+    h = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+    names = kernels.ConsistentSampler(120, 1).sample(h, np.full(2 * n, 8.0), np.array([0, n, 2 * n]))
+    keys = kernels.band_keys(names, 3)
+    assert not (names[0] == names[1]).any() and not (keys[0] == keys[1]).any()
+
+
+def test_weighted_links_equal_brute_force(spark):
+    data = _samples(8)
+    df = spark.createDataFrame(data, SAMPLES)
+    tokens = {r[0]: re.findall("[a-z0-9_]+", "\n".join(x or "" for x in (r[3], r[4], r[6])).lower()) for r in data}
+    counts = {i: Counter(tuple(t[k : k + 3]) for k in range(len(t) - 2)) for i, t in tokens.items()}
+    counts = {i: c for i, c in counts.items() if c}
+    df_of = Counter(g for c in counts.values() for g in c)
+    n = len(counts)
+    weigh = {i: {g: (np.log((1 + n) / (1 + df_of[g])) + 1) * (1 + np.log(k)) for g, k in c.items()} for i, c in counts.items()}
+    reps = {min(j for j in counts if set(counts[j]) == set(counts[i])) for i in counts}
+    expected = {}
+    for a in reps:
+        for b in reps:
+            if a < b and set(weigh[a]) & set(weigh[b]):
+                every = {g: (weigh[a].get(g, 0), weigh[b].get(g, 0)) for g in {*weigh[a], *weigh[b]}}
+                like = sum(map(min, every.values())) / sum(map(max, every.values()))
+                if like >= 0.6:
+                    expected[a, b] = like
+    got = {(r[0], r[1]): r[2] for r in near_dups.weighted_links(df).collect()}
+    near = {k for k, v in expected.items() if v > 0.605}
+    assert near <= set(got) and {k for k in got if got[k] > 0.605} <= set(expected) and near
+    assert all(abs(got[k] - expected[k]) < 0.01 for k in near)
+
+
+def test_groups_of_near_duplicates_follow_chains(spark):
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(words[i : i + 20]) for i in (0, 3, 6)] + ["a quite different text of its own", None]
+    df = spark.createDataFrame([(i + 1, 0, None, t, None, None, None) for i, t in enumerate(texts)], SAMPLES)
+    got = {r["sample_id"]: (r["class_id"], r["group_id"], r["links"]) for r in near_dups.classes(df).collect()}
+    assert got == {1: (1, 1, 1), 2: (2, 1, 2), 3: (3, 1, 1), 4: (4, 4, 0), 5: (5, 5, 0)}
+
+
+@pytest.mark.parametrize("crowd", [4])
+def test_crowded_bands_lose_nothing(spark, monkeypatch, crowd):
+    monkeypatch.setattr(near_dups, "CROWD", crowd)
+    data = _samples(9)
+    sets = {r[0]: _grams(r[3], r[4], r[6]) for r in data}
+    expected = sorted((a, b) for a in sets for b in sets if a < b and _like(sets[a], sets[b]) >= 0.6)
+    assert rows(near_dups.found(spark.createDataFrame(data, SAMPLES))) == expected
+
+
 def test_prefixes_meet_at_the_threshold():
     rng = random.Random(5)
     for _ in range(300):
