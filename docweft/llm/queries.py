@@ -72,6 +72,9 @@ def _canonical_doc(field: str) -> str:
 def oracle_sql() -> dict[str, str]:
     copies = f"""with c as (select sample_id, {_FLAT.format("coalesce(code_before, '')")} || chr(4) || {_canonical_doc('javadoc_before')} || chr(4) || {_canonical_doc('javadoc_after')} k from samples),
       g as (select k, min(sample_id) keep_id, count(*)::bigint copies from c group by k) """
+    records = f"""r as (select {_SLUG} s, {_HASH} h, row_seq, n.dataset, issue_summary, repository_url, mined_at, trust_rank from commits_nested n left join dataset_trust t on n.dataset = t.dataset), {_WEAK},
+          f as (select distinct a.s, a.h, (select b.h from z b where b.s = a.s and starts_with(b.h, a.h) order by length(b.h) desc, b.h limit 1) full_ from z a where a.s is not null and a.h is not null),
+          k as (select z.*, full_, count(*) over (partition by z.s, full_) n from z join f on z.s = f.s and z.h = f.h)"""
     return {
         "p1_found": f"""with recursive c as (select distinct {_SLUG} s, {_HASH} h from commits),
           e as (select distinct a.s x, b.s y from c a join c b on left(a.h, 12) = left(b.h, 12) and (starts_with(a.h, b.h) or starts_with(b.h, a.h)) where a.s <> b.s),
@@ -91,11 +94,17 @@ def oracle_sql() -> dict[str, str]:
           o as (select a, count(*)::bigint links from l group by a), z as (select a, least(a, min(b)) grp from t group by a)
           select s.sample_id, coalesce(rep, s.sample_id) class_id, coalesce(grp, rep, s.sample_id) group_id, coalesce(links, 0)::bigint links
           from samples s left join q using (sample_id) left join o on o.a = rep left join z on z.a = rep""",
-        "p6_found": f"""with r as (select {_SLUG} s, {_HASH} h, row_seq, n.dataset, issue_summary, mined_at, trust_rank from commits_nested n left join dataset_trust t on n.dataset = t.dataset), {_WEAK},
-          f as (select distinct a.s, a.h, (select b.h from z b where b.s = a.s and starts_with(b.h, a.h) order by length(b.h) desc, b.h limit 1) full_ from z a where a.s is not null and a.h is not null),
-          k as (select z.*, full_, count(*) over (partition by z.s, full_) n from z join f on z.s = f.s and z.h = f.h),
-          o as (select *, row_number() over (partition by s, full_ order by coalesce(trust_rank, 2147483647), mined_at desc nulls last, row_seq) i from k where usable and n >= 2)
+        "p6_found": f"""with {records}, o as (select *, row_number() over (partition by s, full_ order by coalesce(trust_rank, 2147483647), mined_at desc nulls last, row_seq) i from k where usable and n >= 2)
           select s project_slug, full_ commit_hash, row_seq from o where i = 1""",
+        "p6_best": f"""with recursive {records},
+          p as (select *, usable::int c, coalesce(trust_rank, 2147483647) t, coalesce(epoch_us(mined_at), -9223372036854775807) e from k where n >= 2),
+          l(row_seq, s, full_, c, t, e, layer) as (select row_seq, s, full_, c, t, e, 0 from p
+            union select b.row_seq, b.s, b.full_, b.c, b.t, b.e, layer + 1 from l join p b on l.s = b.s and l.full_ = b.full_ and l.c >= b.c and l.t <= b.t and l.e >= b.e and (l.c > b.c or l.t < b.t or l.e > b.e)),
+          m as (select row_seq, max(layer) layer from l group by row_seq),
+          o as (select p.*, layer, row_number() over (partition by s, full_ order by layer, c desc, t, e desc, row_seq) i from p join m using (row_seq))
+          select s project_slug, full_ commit_hash, min(row_seq) filter (i = 1) row_seq, count(*)::bigint copies, count(distinct (c, t)) filter (layer = 0)::int undominated, max(c) complete,
+            first(issue_summary order by i) filter (usable) issue_summary, first(repository_url order by i) filter (repository_url is not null) repository_url,
+            first(mined_at order by i) filter (mined_at is not null) mined_at from o group by s, full_""",
         "p7_found": copies + "select keep_id, sample_id from c join g using (k) where sample_id <> keep_id",
         "p7_copies": copies + "select keep_id, copies, false as collided from g",
         "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",

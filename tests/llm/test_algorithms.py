@@ -277,6 +277,40 @@ def test_survivor_is_the_lexicographic_best_of_the_skyline(spark):
         assert (r["v"] is None) == all(x[5] is None for x in group)
 
 
+def _filled(group, fields):
+    """By definition: skyline after skyline of a list of (complete, trust, recency, row, fields...)."""
+    left, out = list(group), [None] * fields
+    better = lambda a, b: a[0] >= b[0] and a[1] <= b[1] and a[2] >= b[2] and a[:3] != b[:3]
+    while left:
+        sky = [b for b in left if not any(better(a, b) for a in left)]
+        for j in range(fields):
+            have = [r for r in sky if r[4 + j] is not None]
+            if out[j] is None and have:
+                out[j] = min(have, key=lambda r: (-r[0], r[1], -r[2], r[3]))[4 + j]
+        left = [r for r in left if r not in sky]
+    return tuple(out)
+
+
+def test_fields_are_filled_by_layers_of_records(spark):
+    schema = "g int, complete int, trust int, recency long, row long, v string"
+    df = spark.createDataFrame([(1, 1, 1, 10, 1, None), (1, 1, 1, 5, 2, None), (1, 1, 1, 1, 3, "old"), (1, 0, 1, 9, 4, "fresh")], schema)
+    assert [tuple(r) for r in survivor.skyline_survivors(df, ["g"], "row", ["v"]).collect()] == [(1, 1, 4, 1, 1, "fresh")]
+
+
+def test_layers_of_a_group_that_fills_many_partitions(spark):
+    rng = random.Random(1)
+    data = []
+    for i in range(1200):
+        v, w = (f"{c}{i}" if rng.random() < p else None for c, p in (("v", 0.02), ("w", 0.01)))
+        data.append((1 if i < 500 else rng.randint(1, 8), rng.randint(0, 2), rng.choice([1, 2, 3, None]), rng.choice([None, *range(60)]), i, v, w))
+    df = spark.createDataFrame(data, "older int, complete int, trust int, recency long, row long, v string, w string")
+    got = {r["older"]: (r["v"], r["w"]) for r in survivor.skyline_survivors(df, ["older"], "row", ["v", "w"]).collect()}
+    for g, filled in got.items():
+        group = [(c, 99 if t is None else t, -1 if e is None else e, *rest) for k, c, t, e, *rest in data if k == g]
+        assert filled == _filled(group, 2)
+    assert len(got) == 8
+
+
 def test_best_commit_records(spark):
     full, other = "ab" * 20, "cd" * 20
     schema = "row_seq long, dataset string, project_slug string, repository_url string, commit_hash string, issue_summary string, mined_at timestamp"
