@@ -1,13 +1,13 @@
 """Documentation comments to clean text: HTML, Javadoc inline tags, Markdown, wiki and LaTeX.
 
 The comment frame is taken off, and each kind of markup is told by its own patterns from what only looks
-like it (type arguments, operators, prices, paths, placeholders, identifiers). Detection is one pass of
-guarded patterns inside the JVM. Only texts that do have markup go to a Python worker, where they become
-text with one notation for what is kept: ``#`` headings, ``-`` and ``1.`` items, ```` ``` ```` code
-blocks, backticks for code in a line, ``$`` for formulas, ``|`` for table cells.
+like it (type arguments, operators, prices, paths, placeholders, identifiers). Texts without any of the marks that
+markup needs never leave the JVM; for the others one set of patterns, without bounds on length, both tells the
+kinds and makes text with one notation for what is kept: ``#`` headings, ``-`` and ``1.`` items, ```` ``` ````
+code blocks, backticks for code in a line, ``$`` for formulas, ``|`` for table cells.
 
-Page differencing, the method suggested for this task, removes lines that neighbouring pages share. The
-comments here have no pages or URLs, and markup stands inside their lines; so it is not used.
+Page differencing, the method named for this task, is in ``pages``: it removes lines that neighbouring pages share.
+It cannot tell markup, which stands inside lines of its own page, from text; README has its figures.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,40 +44,79 @@ _ELEMENT = (
 # otherwise it is the rest of a wrapped sentence ("where a\n> 0").
 _AFTER = r"(?:\A|(?<=[.:;!?`)}>\n])[ \t]*\n|\A[ \t]*\n)[ \t]*"
 
-#: kind, cheap guard (one of these must be in the text), pattern.
+
+
+def _run(stop: str) -> str:
+    """A run without the marks ``stop`` that does not cross a blank line; matched in one way only, so in linear time."""
+    return rf"[^{stop}\n]*+(?:\n(?![ \t]*\n)[^{stop}\n]*+)*+"
+
+
+# Spans, each used to tell and to convert. A span ends at its mark or fails; most do not cross a blank line.
+CODE = rf"(?<!`)(`{{1,2}})(?![`\s])({_run('`')})(?<!\s)\1(?!`)"
+STRONG = rf"(?<![*\w])\*\*(?=[^\s*])({_run('*')})(?<=[^\s*])\*\*(?![*\w])"
+STRONG_LOW = r"(?<!\w)__(?=[^\W_])(?=[^_\s]*\s)([^_]++)(?<=[^\s_])__(?!\w)"
+EMPHASIS = rf"(?<![*\w/])\*(?=[^\s*/])({_run('*')})(?<=[^\s*])\*(?![*\w/])"
+EMPHASIS_LOW = rf"(?<!\w)_(?=[A-Za-z])(?=[^_.\s]*\s)({_run('_.')})(?<=[^\s_])_(?!\w)"
+STRIKE = rf"~~(?=[^\s~])({_run('~')})(?<=[^\s~])~~"
+LINK = r"!?\[([^\[\]]++)\]\([^()\s]++\)"
+WIKI_LINK = r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]"
+WIKI_URL = r"\[([^\[\]|\n]++)\|(?:https?:|mailto:)[^\[\]\n]++\]"
+WIKI_QUOTES = r"(?<!')('{5}|'{2,3})(?=[^\s'])([^']++)(?<=[^\s'])\1(?!')"
+WIKI_HEADING = r"(?m)^[ \t]*[hH]([1-6])\.[ \t]+(\S.*)$"
+WIKI_EQUALS = r"(?m)^[ \t]*(={2,6})[ \t]*([^=\s][^=\n]*?)[ \t]*\1[ \t]*$"
+WIKI_TRIPLE = r"(?s)\{\{\{(.+?)\}\}\}"
+WIKI_BRACES = r"\{\{(?:monospace\s+)?([^{}]++)\}\}"
+WIKI_BLOCK = r"(?is)\{(code|noformat)(?::[^{}\n]*)?\}(.*?)\{\1\}"
+WIKI_MACRO = r"(?is)\{(color|quote|panel)(?::[^{}\n]*)?\}(.*?)\{\1\}"
+WIKI_QUOTE = r"(?m)^[ \t]*bq\.[ \t]+(?=\S)"
+RULE = r"(?m)^[ \t]*(?:-{3,}|={3,})[ \t]*$"
+QUOTE = r"(?m)" + _AFTER + r">[ \t]+(?=\S)"
+BRACKETS = r"(?s)\\\[((?:(?!\\\]|\n[ \t]*\n).)+)\\\]"
+PARENTHESES = r"(?s)\\\(((?:(?!\\\)|\n[ \t]*\n).)+)\\\)"
+DISPLAY = rf"\$\$(?!\$)({_run('$')})(?<!\$)\$\$"
+INLINE = rf"(?<![\w$\\])\$(?![\s$])(?=[^$\\^_]*[\\^_])({_run('$')})(?<![\s$])\$(?![\w$])"
+
+#: kind, marks (one of these must be in the text), pattern.
 RULES: list[tuple[str, tuple[str, ...], str]] = [
     ("html_comment", ("<!--",), r"<!--"),
     ("html_element", ("<",), _ELEMENT),
     ("html_reference", ("&",), r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,31}\d{0,2});"),
     ("javadoc_inline", ("{@",), r"\{@[A-Za-z]+"),
     ("markdown_fence", ("```", "~~~"), r"(?m)^[ \t]*(?:```|~~~)"),
-    ("markdown_code", ("`",), r"(?s)(?<!`)(`{1,2})(?![`\s])(?:(?!\n\s*\n)[^`]){1,300}(?<!\s)\1(?!`)"),
-    ("markdown_strong", ("**",), r"(?s)(?<![*\w])\*\*(?=[^\s*])[^*]{1,300}(?<=[^\s*])\*\*(?![*\w])"),
-    ("markdown_strong", ("__",), r"(?s)(?<!\w)__(?=[^\W_])[^_]{0,300}\s[^_]{0,300}(?<=[^\s_])__(?!\w)"),
-    ("markdown_emphasis", ("*",), r"(?s)(?<![*\w/])\*(?=[^\s*/])[^*\n]{0,80}\n?[^*\n]{0,80}(?<=[^\s*])\*(?![*\w/])"),
-    ("markdown_emphasis", ("_",), r"(?s)(?<!\w)_(?=[A-Za-z])[^_.]{0,60}\s[^_.]{0,60}(?<=[^\s_])_(?!\w)"),
-    ("markdown_strike", ("~~",), r"(?s)~~(?=[^\s~])[^~]{1,300}(?<=[^\s~])~~"),
-    ("markdown_link", ("](",), r"(?s)!?\[[^\[\]]{1,300}\]\([^()\s]{1,300}\)"),
+    ("markdown_code", ("`",), CODE),
+    ("markdown_strong", ("**",), STRONG),
+    ("markdown_strong", ("__",), STRONG_LOW),
+    ("markdown_emphasis", ("*",), EMPHASIS),
+    ("markdown_emphasis", ("_",), EMPHASIS_LOW),
+    ("markdown_strike", ("~~",), STRIKE),
+    ("markdown_link", ("](",), LINK),
     ("markdown_heading", ("#",), r"(?m)^[ \t]*#{1,6}[ \t]+\S"),
-    ("markdown_rule", ("---", "==="), r"(?m)^[ \t]*(?:-{3,}|={3,})[ \t]*$"),
+    ("markdown_rule", ("---", "==="), RULE),
     ("table", ("|",), r"(?m)^[ \t]*\|.*\|[ \t]*$"),
     ("markdown_item", ("- ", "+ "), r"(?m)" + _AFTER + r"[-+][ \t]+(?=[\w*`\[{\"(])"),
     ("markdown_item", (". ", ") "), r"(?m)" + _AFTER + r"\d{1,2}[.)][ \t]+(?=[A-Za-z*`\[{])"),
-    ("markdown_quote", ("> ",), r"(?m)" + _AFTER + r">[ \t]+\S"),
-    ("wiki_link", ("[[",), r"(?s)\[\[[^\[\]]{1,300}\]\]"),
-    ("wiki_link", ("|",), r"\[[^\[\]|\n]{1,200}\|(?:https?:|mailto:)[^\[\]\n]{1,300}\]"),
-    ("wiki_quotes", ("''",), r"(?s)(?<!')(''|'''|''''')(?=[^\s'])[^']{1,300}(?<=[^\s'])\1(?!')"),
-    ("wiki_heading", ("h", "H"), r"(?m)^[ \t]*[hH][1-6]\.[ \t]+\S"),
-    ("wiki_heading", ("==",), r"(?m)^[ \t]*(={2,6})[ \t]*[^=\s][^=\n]*?[ \t]*\1[ \t]*$"),
-    ("wiki_braces", ("{{",), r"(?s)\{\{[^{}]{1,300}\}\}|\{\{\{.{1,300}?\}\}\}"),
-    ("wiki_macro", ("{",), r"(?is)\{(code|noformat|color|quote)(?::[^{}\n]*)?\}.*?\{\1\}|\{panel:[^{}\n]+\}"),
-    ("wiki_quote", ("bq.",), r"(?m)^[ \t]*bq\.[ \t]+\S"),
+    ("markdown_quote", ("> ",), QUOTE),
+    ("wiki_link", ("[[",), WIKI_LINK),
+    ("wiki_link", ("|",), WIKI_URL),
+    ("wiki_quotes", ("''",), WIKI_QUOTES),
+    ("wiki_heading", ("h", "H"), WIKI_HEADING),
+    ("wiki_heading", ("==",), WIKI_EQUALS),
+    ("wiki_braces", ("{{",), WIKI_BRACES),
+    ("wiki_braces", ("{{{",), WIKI_TRIPLE),
+    ("wiki_macro", ("{",), WIKI_BLOCK),
+    ("wiki_macro", ("{",), WIKI_MACRO),
+    ("wiki_macro", ("{panel:",), r"\{panel:[^{}\n]+\}"),
+    ("wiki_quote", ("bq.",), WIKI_QUOTE),
     ("latex_command", ("\\",), r"(?<![\w:.\\/])\\[A-Za-z]+[*_^]?(?:\[[^\[\]\n]*\])?\{"),
     ("latex_command", ("\\",), rf"(?<![\w:.\\/])\\(?:{'|'.join(LATEX_BARE)})(?![A-Za-z\\])"),
-    ("latex_math", ("\\[", "\\("), r"(?s)\\\[.{1,600}?\\\]|\\\(.{1,600}?\\\)"),
-    ("latex_math", ("$$",), r"(?s)\$\$[^$]{1,600}\$\$"),
-    ("latex_math", ("$",), r"(?s)(?<![\w$\\])\$(?![\s$])[^$]{0,300}?[\\^_][^$]{0,300}?(?<![\s$])\$(?![\w$])"),
+    ("latex_math", ("\\[",), BRACKETS),
+    ("latex_math", ("\\(",), PARENTHESES),
+    ("latex_math", ("$$",), DISPLAY),
+    ("latex_math", ("$",), INLINE),
 ]
+_COMPILED = [(kind, marks, re.compile(pattern, re.ASCII)) for kind, marks, pattern in RULES]
+# Signs of which any markup has at least one: texts without them are plain.
+SIGNS = r"[<&{`*_~\[|#>=\\$']|---|[-+.)][ \t]|[hH][1-6]\."
 
 
 def body(doc: Column) -> Column:
@@ -88,28 +126,29 @@ def body(doc: Column) -> Column:
     return F.regexp_replace(inside, r"(?m)^[ \t]*\*(?!\*) ?", "")
 
 
-def kinds(doc: Column) -> Column:
-    """The kinds of markup in a comment, each once, in the order of the rules; empty for null."""
-    def found_kinds(text: Column) -> Column:
-        tests = []
-        for kind, guards, pattern in RULES:
-            guard = reduce(lambda a, b: a | b, [F.contains(text, F.lit(g)) for g in guards])
-            tests.append(F.when(guard & text.rlike(pattern), F.lit(kind)))
-        return F.array_distinct(F.array_compact(F.array(*tests)))
+def kinds(text: str) -> list[str]:
+    """The kinds of markup in a comment's body, each once, in the order of the rules."""
+    return list(dict.fromkeys(kind for kind, marks, pattern in _COMPILED if any(m in text for m in marks) and pattern.search(text)))
 
-    return F.transform(F.array(body(doc)), found_kinds)[0]
+
+def _bodies(samples: DataFrame) -> DataFrame:
+    """(sample_id, field, body) of every comment that is not null."""
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("doc")) for f in FIELDS])
+    each = samples.select("sample_id", F.explode(fields).alias("x")).where("x.doc is not null")
+    return each.select(F.col("sample_id").cast("bigint").alias("sample_id"), "x.field", body(F.col("x.doc")).alias("body"))
 
 
 def found(samples: DataFrame) -> DataFrame:
     """(sample_id, field) of the comments that contain markup. Nulls and empty texts contain none."""
-    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("doc")) for f in FIELDS])
-    each = samples.select("sample_id", F.explode(fields).alias("x")).select("sample_id", "x.field", "x.doc").where("doc is not null")
-    return each.where(F.size(kinds(F.col("doc"))) > 0).select("sample_id", "field").distinct()
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["sample_id", "field"]).filter(pa.array([bool(kinds(x)) for x in batch.column("body").to_pylist()], pa.bool_()))
+
+    return _bodies(samples).where(F.col("body").rlike(SIGNS)).mapInArrow(kernel, "sample_id bigint, field string").distinct()
 
 
 _PRE = re.compile(r"<pre\b[^<>]*>(.*?)(?:</pre>|\Z)", re.S | re.I)
 _FENCE = re.compile(r"^[ \t]*(```|~~~)[^\n]*\n(.*?)(?:^[ \t]*\1[ \t]*$|\Z)", re.S | re.M)
-_MACRO = re.compile(r"\{(code|noformat)(?::[^{}\n]*)?\}(.*?)\{\1\}", re.S)
 _VERBATIM = re.compile(r"\\begin\{(verbatim|lstlisting)\}(.*?)\\end\{\1\}", re.S)
 _ELEMENTS = re.compile(_ELEMENT)
 
@@ -178,14 +217,14 @@ def clean(text: str) -> str:
     text = re.sub(r"<!--.*?(?:-->|\Z)", "", text, flags=re.S)
     text = _PRE.sub(lambda m: block(html.unescape(_ELEMENTS.sub("", m[1]))), text)
     text = _FENCE.sub(lambda m: block(m[2]), text)
-    text = _MACRO.sub(lambda m: block(m[2]), text)
+    text = re.sub(WIKI_BLOCK, lambda m: block(m[2]), text)
     text = _VERBATIM.sub(lambda m: block(m[2]), text)
-    text = re.sub(r"\{\{\{(.+?)\}\}\}", lambda m: keep(f"`{m[1].strip()}`"), text, flags=re.S)
-    text = re.sub(r"\{\{(?:monospace\s+)?([^{}]+)\}\}", lambda m: keep(f"`{m[1].strip()}`"), text)
+    text = re.sub(WIKI_TRIPLE, lambda m: keep(f"`{m[1].strip()}`"), text)
+    text = re.sub(WIKI_BRACES, lambda m: keep(f"`{m[1].strip()}`"), text)
     text = _inline_tags(text, keep)
-    text = re.sub(r"(?<!`)(`{1,2})(?![`\s])((?:(?!\n\s*\n)[^`])+?)(?<!\s)\1(?!`)", lambda m: keep(f"`{m[2]}`"), text)
-    for pattern in (r"\$\$([^$]+)\$\$", r"\\\[(.+?)\\\]", r"\\\((.+?)\\\)", r"(?<![\w$\\])\$(?![\s$])([^$]*?[\\^_][^$]*?)(?<![\s$])\$(?![\w$])"):
-        text = re.sub(pattern, lambda m: keep(f"${' '.join(m[1].split())}$"), text, flags=re.S)
+    text = re.sub(CODE, lambda m: keep(f"`{m[2]}`"), text, flags=re.A)
+    for pattern in (DISPLAY, BRACKETS, PARENTHESES, INLINE):
+        text = re.sub(pattern, lambda m: keep(f"${' '.join(m[1].split())}$"), text, flags=re.A)
     # HTML
     text = re.sub(r"<code\b[^<>]*>(.*?)</code>", lambda m: keep(f"`{html.unescape(m[1].strip())}`"), text, flags=re.S | re.I)
     text = re.sub(r"<h([1-6])\b[^<>]*>(.*?)</h\1>", lambda m: f"\n{'#' * int(m[1])} {' '.join(m[2].split())}\n", text, flags=re.S | re.I)
@@ -213,21 +252,17 @@ def clean(text: str) -> str:
     text = re.sub(r"(?<![\w:.\\/])(\\(?:sum|prod|int|lim|frac|sqrt)(?:[_^]?\{[^{}]*\}|[_^]\w)*(?:\s*\w+_\w+)?)", lambda m: keep(f"${m[1]}$"), text)
     text = re.sub(r"(?<![\w:.\\/])\\[A-Za-z]+\*?(?:\[[^\[\]\n]*\])?\{([^{}]*)\}", r"\1", text)
     # Wiki
-    text = re.sub(r"(?m)^[ \t]*h([1-6])\.[ \t]+(\S.*)$", lambda m: f"{'#' * int(m[1])} {m[2]}", text)
-    text = re.sub(r"(?m)^[ \t]*(={2,6})[ \t]*([^=\s][^=\n]*?)[ \t]*\1[ \t]*$", lambda m: f"{'#' * len(m[1])} {m[2]}", text)
-    text = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", text)
-    text = re.sub(r"\[([^\[\]|\n]+)\|(?:https?:|mailto:)[^\[\]\n]+\]", r"\1", text)
-    text = re.sub(r"(?<!')('{5}|'''|'')(?=[^\s'])([^']+?)(?<=[^\s'])\1(?!')", r"\2", text)
-    text = re.sub(r"\{(color|quote|panel)(?::[^{}\n]*)?\}(.*?)\{\1\}", r"\2", text, flags=re.S)
+    text = re.sub(WIKI_HEADING, lambda m: f"{'#' * int(m[1])} {m[2]}", text)
+    text = re.sub(WIKI_EQUALS, lambda m: f"{'#' * len(m[1])} {m[2]}", text)
+    text = re.sub(WIKI_LINK, r"\1", text)
+    text = re.sub(WIKI_URL, r"\1", text)
+    text = re.sub(WIKI_QUOTES, r"\2", text)
+    text = re.sub(WIKI_MACRO, r"\2", text)
     text = re.sub(r"(?m)^[ \t]*\|\|(.+)\|\|[ \t]*$", lambda m: "| " + " | ".join(x.strip() for x in m[1].split("||")) + " |", text)
-    text = re.sub(r"(?m)^[ \t]*bq\.[ \t]+", "", text)
+    text = re.sub(WIKI_QUOTE, "", text)
     # Markdown
-    text = re.sub(r"!?\[([^\[\]]+)\]\([^()\s]+\)", r"\1", text)
-    text = re.sub(r"(?<![*\w])\*\*(?=[^\s*])([^*]+)(?<=[^\s*])\*\*(?![*\w])", r"\1", text)
-    text = re.sub(r"(?<!\w)__(?=[^\W_])([^_]*\s[^_]*)(?<=[^\s_])__(?!\w)", r"\1", text)
-    text = re.sub(r"(?<![*\w/])\*(?=[^\s*/])([^*]{1,160}?)(?<=[^\s*])\*(?![*\w/])", r"\1", text)
-    text = re.sub(r"(?<!\w)_(?=[A-Za-z])([^_.]*\s[^_.]*)(?<=[^\s_])_(?!\w)", r"\1", text)
-    text = re.sub(r"~~(?=[^\s~])([^~]+)(?<=[^\s~])~~", r"\1", text)
+    for pattern in (LINK, STRONG, STRONG_LOW, EMPHASIS, EMPHASIS_LOW, STRIKE):
+        text = re.sub(pattern, r"\1", text, flags=re.A)
     text = re.sub(r"(?m)^[ \t]*(\S.*)\n[ \t]*(-{3,}|={3,})[ \t]*$", lambda m: f"## {m[1]}" if "|" not in m[1] else m[0], text)
     text = re.sub(r"(?m)^[ \t]*\|(?:[ \t]*:?-{2,}:?[ \t]*\|)+[ \t]*\n?", "", text)
     text = re.sub(r"(?m)^[ \t]*(?:-{3,}|={3,})[ \t]*$", "", text)
@@ -239,17 +274,20 @@ def clean(text: str) -> str:
 def cleaned(samples: DataFrame) -> DataFrame:
     """(sample_id, field, kinds, clean_text) of every comment that is not null.
 
-    Texts without markup only lose their frame, inside the JVM; the others are converted in a Python worker.
+    Texts without a sign of markup only lose their frame, inside the JVM; the others are read by a Python worker, and
+    those in which a rule finds markup are converted.
     """
-    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("doc")) for f in FIELDS])
-    each = samples.select("sample_id", F.explode(fields).alias("x")).select("sample_id", "x.field", "x.doc").where("doc is not null")
-    told = each.select("sample_id", "field", kinds(F.col("doc")).alias("kinds"), body(F.col("doc")).alias("body"))
-    plain = told.where(F.size("kinds") == 0).select("sample_id", "field", "kinds", F.trim(F.regexp_replace("body", r"\A\s+|\s+\z", "")).alias("clean_text"))
+    each = _bodies(samples).withColumn("signs", F.col("body").rlike(SIGNS))
+    trimmed = F.regexp_replace("body", r"(?U)\A\s+|\s+\z", "")
+    plain = each.where("not signs").select("sample_id", "field", F.expr("cast(array() as array<string>)").alias("kinds"), trimmed.alias("clean_text"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [clean(x) for x in batch.column("body").to_pylist()]
-            yield pa.record_batch({**{c: batch.column(c) for c in ("sample_id", "field", "kinds")}, "clean_text": pa.array(texts, pa.string())})
+            texts = batch.column("body").to_pylist()
+            told = [kinds(x) for x in texts]
+            done = [clean(x) if k else x.strip() for x, k in zip(texts, told, strict=True)]
+            same = {c: batch.column(c) for c in ("sample_id", "field")}
+            yield pa.record_batch({**same, "kinds": pa.array(told, pa.list_(pa.string())), "clean_text": pa.array(done, pa.string())})
 
-    marked = told.where(F.size("kinds") > 0).mapInArrow(kernel, "sample_id bigint, field string, kinds array<string>, clean_text string")
+    marked = each.where("signs").select("sample_id", "field", "body").mapInArrow(kernel, "sample_id bigint, field string, kinds array<string>, clean_text string")
     return plain.union(marked)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..storage import ship, table
-from . import batch_dedup, format_dups, function_docs, leakage, markup, near_dups, shared_spans, splits, survivor, tokenizer
+from . import batch_dedup, format_dups, function_docs, leakage, markup, near_dups, pages, shared_spans, splits, survivor, tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,7 @@ def queries() -> dict[str, Query]:
         "p4_weighted": _on(near_dups.weighted_links, "samples"),
         "p5_found": _on(markup.found, "samples"),
         "p5_clean": _on(markup.cleaned, "samples"),
+        "p5_pages": _on(pages.differenced_comments, "samples"),
         "p6_found": _on(survivor.found, "commits_nested", "dataset_trust"),
         "p6_best": _on(survivor.best_commits, "commits_nested", "dataset_trust"),
         "p7_found": _on(format_dups.found, "samples"),

@@ -7,7 +7,7 @@ from docweft.llm import queries as Q
 
 SCHEMAS = {
     "commits": "commit_seq long, project_slug string, repository_url string, scan_seq long, commit_hash string, message string, patch string, committed_at timestamp, loaded_at timestamp",
-    "samples": "sample_id long, batch_id int, project_slug string, commit_hash string, issue_summary string, code_before string, code_after string, javadoc_before string, javadoc_after string, entity_name string, entity_type string",
+    "samples": "sample_id long, batch_id int, project_slug string, commit_hash string, issue_summary string, code_before string, code_after string, javadoc_before string, javadoc_after string, entity_name string, entity_type string, commit_url string, file_path string",
     "entities": "entity_id long, file_id long, side string, entity_type string, name string, javadoc string, start_line int, end_line int, code_start_line int, code_end_line int",
     "file_changes": "file_id long, old_content string, new_content string",
     "commits_nested": "row_seq long, dataset string, project_slug string, repository_url string, commit_hash string, issue_summary string, mined_at timestamp",

@@ -2,11 +2,12 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
-from docweft.llm import function_docs, leakage, markup, shared_spans, tokenizer
+from docweft.llm import function_docs, leakage, markup, pages, shared_spans, tokenizer
 
 SOURCE = '''package x;
 
@@ -128,6 +129,50 @@ def test_markup_becomes_clean_text(spark):
     assert "<" not in re.sub("`[^`]*`", "", text) and got["javadoc_after"] == "Plain a < b."
 
 
+LONG_SPANS = {
+    "`" + "call(a, b) and " * 200 + "c`": "markdown_code", "**" + "bold " * 900 + "x**": "markdown_strong", "[x](" + "a/" * 900 + ")": "markdown_link", "\\[ " + "x + " * 900 + "y \\]": "latex_math",
+    "$x_" + "1 + " * 900 + "2$": "latex_math", "$$" + "x^2 + " * 900 + "y$$": "latex_math", "an *" + "idle\n" * 900 + "one*": "markdown_emphasis", "{{" + "x " * 900 + "}}": "wiki_braces", "[[" + "Page " * 900 + "]]": "wiki_link",
+    "'''" + "bold " * 900 + "x'''": "wiki_quotes", "~~" + "gone " * 900 + "x~~": "markdown_strike", "a _" + "very " * 900 + "good_ one": "markdown_emphasis",
+}
+
+
+@pytest.mark.parametrize("text", LONG_SPANS, ids=range(len(LONG_SPANS)))
+def test_spans_of_any_length_are_told_and_converted(text):
+    assert markup.kinds(text) == [LONG_SPANS[text]]
+    assert (markup.clean(text) == text) == (text[0] == "`")  # code in a line is written as it was
+
+
+@pytest.mark.parametrize("mark", ["*", "_", "`", "$", "~~", "[", "{{", "''", "\\["])
+def test_marks_that_never_close_take_no_time(mark):
+    began = time.time()
+    markup.kinds((mark + "a b ") * 20_000)
+    assert time.time() - began < 20
+
+
+def test_common_lines_are_a_longest_common_subsequence():
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = ([rng.choice(["x", "y", "z", "w", " ", ""]) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        got = pages.common_lines(a, b)
+        one, two = ([x for x in t if x.strip()] for t in (a, b))
+        best = [[0] * (len(two) + 1) for _ in range(len(one) + 1)]
+        for i, x in enumerate(one):
+            for j, y in enumerate(two):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert len(got) == best[-1][-1] and got == sorted(set(got))
+        rest = iter(two)
+        assert all(a[i] in rest for i in got)
+
+
+def test_pages_lose_the_lines_of_their_nearest_neighbour(spark):
+    schema = "id long, host string, path string, text string"
+    data = [(1, "h", "/a/b/x", "menu\none\nfoot"), (2, "h", "/a/b/y", "menu\ntwo\nfoot"), (3, "h", "/c/z", "menu\nthree"), (4, "other", "/a/b/x", "menu\none\nfoot"), (5, "h", "/c", None)]
+    got = {r["id"]: (r["other"], r["lines"], r["shared"], r["text"]) for r in pages.differenced(spark.createDataFrame(data, schema)).collect()}
+    assert got == {1: (2, 3, 2, "one"), 2: (1, 3, 2, "two"), 3: (5, 2, 0, "menu\nthree"), 4: (None, 3, 0, "menu\none\nfoot"), 5: (3, 0, 0, "")}
+    many = spark.range(2000).selectExpr("id", "'h' as host", "format_string('/d/%04d/%s', id div 2, if(id % 2 = 0, 'a', 'b')) as path", "'t' as text")
+    assert all(r["other"] == r["id"] ^ 1 for r in pages.nearest_pages(many).collect())
+
+
 tokenizers = pytest.importorskip("tokenizers")
 TEXTS = [
     None, "", " ", "Hello, world! it's we'll I'VE", "a" * 300, " " * 200 + "x", "日本語のテキストと emoji 👩‍👩‍👧 naïve", "tab\tnew\r\n\r\nline  two   spaces ", "<|endoftext|> is text", "\x00\x01\x1c\x85\xa0 ctrl", "ab" * 400, "x1y2_z3.foo(bar[0]);//--==",
