@@ -139,7 +139,8 @@ LONG_SPANS = {
 @pytest.mark.parametrize("text", LONG_SPANS, ids=range(len(LONG_SPANS)))
 def test_spans_of_any_length_are_told_and_converted(text):
     assert markup.kinds(text) == [LONG_SPANS[text]]
-    assert (markup.clean(text) == text) == (text[0] == "`")  # code in a line is written as it was
+    kept = text[0] == "`" or text.startswith("$x")  # what is written in the notation of clean text already
+    assert (markup.clean(text) == text) == kept
 
 
 @pytest.mark.parametrize("mark", ["*", "_", "`", "$", "~~", "[", "{{", "''", "\\["])
