@@ -64,15 +64,15 @@ WIKI_URL = r"\[([^\[\]|\n]++)\|(?:https?:|mailto:)[^\[\]\n]++\]"
 WIKI_QUOTES = r"(?<!')('{5}|'{2,3})(?=[^\s'])([^']++)(?<=[^\s'])\1(?!')"
 WIKI_HEADING = r"(?m)^[ \t]*[hH]([1-6])\.[ \t]+(\S.*)$"
 WIKI_EQUALS = r"(?m)^[ \t]*(={2,6})[ \t]*([^=\s][^=\n]*?)[ \t]*\1[ \t]*$"
-WIKI_TRIPLE = r"(?s)\{\{\{(.+?)\}\}\}"
+WIKI_TRIPLE = r"\{\{\{((?:[^{}]|\{(?!\{\{)|\}(?!\}\}))++)\}\}\}"
 WIKI_BRACES = r"\{\{(?:monospace\s+)?([^{}]++)\}\}"
 WIKI_BLOCK = r"(?is)\{(code|noformat)(?::[^{}\n]*)?\}(.*?)\{\1\}"
 WIKI_MACRO = r"(?is)\{(color|quote|panel)(?::[^{}\n]*)?\}(.*?)\{\1\}"
 WIKI_QUOTE = r"(?m)^[ \t]*bq\.[ \t]+(?=\S)"
 RULE = r"(?m)^[ \t]*(?:-{3,}|={3,})[ \t]*$"
 QUOTE = r"(?m)" + _AFTER + r">[ \t]+(?=\S)"
-BRACKETS = r"(?s)\\\[((?:(?!\\\]|\n[ \t]*\n).)+)\\\]"
-PARENTHESES = r"(?s)\\\(((?:(?!\\\)|\n[ \t]*\n).)+)\\\)"
+BRACKETS = r"\\\[(?!\\\])([^\\\n]*+(?:(?:\\(?![\[\]])|\n(?![ \t]*\n))[^\\\n]*+)*+)\\\]"
+PARENTHESES = r"\\\((?!\\\))([^\\\n]*+(?:(?:\\(?![()])|\n(?![ \t]*\n))[^\\\n]*+)*+)\\\)"
 DISPLAY = rf"\$\$(?!\$)({_run('$')})(?<!\$)\$\$"
 INLINE = rf"(?<![\w$\\])\$(?![\s$])(?=[^$\\^_]*[\\^_])({_run('$')})(?<![\s$])\$(?![\w$])"
 

@@ -143,7 +143,7 @@ def test_spans_of_any_length_are_told_and_converted(text):
     assert (markup.clean(text) == text) == kept
 
 
-@pytest.mark.parametrize("mark", ["*", "_", "`", "$", "~~", "[", "{{", "''", "\\["])
+@pytest.mark.parametrize("mark", ["*", "_", "`", "$", "~~", "[", "{{", "{{{", "''", "\\[", "\\(", "**", "{code}"])
 def test_marks_that_never_close_take_no_time(mark):
     began = time.time()
     markup.kinds((mark + "a b ") * 20_000)
