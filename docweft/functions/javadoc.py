@@ -12,7 +12,7 @@ from .expr import let
 from .html_refs import unescape
 from .kernels import seq_ratio, spelling_only
 from .text import WS, line_form, strip, text_or_empty, unix_lines
-from .tokens import multiset_minus
+from .tokens import multiset_changes
 
 # Fixed values.
 IGNORED_TAGS = ["@see", "@since", "@version", "@author"]
@@ -50,7 +50,11 @@ def layout_form(doc: Column) -> Column:
 
 def format_form(doc: Column) -> Column:
     """Equal for comments that differ in punctuation and markup only."""
-    plain = F.regexp_replace(layout_form(doc), FORMAT_TAG, " ")
+    return format_form_of(layout_form(doc))
+
+
+def format_form_of(layout: Column) -> Column:
+    plain = F.regexp_replace(layout, FORMAT_TAG, " ")
     plain = F.regexp_replace(plain, "<[^>]+>", " ")
     plain = F.regexp_replace(plain, rf"\{{@([a-zA-Z]+){WS}+([^}}]*)\}}", "$1 $2")
     return F.array_join(F.regexp_extract_all(F.lower(plain), F.lit("@?[A-Za-z0-9_$]+"), 0), " ")
@@ -58,11 +62,14 @@ def format_form(doc: Column) -> Column:
 
 def format_only_reason(old: Column, new: Column) -> Column:
     """Why a change of a comment is one of form only; empty if it is not."""
-    return (
-        F.when(layout_form(old) == layout_form(new), "whitespace_or_line_wrapping_only")
-        .when(format_form(old) == format_form(new), "punctuation_or_html_formatting_only")
-        .otherwise("")
-    )
+    def told(x: Column) -> Column:
+        return (
+            F.when(x["a"] == x["b"], "whitespace_or_line_wrapping_only")
+            .when(format_form_of(x["a"]) == format_form_of(x["b"]), "punctuation_or_html_formatting_only")
+            .otherwise("")
+        )
+
+    return let(F.struct(layout_form(old).alias("a"), layout_form(new).alias("b")), told)
 
 
 def core_text(doc: Column) -> Column:
@@ -120,8 +127,8 @@ def substantive_change(old: Column, new: Column) -> Column:
         return F.struct(verdict.alias("verdict"), removed.alias("removed"), added.alias("added"))
 
     def differences(x: Column) -> Column:
-        removed, added = multiset_minus(x["a"], x["b"]), multiset_minus(x["b"], x["a"])
-        return let(F.struct(x["old"].alias("old"), x["new"].alias("new"), x["a"].alias("a"), x["b"].alias("b"), removed.alias("removed"), added.alias("added")), judge)
+        names = ("old", "new", "a", "b")
+        return let(multiset_changes(x["a"], x["b"]), lambda c: let(F.struct(*[x[n].alias(n) for n in names], c["removed"].alias("removed"), c["added"].alias("added")), judge))
 
     # All that comes from outside enters in the outermost value: a kernel's result must not end up inside a lambda.
     outer = F.struct(old.alias("old"), new.alias("new"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,37 +51,64 @@ def is_identifier(token: Column) -> Column:
     return token.rlike(IDENTIFIER) & ~token.isin(KEYWORDS)
 
 
+def _begins(xs: Column, differ: Callable[[Column, Column], Column]) -> Column:
+    """Where each run of like elements of a sorted array begins."""
+    return F.filter(F.transform(xs, lambda x, i: F.when((i == 0) | differ(F.get(xs, i - 1), x), i)), lambda i: i.isNotNull())
+
+
+def _ends(xs: Column, begins: Column) -> Column:
+    return F.concat(F.slice(begins, 2, F.greatest(F.size(begins) - 1, F.lit(0))), F.array(F.size(xs)))
+
+
 def identifier_shape(tokens: Column) -> Column:
-    """Identifiers renamed by order of first sight (id0, id1, ...), all else kept."""
-    def renamed(ts: Column) -> Column:
-        return let(
-            F.array_distinct(F.filter(ts, is_identifier)),
-            lambda names: F.transform(ts, lambda t: let(F.array_position(names, t), lambda at: F.when(at > 0, F.concat(F.lit("id"), (at - 1).cast("string"))).otherwise(t))),
-        )
+    """Identifiers renamed by order of first sight (id0, id1, ...), all else kept.
+
+    By sorting: equal tokens form runs with their places, runs of identifiers are numbered by their first place.
+    """
+    def runs(xs: Column) -> Column:
+        def one(a: Column, b: Column) -> Column:
+            return F.struct(F.get(xs, a)["i"].alias("first"), F.get(xs, a)["t"].alias("t"), F.transform(F.slice(xs, a + 1, b - a), lambda x: x["i"]).alias("places"))
+
+        return let(_begins(xs, lambda p, x: p["t"] != x["t"]), lambda at: F.zip_with(at, _ends(xs, at), one))
 
-    return let(tokens, renamed)
+    def renamed(rs: Column) -> Column:
+        ids, others = F.array_sort(F.filter(rs, lambda r: is_identifier(r["t"]))), F.filter(rs, lambda r: ~is_identifier(r["t"]))
+        named = F.flatten(F.transform(ids, lambda r, k: let(F.concat(F.lit("id"), k.cast("string")), lambda name: F.transform(r["places"], lambda i: F.struct(i.alias("i"), name.alias("t"))))))
+        kept = F.flatten(F.transform(others, lambda r: F.transform(r["places"], lambda i: F.struct(i.alias("i"), r["t"].alias("t")))))
+        return F.transform(F.array_sort(F.concat(named, kept)), lambda x: x["t"])
 
+    return let(F.array_sort(F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i")))), lambda xs: let(runs(xs), renamed))
 
-def _counted(values: Column) -> Column:
-    """STRUCT(v, n): the distinct elements in order and how often each stands, from the bounds of equal runs."""
-    def bounds(xs: Column) -> Column:
-        begins = F.filter(F.transform(xs, lambda x, i: F.when((i == 0) | (F.get(xs, i - 1) != x), i)), lambda i: i.isNotNull())
-        return let(begins, lambda at: counts(xs, at))
 
-    def counts(xs: Column, at: Column) -> Column:
-        ends = F.concat(F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), F.array(F.size(xs)))
-        return F.struct(F.transform(at, lambda i: F.get(xs, i)).alias("v"), F.zip_with(at, ends, lambda a, b: b - a).alias("n"))
+def multiset_changes(a: Column, b: Column) -> Column:
+    """STRUCT(removed, added): ``a`` without as many of each element as ``b`` has, and the reverse; both sorted.
 
-    return let(F.sort_array(values), bounds)
+    Both sides are sorted together once, so the work is that of a sort. Elements must not be null.
+    """
+    def counted(xs: Column) -> Column:
+        def one(i: Column, j: Column) -> Column:
+            return F.struct(F.get(xs, i)["v"].alias("v"), F.get(xs, i)["s"].alias("s"), (j - i).alias("n"))
+
+        return let(_begins(xs, lambda p, x: (p["v"] != x["v"]) | (p["s"] != x["s"])), lambda at: F.zip_with(at, _ends(xs, at), one))
+
+    def left(rs: Column, side: int, step: int) -> Column:
+        def more(r: Column, i: Column) -> Column:
+            other = F.get(rs, i + step)
+            there = F.when(other["v"] == r["v"], other["n"]).otherwise(0)
+            return F.array_repeat(r["v"], F.when(r["s"] == side, F.greatest(r["n"] - there, F.lit(0))).otherwise(0))
+
+        return F.flatten(F.transform(rs, more))
+
+    return let(F.array_sort(F.concat(_sided(a, 0), _sided(b, 1))), lambda xs: let(counted(xs), lambda rs: F.struct(left(rs, 0, 1).alias("removed"), left(rs, 1, -1).alias("added"))))
+
+
+def _sided(values: Column, side: int) -> Column:
+    return F.transform(values, lambda v: F.struct(v.alias("v"), F.lit(side).alias("s")))
 
 
 def multiset_minus(a: Column, b: Column) -> Column:
     """``a`` without as many of each element as ``b`` has; the rest sorted. Elements must not be null."""
-    def left(x: Column) -> Column:
-        there = lambda u: F.coalesce(F.get(x["b"]["n"], (F.array_position(x["b"]["v"], u) - 1).cast("int")), F.lit(0))
-        return F.flatten(F.transform(x["a"]["v"], lambda u, i: F.array_repeat(u, F.greatest(F.get(x["a"]["n"], i) - there(u), F.lit(0)))))
-
-    return let(F.struct(_counted(a).alias("a"), _counted(b).alias("b")), left)
+    return multiset_changes(a, b)["removed"]
 
 
 def split_identifier(name: Column) -> Column:
@@ -104,7 +133,7 @@ def code_terms(tokens: Column) -> Column:
 
 def changed_terms(old: Column, new: Column) -> Column:
     """The distinct words of which one side has more."""
-    return F.array_distinct(F.concat(multiset_minus(old, new), multiset_minus(new, old)))
+    return let(multiset_changes(old, new), lambda c: F.array_distinct(F.concat(c["removed"], c["added"])))
 
 
 def parameter_types(parameters: Column) -> Column:

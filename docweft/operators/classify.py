@@ -9,17 +9,21 @@ from ..functions import java_scan, javadoc
 from ..functions.expr import let
 from ..functions.kernels import seq_ratio
 from ..functions.text import line_form, strip, text_or_empty
-from ..functions.tokens import BEHAVIOUR, CONTRACT_GROUPS, LINK_STOP_WORDS, changed_terms, code_terms, identifier_shape, java_tokens, multiset_minus, parameter_types, split_identifier, words
+from ..functions.tokens import BEHAVIOUR, CONTRACT_GROUPS, LINK_STOP_WORDS, changed_terms, code_terms, identifier_shape, java_tokens, multiset_changes, parameter_types, split_identifier, words
+from ..storage import written
 
 
 def substantial_code(old: Column, new: Column, api_changed: Column | None = None) -> Column:
     """Whether two token arrays differ in more than order, names or a touch."""
     def judge(changed: Column) -> Column:
+        return let(changed, decided)
+
+    def decided(changed: Column) -> Column:
         real = F.arrays_overlap(changed, words(BEHAVIOUR)) | F.exists(changed, lambda t: t.rlike(r"\A[\"']")) | (F.size(changed) >= 4)
         return real if api_changed is None else F.coalesce(api_changed, F.lit(False)) | real
 
     same = (F.size(old) == 0) | (F.size(new) == 0) | (F.sort_array(old) == F.sort_array(new))
-    verdict = let(F.concat(multiset_minus(old, new), multiset_minus(new, old)), judge)
+    verdict = let(multiset_changes(old, new), lambda c: judge(F.concat(c["removed"], c["added"])))
     return F.when(same, False).when(identifier_shape(old) == identifier_shape(new), False).otherwise(verdict)
 
 
@@ -43,7 +47,8 @@ def with_gates(pairs: DataFrame) -> DataFrame:
 
     Columns read: pair_id, old_/new_ entity_type, name, parameters, return_type, throws, signature, javadoc,
     and code_before, code_after, code_changed. Cheap gates filter before the kernels run: rows that fail
-    them are rejected without being sent to Python.
+    them are rejected without being sent to Python. Tokens are written once, as a filter over a computed
+    column would be moved below its projection and compute it anew for each use.
     """
     none = F.expr("cast(array() as array<string>)")
     arrays = {f"{s}_{c}": F.coalesce(f"{s}_{c}", none) for s in ("old", "new") for c in ("parameters", "throws")}
@@ -53,14 +58,17 @@ def with_gates(pairs: DataFrame) -> DataFrame:
     first = kinds & F.coalesce("code_changed", F.lit(False)) & documented
     passed = ready.where(F.coalesce(first, F.lit(False)))
     code = [F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(s)) for c, s in (("code_before", "old_signature"), ("code_after", "new_signature"))]
-    passed = passed.withColumns({"_c0": java_tokens(code[0]), "_c1": java_tokens(code[1])})
+    read = [f"{s}_{c}" for s in ("old", "new") for c in ("entity_type", "name", "parameters", "return_type", "throws", "javadoc")]
+    passed = written(passed.select("pair_id", *read, java_tokens(code[0]).alias("_c0"), java_tokens(code[1]).alias("_c1")), "code-tokens")
     types_differ = parameter_types(F.col("old_parameters")) != parameter_types(F.col("new_parameters"))
     returns_differ, throws_differ = ~F.col("old_return_type").eqNullSafe(F.col("new_return_type")), F.col("old_throws") != F.col("new_throws")
     passed = passed.where(substantial_code(F.col("_c0"), F.col("_c1"), types_differ | returns_differ | throws_differ))
     passed = passed.withColumns({"_d0": javadoc.semantic_tokens(F.col("old_javadoc")), "_d1": javadoc.semantic_tokens(F.col("new_javadoc"))})
+    passed = written(passed.drop("old_javadoc", "new_javadoc"), "doc-tokens")
     passed = javadoc.with_substantive(passed, "_d0", "_d1").where("substantive")
     terms = code_and_doc_terms(F.col("_c0"), F.col("_c1"), F.col("_d0"), F.col("_d1"))
-    passed = passed.withColumns({"_code": terms[0], "_doc": terms[1], "similarity": seq_ratio(F.col("_d0"), F.col("_d1"))})
+    passed = passed.withColumns({"_code": terms[0], "_doc": terms[1], "similarity": seq_ratio(F.col("_d0"), F.col("_d1"))}).drop("_c0", "_c1", "_d0", "_d1")
+    passed = written(passed, "terms")
     direct = F.array_intersect("_code", "_doc")
     named = F.flatten(F.transform(F.concat("old_parameters", "new_parameters"), split_identifier))
     api = (

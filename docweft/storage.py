@@ -17,8 +17,10 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` of a folder."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """The Parquet table ``name`` of a folder; one of fewer pieces than there are cores is spread over them."""
+    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def shared_dir(spark: SparkSession) -> str:
