@@ -7,7 +7,10 @@ from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_right
+from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import accumulate, compress
 
 # Fixed values.
 MODIFIERS = set("public protected private static final abstract synchronized native strictfp default transient volatile".split())
@@ -15,6 +18,10 @@ CONTROL = set("if for while switch catch return throw new".split())
 DOC_COMMENT = re.compile(r"/\*\*.*?\*/", re.S)
 CLASS_HEAD = re.compile(r"\b(class|interface|enum|record)\s+([A-Za-z_$][\w$]*)")
 NAME = re.compile(r"[A-Za-z_$][\w$]*")
+CODE_LINE = re.compile(r"[^\S\n]*(?!//)(\S(?:[^\n]*\S)?)")
+CALLABLE = re.compile(r"(?P<left>[^(=]*)\((?P<inside>[^)]*)\)(?P<after>.*)", re.S)
+THROWN = re.compile(r"\bthrows\s+(.+)$")
+GOES_ON = re.compile(r"\s*(?:[;),.\]?:]|(?:catch|else|finally|while)\b)")
 LEXEME = re.compile(r"//[^\n]*|/\*.*?(?:\*/|\Z)|\"(?:\\.|[^\"\\])*(?:\"|\Z)|'(?:\\.|[^'\\])*(?:'|\Z)|[{};]", re.S)
 
 
@@ -33,78 +40,82 @@ class Entity:
     throws: list[str] = field(default_factory=list)
 
 
-def _next_declaration(source: str, at: int) -> tuple[str, int, int] | None:
-    """(text up to its brace or semicolon, begin, end of its last line) of what follows; blank and ``//`` lines are passed over."""
-    parts: list[str] = []
-    begin = -1
-    while at < len(source):
-        stop = source.find("\n", at) + 1 or len(source)
-        line = source[at:stop]
-        bare = line.strip()
-        if bare and not bare.startswith("//"):
-            if begin < 0:
-                begin = at + line.index(bare)
-            parts.append(bare)
-            if "{" in bare or ";" in bare:
-                return re.split("[{;]", " ".join(parts), maxsplit=1)[0].strip(), begin, stop
-        at = stop
-    return None
-
-
-def _last_line(source: str, begin: int, stop: int) -> int:
-    """The line of the brace that closes the entity, counting every brace; without a body the declaration's last."""
-    brace = source.find("{", begin)
-    head = source[begin:stop]
-    if brace >= 0 and not (";" in head and "{" not in head):
-        depth = 0
-        for m in re.finditer("[{}]", source[brace:]):
-            depth += 1 if m[0] == "{" else -1
-            if not depth:
-                return source.count("\n", 0, brace + m.start()) + 1
-        return source.count("\n", 0, stop) + 1
-    return source.count("\n", 0, max(begin, stop - 1)) + 1
-
-
-def _listed(text: str) -> list[str]:
-    return [p for p in (x.strip() for x in text.split(",")) if p]
-
-
-def _shape(declaration: str) -> dict | None:
-    """Type, name and parts of a declaration; None if it is none."""
-    head = CLASS_HEAD.search(declaration)
-    if head:
-        return {"entity_type": "class", "name": head[2], "signature": declaration}
-    before, opened, rest = declaration.partition("(")
-    words = lambda text: [w for w in text.split() if w not in MODIFIERS and not w.startswith("@")]
-    if not opened or ")" not in declaration or "=" in before:
-        left = declaration.split("=", 1)[0].strip()
-        tokens = words(left)
-        name = tokens[-1].rstrip("[]") if len(tokens) > 1 else ""
-        if not re.fullmatch(NAME, name):
-            return None
-        return {"entity_type": "field", "name": name, "signature": left, "return_type": tokens[-2]}
-    tokens = words(before)
-    if not tokens or tokens[-1] in CONTROL or ")" not in rest:
+class SourceText:
+    """A source with its lines and the partner of every brace, found in one pass each."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.starts = [0, *(m.end() for m in re.finditer("\n", text))]
+        self.closing: dict[int, int] = {}
+        opened: list[int] = []
+        for m in re.finditer("[{}]", text):
+            if m[0] == "{":
+                opened.append(m.start())
+            elif opened:
+                self.closing[opened.pop()] = m.start()
+
+    def line(self, at: int) -> int:
+        """The number of the line that holds a place."""
+        return bisect_right(self.starts, at)
+
+    def declaration(self, at: int) -> tuple[str, int, int] | None:
+        """(text, first place, place after its last line) of what is declared after ``at``, or None.
+
+        Its lines are those with code up to the first that has a brace or a semicolon, where the text ends.
+        """
+        ends = [*self.starts[self.line(at) :], len(self.text)]
+        spans = zip([at, *ends], ends, strict=False)
+        coded = ((m, stop) for begin, stop in spans if begin < stop and (m := CODE_LINE.match(self.text, begin, stop)))
+        pieces: list[str] = []
+        first = None
+        for m, stop in coded:
+            first = m.start(1) if first is None else first
+            text, mark, _ = re.split("([{;])", m[1], maxsplit=1) if re.search("[{;]", m[1]) else (m[1], "", "")
+            pieces.append(text)
+            if mark:
+                return " ".join(pieces).strip(), first, stop
         return None
-    parameters, _, after = rest.partition(")")
-    thrown = re.search(r"\bthrows\s+(.+)$", after.strip())
-    return {
-        "entity_type": "method", "name": tokens[-1], "signature": declaration, "return_type": tokens[-2] if len(tokens) > 1 else "",
-        "parameters": _listed(parameters), "throws": _listed(thrown[1]) if thrown else [],
-    }
+
+    def last_line(self, first: int, stop: int) -> int:
+        """The line of the brace that ends what is declared at ``first``; without a body the declaration's last line."""
+        opening = self.text.find("{", first)
+        if opening < 0 or opening >= stop and ";" in self.text[first:stop]:
+            return self.line(max(first, stop - 1))
+        return self.line(self.closing.get(opening, stop))
+
+
+def _parts(text: str) -> list[str]:
+    """The items of a list parted by commas."""
+    return re.findall(r"[^,\s](?:[^,]*[^,\s])?", text)
+
+
+def described(declaration: str) -> dict | None:
+    """Type, name and parts of a declaration; None if it declares nothing that is documented."""
+    if named := CLASS_HEAD.search(declaration):
+        return {"entity_type": "class", "name": named[2], "signature": declaration}
+    call = CALLABLE.match(declaration)
+    if not call and re.match(r"[^(=]*\)[^(=]*\(", declaration):
+        return None  # parentheses the wrong way round
+    left = call["left"] if call else declaration.partition("=")[0].strip()
+    *before, name = [w for w in left.split() if w not in MODIFIERS and w[0] != "@"] or [""]
+    if call:
+        thrown = THROWN.search(call["after"].strip())
+        kind = {"entity_type": "method", "signature": declaration, "parameters": _parts(call["inside"]), "throws": _parts(thrown[1]) if thrown else []}
+        return {**kind, "name": name, "return_type": before[-1] if before else ""} if name and name not in CONTROL else None
+    plain = name.rstrip("[]")
+    return {"entity_type": "field", "name": plain, "signature": left, "return_type": before[-1]} if before and NAME.fullmatch(plain) else None
 
 
 def parse_entities(source: str) -> list[Entity]:
     """Each documentation comment with the class, method or field declared next."""
-    out = []
+    text, out = SourceText(source), []
     for doc in DOC_COMMENT.finditer(source):
-        found = _next_declaration(source, doc.end())
-        shape = _shape(found[0]) if found and found[0] else None
-        if shape:
-            line = lambda at: source.count("\n", 0, at) + 1
-            out.append(
-                Entity(javadoc=doc[0], start_line=line(doc.start()), end_line=line(doc.end()), code_start_line=line(found[1]), code_end_line=_last_line(source, *found[1:]), **shape)
-            )
+        declared = text.declaration(doc.end())
+        facts = described(declared[0]) if declared and declared[0] else None
+        if facts:
+            _, first, stop = declared
+            lines = {"start_line": text.line(doc.start()), "end_line": text.line(doc.end()), "code_start_line": text.line(first), "code_end_line": text.last_line(first, stop)}
+            out.append(Entity(javadoc=doc[0], **lines, **facts))
     return out
 
 
@@ -112,60 +123,56 @@ def code_lines(source: str | None, first: int | None, last: int | None) -> str:
     """Lines ``first`` to ``last``, white space at line ends and around them cut off."""
     if source is None or first is None or last is None:
         return ""
-    return "\n".join(x.rstrip() for x in source.split("\n")[max(first - 1, 0) : last]).strip()
+    return re.sub(r"\s+$", "", "\n".join(x.rstrip() for x in source.split("\n")[max(first - 1, 0) : last])).lstrip()
 
 
 def split_class(code: str) -> tuple[str, list[str]] | None:
-    """(head up to its brace, members) of a class; None if it does not end."""
-    depth, begin, head, members = 0, 0, "", []
-
-    def take(stop: int) -> None:
-        nonlocal begin
-        if member := code[begin:stop].strip():
-            members.append(member)
-        begin = stop
-
-    for m in LEXEME.finditer(code):
-        mark = m[0]
-        if mark == "{":
-            depth += 1
-            if depth == 1 and not head:
-                head, begin = code[: m.end()].strip(), m.end()
-        elif mark == "}" and head:
-            depth -= 1
-            if depth == 1 and not re.match(r"\s*(?:[;),.\]?:]|(?:catch|else|finally|while)\b)", code[m.end() :]):
-                take(m.end())
-            elif depth == 0:
-                return head, members
-        elif mark == ";" and depth == 1:
-            take(m.end())
-    return None
+    """(head up to its brace, members) of a class; None if it does not end.
+
+    The marks outside comments and literals get the depth after them; a member ends at depth one, at a semicolon or at
+    a closing brace after which the statement does not go on.
+    """
+    marks = [m for m in LEXEME.finditer(code) if m[0] in "{};"]
+    marks = marks[next((i for i, m in enumerate(marks) if m[0] == "{"), len(marks)) :]
+    depths = list(accumulate({"{": 1, "}": -1, ";": 0}[m[0]] for m in marks))
+    if 0 not in depths:
+        return None
+    inside = list(zip(marks, depths, strict=True))[1 : depths.index(0)]
+    ends = [m.end() for m, depth in inside if depth == 1 and m[0] != "{" and not (m[0] == "}" and GOES_ON.match(code, m.end()))]
+    opening = marks[0].end()
+    pieces = (code[a:b].strip() for a, b in zip([opening, *ends], ends, strict=False))
+    return code[:opening].strip(), [p for p in pieces if p]
 
 
 def without_comments(code: str) -> str:
     """Comments taken off outside literals; blank lines dropped."""
-    plain = LEXEME.sub(lambda m: re.sub(r"[^\n]", "", m[0]) if m[0].startswith("/") else m[0], code)
+    plain = LEXEME.sub(lambda m: "\n" * m[0].count("\n") if m[0].startswith("/") else m[0], code)
     return "\n".join(x.rstrip() for x in plain.split("\n") if x.strip())
 
 
-def _context(head: str, members: list[str]) -> str:
-    inside = "\n\n".join(without_comments(m).strip() for m in members)
-    return f"{head}\n{inside}\n}}" if members else f"{head}\n}}"
+def _own(mine: list[str], theirs: list[str]) -> tuple[list[bool], list[bool]]:
+    """For the members of each side, whether the alignment of both sides finds no partner for it."""
+    form = lambda m: " ".join(re.sub(r"(?s)/\*.*?\*/|//[^\n]*", " ", m).split())
+    aligned = difflib.SequenceMatcher(None, *([form(m) for m in side] for side in (mine, theirs)), autojunk=False)
+    left, right = [True] * len(mine), [True] * len(theirs)
+    for block in aligned.get_matching_blocks():
+        left[block.a : block.a + block.size] = right[block.b : block.b + block.size] = [False] * block.size
+    return left, right
 
 
 def class_context_pair(old: str, new: str, whole: int = 300, most: int = 500) -> tuple[str, str]:
     """Two versions of a class: whole up to ``whole`` lines, else heads with the members that differ; empty beyond ``most``."""
-    size = lambda a, b: max(len(a.splitlines()), len(b.splitlines()))
-    if size(old, new) <= whole:
+    def beyond(texts: Iterable[str], lines: int) -> bool:
+        return any(len(t.splitlines()) > lines for t in texts)
+
+    if not beyond((old, new), whole):
         return old, new
-    left, right = split_class(old), split_class(new)
-    if left is None or right is None:
+    classes = [split_class(code) for code in (old, new)]
+    if None in classes:
         return "", ""
-    plain = lambda m: " ".join(re.sub(r"(?s)/\*.*?\*/|//[^\n]*", " ", m).split())
-    steps = difflib.SequenceMatcher(None, [plain(m) for m in left[1]], [plain(m) for m in right[1]], autojunk=False).get_opcodes()
-    gone = [m for tag, a, b, _, _ in steps if tag != "equal" for m in left[1][a:b]]
-    come = [m for tag, _, _, a, b in steps if tag != "equal" for m in right[1][a:b]]
-    if left[0] == right[0] and not gone and not come:
+    heads, members = zip(*classes, strict=True)
+    chosen = [list(compress(m, keep)) for m, keep in zip(members, _own(*members), strict=True)]
+    if heads[0] == heads[1] and not any(chosen):
         return "", ""
-    pair = _context(left[0], gone), _context(right[0], come)
-    return pair if size(*pair) <= most else ("", "")
+    texts = tuple("\n".join([head, *(["\n\n".join(without_comments(m).strip() for m in kept)] if kept else []), "}"]) for head, kept in zip(heads, chosen, strict=True))
+    return ("", "") if beyond(texts, most) else texts
