@@ -73,10 +73,10 @@ def clone_or_update(url: str, cache: str, refresh: bool = False, fetch: bool = T
     return str(target)
 
 
-def list_commits(clone: str, full: bool, most: int, skip: int = 0) -> list[str]:
-    """Newest first: all reachable commits, or the first ``most`` of the first-parent line; then without the first ``skip``."""
+def list_commits(clone: str, full: bool, most: int, skip: int = 0, take: int | None = None) -> list[str]:
+    """Newest first: all reachable commits, or the first ``most`` of the first-parent line; then ``take`` of them after ``skip``."""
     args = ["rev-list", "HEAD"] if full else ["rev-list", "--first-parent", f"--max-count={most}", "HEAD"]
-    return run_git(args, clone).decode().split()[skip:]
+    return run_git(args, clone).decode().split()[skip:][:take]
 
 
 class _Range(InputPartition):
@@ -91,12 +91,13 @@ class _CommitReader(DataSourceReader):
         self.full = options.get("fullhistory", "false").lower() == "true"
         self.most = int(options.get("maxcommits", "1000"))
         self.skip = int(options.get("skipcommits", "0"))
+        self.take = int(options["takecommits"]) if options.get("takecommits") else None
         self.size = int(options.get("commitsperpartition", "200"))
         self.timeout = float(options.get("timeout", "180"))
         self.patches = options.get("patches", "true").lower() == "true"
 
     def partitions(self) -> list[_Range]:
-        hashes = list_commits(self.clone, self.full, self.most, self.skip)
+        hashes = list_commits(self.clone, self.full, self.most, self.skip, self.take)
         return [_Range(self.skip + i, hashes[i : i + self.size]) for i in range(0, len(hashes), self.size)]
 
     def read(self, partition: _Range) -> Iterator[tuple]:
@@ -112,7 +113,7 @@ class _CommitReader(DataSourceReader):
 
 
 class GitCommits(DataSource):
-    """Options: path, fullHistory, maxCommits, skipCommits, commitsPerPartition, timeout, patches."""
+    """Options: path, fullHistory, maxCommits, skipCommits, takeCommits, commitsPerPartition, timeout, patches."""
 
     @classmethod
     def name(cls) -> str:
@@ -155,6 +156,23 @@ class _Blobs:
         self.process.wait()
 
 
+def named_changes(wanted: DataFrame, clone: str, timeout: float = 180) -> DataFrame:
+    """(commit_hash, name_status, error) of the commits ``wanted`` (commit_hash); name_status is null where git fails."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
+        for batch in batches:
+            out = []
+            for commit in batch.commit_hash:
+                try:
+                    out.append((commit, text_of(run_git(["diff-tree", "--no-commit-id", "--name-status", "-r", commit], clone, timeout)), None))
+                except GitError as error:
+                    out.append((commit, None, str(error)[:1000]))
+            yield pd.DataFrame(out, columns=["commit_hash", "name_status", "error"])
+
+    return wanted.select("commit_hash").mapInPandas(read, "commit_hash string, name_status string, error string")
+
+
 def file_changes(targets: DataFrame, clone: str) -> DataFrame:
     """Both versions of each path of ``targets`` (commit_hash, scan_seq, file_seq, path); a missing side is null."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -4,6 +4,7 @@ import json
 import subprocess
 
 import pytest
+from pyspark.sql import functions as F
 
 from docweft import sinks
 from docweft.plans import mining
@@ -108,3 +109,57 @@ def test_sinks(spark, tmp_path):
     assert sinks.read_json(str(tmp_path / "x/y.json"), {}) == {"a": 1} and sinks.read_json(str(tmp_path / "none"), 3) == 3
     sinks.write_summary(spark.sql("select 1 as a, array(1, 2) as b"), str(tmp_path / "s"))
     assert {r["metric"]: r["value"] for r in spark.read.option("header", True).csv(str(tmp_path / "s/summary_csv")).collect()} == {"a": "1", "b": "[1,2]"}
+
+
+def test_mine_continue_merge_and_recover(spark, repository, tmp_path, capsys):
+    """One repository through all commands: half of it mined, the rest added, merged with the first, and read again."""
+    from docweft import cli
+
+    specs = tmp_path / "repositories.json"
+    specs.write_text(json.dumps([{"name": "My/Work", "url": repository}]))
+    path = {n: str(tmp_path / n) for n in ("cache", "base", "final", "merged", "backup", "recovered")}
+    (tmp_path / "base/other").mkdir(parents=True)
+    sample = {"commit_hash": "f" * 40, "issue_summary": "Say something good", "code_before": "int a() { return 1; }", "code_after": "int a() { if (b) { return 2; } return 1; }", "javadoc_before": "/** Gives one. */", "javadoc_after": "/** Gives two when asked. */"}
+    (tmp_path / "base/other/combined_samples.json").write_text(json.dumps([sample]))
+    common = ["mine-continuation", "--repositories", str(specs), "--root-dir", str(tmp_path), "--final-dir", path["final"], "--cache-dir", path["cache"], "--baseline-dir", path["base"]]
+    with pytest.raises(ValueError):
+        cli.main([*common, "--expected-baseline", "7"])
+    assert cli.main([*common, "--max-commits-per-repo", "1"]) == 0  # the newest commit only: documentation, no sample
+    first = json.loads((tmp_path / "final/my_work/metadata.json").read_text())
+    assert first["total_commits_scanned"] == 1 and first["retained_samples"] == 0 and not first["complete_history"]
+    assert cli.main([*common, "--expected-baseline", "1"]) == 0
+    told = json.loads((tmp_path / "final/my_work/metadata.json").read_text())
+    assert told["total_commits_scanned"] == 4 and told["retained_samples"] == 1 and told["complete_history"]
+    assert json.loads((tmp_path / "final/validation_report.json").read_text())["samples"] == 1
+    lines = spark.read.option("header", True).csv(f"{path['final']}/project_summary").collect()
+    assert lines[0]["project_slug"] == "my_work" and lines[0]["retained_samples"] == "1"
+    assert cli.main(["merge", "--old-dir", path["base"], "--new-dir", path["final"], "--output-dir", path["merged"], "--expected-old", "1", "--expected-new", "1", "--backup-dir", path["backup"]]) == 0
+    assert (tmp_path / "backup/old/other/combined_samples.json").exists() and (tmp_path / "backup/new/my_work/metadata.json").exists()
+    nested = spark.read.parquet(f"{path['merged']}/nested")
+    assert nested.count() == 2
+    urls = nested.withColumn("repository_url", F.when(F.col("project_slug") == "my_work", repository).otherwise(""))
+    urls.write.parquet(str(tmp_path / "grouped"))
+    again = ["recover", "--nested", str(tmp_path / "grouped"), "--cache-dir", path["cache"], "--output-dir", path["recovered"], "--least-changes", "1"]
+    assert cli.main(again) == 0
+    capsys.readouterr()
+    assert cli.main(again) == 0  # all is done: nothing is read again
+    report = json.loads(capsys.readouterr().out)
+    assert report["target_commits"] == 2 and report["raw_recovered"] == 1 and report["new_changes"] == 0 and report["changes"] == 2
+    left_out = spark.read.parquet(f"{path['recovered']}/duplicates").collect()
+    assert [r["outcome"] for r in left_out] == ["in_frozen"]
+    failed = spark.read.parquet(f"{path['recovered']}/unresolved").collect()
+    assert [(r["project_slug"], r["reasons"]) for r in failed] == [("other", ["missing_local_repo_cache"])]
+
+
+def test_files_of_one_commit_keep_their_own_numbers(spark, tmp_path):
+    seen = [(1, 0), (0, 10_000), (0, 20_000), (2**30, 2**30)]
+    df = spark.createDataFrame(seen, "scan_seq long, file_seq int").withColumn("file_id", F.shiftleft(F.col("scan_seq").cast("bigint"), 32) + F.col("file_seq"))
+    assert df.select("file_id").distinct().count() == 4 and df.agg(F.min("file_id")).first()[0] >= 0
+
+
+def test_early_stop_reads_no_further_chunk(spark, repository, tmp_path):
+    options = mining.MineOptions(repository, str(tmp_path / "cache"), str(tmp_path / "out"), max_commits=10, max_samples=1, chunk_commits=1)
+    stats = mining.mine_repository(spark, options)
+    assert stats["total_commits_scanned"] == 3 and stats["samples_retained"] == 1  # one, then two more; the fourth is not read
+    options.max_samples = None
+    assert mining.mine_repository(spark, options)["total_commits_scanned"] == 4
