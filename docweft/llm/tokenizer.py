@@ -30,8 +30,8 @@ TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k"
 # Fixed value: how this vocabulary cuts text into words, in Java's dialect.
 PATTERN = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SLOT_BITS = 17
-MASK = (1 << SLOT_BITS) - 1
+ID_BITS = 20  # of an id in a packed merge: left, right and result fit a 64-bit number
+MOST_IDS = 1 << ID_BITS
 SEGMENT = 2048  # words of a text numbered together
 LONG_WORD = 96  # bytes; longer words are merged by a heap in a Python worker, exactly alike
 SEPARATOR = "\x01"
@@ -47,16 +47,27 @@ class Vocabulary:
         self.pieces = {int(rank): base64.b64decode(piece) for piece, rank in pairs}
         ids = {piece: rank for rank, piece in self.pieces.items()}
         self.bytes = [ids[bytes([b])] for b in range(256)]
-        model = json.loads(Path(folder, f"{name}.json").read_text(encoding="utf-8"))["model"]
-        vocab = model["vocab"]
+        if max(self.pieces) >= MOST_IDS:
+            raise ValueError(f"ids of this vocabulary reach {max(self.pieces)}; {MOST_IDS - 1} is the most a packed merge holds")
         self.merges: dict[tuple[int, int], int] = {}
-        for merge in model["merges"]:
-            left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[vocab[left], vocab[right]] = vocab[left + right]
-        # Later merges must have higher ids: the fold takes the least id as the lowest rank.
-        values = list(self.merges.values())
-        if values != sorted(values):
-            raise ValueError("ids of this vocabulary do not follow its merges")
+        model = Path(folder, f"{name}.json")
+        if model.exists():
+            told = json.loads(model.read_text(encoding="utf-8"))["model"]
+            vocab = told["vocab"]
+            for merge in told["merges"]:
+                left, right = merge.split(" ") if isinstance(merge, str) else merge
+                self.merges[vocab[left], vocab[right]] = vocab[left + right]
+            # Later merges must have higher ids: the fold takes the least id as the lowest rank.
+            values = list(self.merges.values())
+            if values != sorted(values):
+                raise ValueError("ids of this vocabulary do not follow its merges")
+        else:  # ranks alone: a piece is the merge of the two pieces that all earlier merges leave of it
+            for rank in sorted(self.pieces):
+                if len(self.pieces[rank]) > 1:
+                    parts = self.encode(self.pieces[rank])
+                    if len(parts) != 2:
+                        raise ValueError(f"piece {rank} is no merge of two earlier pieces")
+                    self.merges[parts[0], parts[1]] = rank
 
     def encode(self, word: bytes) -> list[int]:
         """The ids of one word by a heap of pairs: n log n in its length."""
@@ -81,12 +92,17 @@ class Vocabulary:
 
 
 def two_slots(keys: dict[bytes, int]) -> list[bytes | None]:
-    """Each key at one of its two slots: the low and the middle bits of its hash; by moving others on."""
+    """Each key at one of its two slots: the low and the middle bits of its hash; by moving others on.
+
+    The table has a power of two of slots, more than twice as many as keys.
+    """
+    size = 1 << (2 * len(keys)).bit_length()
+
     def places(key: bytes) -> tuple[int, int]:
         h = xxhash.xxh64_intdigest(key, 42)
-        return h & MASK, (h >> 32) & MASK
+        return h & (size - 1), (h >> 32) & (size - 1)
 
-    slots: list[bytes | None] = [None] * (MASK + 1)
+    slots: list[bytes | None] = [None] * size
     for key in keys:
         at = places(key)[0]
         for _ in range(500):
@@ -115,7 +131,7 @@ def tables(folder: str, name: str) -> tuple[Vocabulary, str, str, str]:
     slots = two_slots(words)
     word_text = SEPARATOR.join("" if w is None else w.decode("utf-8") for w in slots)
     id_text = ",".join("-1" if w is None else str(words[w]) for w in slots)
-    packed = {struct.pack("<q", left * 65536 + right): ((left * 65536 + right) << SLOT_BITS) + m for (left, right), m in vocabulary.merges.items()}
+    packed = {struct.pack("<q", (left << ID_BITS) + right): (((left << ID_BITS) + right) << ID_BITS) + m for (left, right), m in vocabulary.merges.items()}
     merge_text = ",".join("-1" if k is None else str(packed[k]) for k in two_slots(packed))
     return vocabulary, word_text, id_text, merge_text
 
@@ -125,9 +141,10 @@ def _bound(value: Column, use) -> Column:  # noqa: ANN001
     return F.transform(F.array(value), use)[0]
 
 
-def _slot_pair(key: Column, read) -> Column:  # noqa: ANN001
-    one = F.xxhash64(key).bitwiseAND(F.lit(MASK)).cast("int")
-    two = F.shiftrightunsigned(F.xxhash64(key), 32).bitwiseAND(F.lit(MASK)).cast("int")
+def _slot_pair(key: Column, table: Column, read) -> Column:  # noqa: ANN001
+    mask = (F.size(table) - 1).cast("bigint")
+    one = F.xxhash64(key).bitwiseAND(mask).cast("int")
+    two = F.shiftrightunsigned(F.xxhash64(key), 32).bitwiseAND(mask).cast("int")
     return F.coalesce(read(one), read(two))
 
 
@@ -138,15 +155,15 @@ def _word_tables(folder: str, name: str) -> Column:
 
 def _known(word: Column, table: Column) -> Column:
     """The id of a word that is a piece by itself, else null."""
-    return _slot_pair(word, lambda at: F.when(F.get(table["words"], at) == word, F.get(table["ids"], at)))
+    return _slot_pair(word, table["words"], lambda at: F.when(F.get(table["words"], at) == word, F.get(table["ids"], at)))
 
 
 def _merge_of(left: Column, right: Column, table: Column) -> Column:
     def read(key: Column, at: Column) -> Column:
         entry = F.get(table, at)
-        return F.when(F.shiftright(entry, SLOT_BITS) == key, entry.bitwiseAND(F.lit(MASK)).cast("int"))
+        return F.when(F.shiftright(entry, ID_BITS) == key, entry.bitwiseAND(F.lit(MOST_IDS - 1)).cast("int"))
 
-    return _bound(left.cast("bigint") * 65536 + right, lambda key: _slot_pair(key, lambda at: read(key, at)))
+    return _bound(left.cast("bigint") * MOST_IDS + right, lambda key: _slot_pair(key, table, lambda at: read(key, at)))
 
 
 def _step(ids: Column, table: Column) -> Column:

@@ -249,6 +249,32 @@ def test_leakage_in_blocks_and_with_substitutions(spark, monkeypatch):
     assert got == {(1, 1): (12, 30, 2), (1, 2): (12, 30, 2), (2, 1): (30, 30, 0), (2, 2): (30, 30, 0)}
 
 
+def test_a_vocabulary_of_ranks_alone(spark):
+    import base64
+    from pathlib import Path
+
+    import tiktoken
+
+    name = "byte_bpe_multi_50k"
+    lines = Path(tokenizer.TOKENIZERS, f"{name}.tiktoken").read_bytes().split(b"\n")
+    ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x)}
+    pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["Hello, world! it's", "日本語 naive café", "x1y2_z3.foo(bar[0]);", "", None, "Привет мир"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in tokenizer.encode(df, name=name).collect()}
+    assert got == {i: library.encode_ordinary(t or "") for i, t in enumerate(texts)}
+
+
+def test_ids_that_a_packed_merge_cannot_hold_are_refused(tmp_path):
+    import base64
+
+    rows = [base64.b64encode(bytes([b])) + b" %d" % b for b in range(256)] + [base64.b64encode(b"ab") + b" %d" % tokenizer.MOST_IDS]
+    (tmp_path / "big.tiktoken").write_bytes(b"\n".join(rows))
+    with pytest.raises(ValueError):
+        tokenizer.Vocabulary(str(tmp_path), "big")
+
+
 @pytest.mark.parametrize("in_parts", [False, True])
 def test_shared_spans_equal_brute_force(spark, monkeypatch, in_parts):
     if in_parts:  # a sketch of many blocks, one of them broadcast at a time
