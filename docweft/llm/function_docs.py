@@ -1,16 +1,16 @@
 """Functions paired with their documentation comment.
 
-A text of code is cut by one regular expression into comments, literals, words and marks. A stack of open
-braces tells type bodies from function bodies and other blocks; between two members the words before an
-opening brace are the declaration's signature. The comment that belongs to a member is the last ``/** */``
-before it, kept only while annotations, line comments and blank space follow; every member's end and every
-opening brace drops it. Nothing inside a function's body is read but its braces.
+Comments and literals of a source are blanked by one expression, their places kept. What stands before an opening
+brace is told by expressions: a type's head, a function's signature, or something else. A stack of open types is kept;
+bodies are delimited by counting braces and are not looked into. A function gets the documentation comment before it
+whose distance, in lines that hold something else than annotations, line comments and blank space, is none.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,51 +20,81 @@ from pyspark.sql import functions as F
 from .markup import HTML_NAMES
 
 LEAST_WORDS = 4
-TOKEN = re.compile(
-    r"/\*.*?(?:\*/|\Z)|//[^\n]*|\"\"\".*?(?:(?<!\\)\"\"\"|\Z)|\"(?:\\.|[^\"\\\n])*(?:\"|(?=\n)|\Z)|'(?:\\.|[^'\\\n])*(?:'|(?=\n)|\Z)"
-    r"|[^\W\d][\w$]*|\$[\w$]*|\d[\w.]*|->|\S",
-    re.S,
-)
-TYPE_WORDS = {"class", "interface", "enum", "record"}
-CONTROL_WORDS = {"if", "for", "while", "switch", "catch", "synchronized", "try", "do", "else", "return", "new", "throw", "assert"}
-
-
-def _is_word(token: str) -> bool:
-    return token[0].isalpha() or token[0] in "_$"
-
-
-class _Member:
-    """Tokens since the last member's end, without comments, literals' contents and annotations."""
-
-    def __init__(self) -> None:
-        self.tokens: list[tuple[str, int]] = []
-        self.depth = 0  # of parentheses
-        self.name: tuple[str, int] | None = None  # the word before the first parenthesis
-        self.closed = False  # that parenthesis was closed
-        self.value = False  # "=" or "->" or "default" seen outside parentheses
-        self.kind = ""  # a type declaration's keyword
-
-    def add(self, token: str, at: int) -> None:
-        if token in "([":
-            if token == "(" and self.depth == 0 and self.name is None and not self.value:
-                last = self.tokens[-1] if self.tokens else ("", 0)
-                if last[0] and _is_word(last[0]) and last[0] not in CONTROL_WORDS:
-                    self.name = last
-                else:
-                    self.value = True
-            self.depth += 1
-        elif token in ")]":
-            self.depth = max(0, self.depth - 1)
-            if token == ")" and self.depth == 0 and self.name is not None:
-                self.closed = True
-        elif self.depth == 0:
-            if token in ("=", "->") or token == "default" and self.closed:
-                self.value = True
-            elif self.name is None and not self.kind and not self.value:
-                before = self.tokens[-1][0] if self.tokens else ""
-                if before in TYPE_WORDS and _is_word(token):
-                    self.kind = before
-        self.tokens.append((token, at))
+HIDDEN = re.compile(r"/\*.*?(?:\*/|\Z)|//[^\n]*|\"\"\".*?(?:(?<!\\)\"\"\"|\Z)|\"(?:\\.|[^\"\\\n])*(?:\"|(?=\n)|\Z)|'(?:\\.|[^'\\\n])*(?:'|(?=\n)|\Z)", re.S)
+MARK = re.compile(r"@(?!\s*interface\b)(?=\s*[^\W\d]|\s*\$)|[(){};\[\]]")
+BRACE, ROUND = re.compile(r"[{}]"), re.compile(r"[()\[\]]")
+ANNOTATION = re.compile(r"@\s*[\w$]+(?:\s*\.\s*[\w$]+)*(?:\s*(?P<open>\())?")
+CONTROL_WORDS = ("if", "for", "while", "switch", "catch", "synchronized", "try", "do", "else", "return", "new", "throw", "assert")
+TYPE_HEAD = re.compile(r"\b(?:class|interface|enum|record)\s+(?:[^\W\d]|\$)")
+# Modifiers, type parameters and result; then the name before the first parenthesis.
+SIGNATURE = re.compile(rf"(?:.*[^\w$])?(?P<name>(?!(?:{'|'.join(CONTROL_WORDS)})\s*\()(?:[^\W\d]|\$)[\w$]*)\s*\(", re.S)
+COMPACT = re.compile(r"\s*(?:(?:public|protected|private)\s+)*(?P<name>[^\W\d_a-z][\w$]*)\s*")
+VALUE = re.compile(r"=|->|\)[^(]*\bdefault\b")
+
+
+class _Blanked:
+    """A source without the contents of comments and literals; every place stays where it was."""
+
+    def __init__(self, code: str) -> None:
+        self.comments: list[tuple[int, int]] = []  # block comments
+
+        def blank(m: re.Match) -> str:
+            text = m[0]
+            if text.startswith("/*"):
+                self.comments.append(m.span())
+            empty = re.sub(r"[^\n]", " ", text)
+            return empty if text.startswith("/") else '"' + empty[1:]
+
+        self.code, self.text = code, HIDDEN.sub(blank, code)
+        self.begins = [b for b, _ in self.comments]
+
+    def closing(self, marks: re.Pattern, at: int) -> int:
+        """The place after what closes the mark at ``at``; -1 if nothing does."""
+        depth = 0
+        for m in marks.finditer(self.text, at):
+            depth += 1 if m[0] in "({[" else -1
+            if not depth:
+                return m.end()
+        return -1
+
+    def documentation(self, begin: int, first: int, notes: list[tuple[int, int]]) -> str | None:
+        """The comment between ``begin`` and ``first`` at no distance from the declaration that begins at ``first``.
+
+        ``notes`` are the places of annotations. The nearest block comment counts, and only if it is a documentation comment.
+        """
+        k = bisect_right(self.begins, first) - 1
+        if k < 0 or self.begins[k] < begin:
+            return None
+        comment = self.code[slice(*self.comments[k])]
+        if not (comment.startswith("/**") and comment.endswith("*/") and len(comment) > 4):
+            return None
+        return comment if not self._distance(self.comments[k][1], first, notes) else None
+
+    def _distance(self, begin: int, end: int, notes: list[tuple[int, int]]) -> int:
+        """How many lines between two places hold something else than annotations, line comments and blank space."""
+        gap = self.text[begin:end]
+        for a, b in notes:
+            if begin <= a and b <= end:
+                gap = gap[: a - begin] + re.sub(r"[^\n]", " ", gap[a - begin : b - begin]) + gap[b - begin :]
+        return sum(1 for line in gap.split("\n") if line.strip())
+
+
+class _Declaration:
+    """What is read of a member so far: where it may begin, its annotations and what stands outside its parentheses."""
+
+    def __init__(self, begin: int, value: bool = False) -> None:
+        self.begin, self.value = begin, value
+        self.notes: list[tuple[int, int]] = []
+        self.round: tuple[int, int] | None = None  # its first parentheses
+        self.holes: list[tuple[int, int]] = []  # annotations and contents of parentheses
+
+    def outside(self, text: str, end: int) -> str:
+        """The text up to ``end``; annotations and what is in parentheses are blank."""
+        out, at = [], self.begin
+        for a, b in self.holes:
+            out += [text[at:a], " " * (b - a)]
+            at = b
+        return "".join([*out, text[at:end]])
 
 
 def functions(code: str) -> list[tuple[str, int, str | None]]:
@@ -72,86 +102,48 @@ def functions(code: str) -> list[tuple[str, int, str | None]]:
 
     The text may begin inside a type body (a single method) or with the type itself, and may be cut off.
     """
-    out: list[tuple[str, int, str | None]] = []
-    stack: list[tuple[str, tuple | None]] = []  # ("type" | "body" | "block", what to report at its end)
-    inside = 0  # function bodies and blocks now open
-    member, doc, fresh = _Member(), None, True
-    tokens = [(m[0], m.start()) for m in TOKEN.finditer(code)]
-    i, n = 0, len(tokens)
-    while i < n:
-        token, at = tokens[i]
-        i += 1
-        if token.startswith("/*"):
-            if not inside and not member.tokens:
-                whole = token.endswith("*/") and len(token) > 4
-                doc = token if whole and token.startswith("/**") else None
-            continue
-        if token.startswith("//"):
-            continue
-        if inside:
-            if token == "{":
-                stack.append(("block", None))
-                inside += 1
-            elif token == "}":
-                what, report = stack.pop()
-                inside -= 1
-                if report and not inside:
-                    out.append(report)
-                if not inside:
-                    member, doc = _Member(), None
-                    if what == "value":
-                        member.value = True
-                        member.tokens.append(("", at))
-            continue
-        if token == "@" and i < n and _is_word(tokens[i][0]) and tokens[i][0] != "interface":
-            i += 1
-            while i + 1 < n and tokens[i][0] == "." and _is_word(tokens[i + 1][0]):
-                i += 2
-            if i < n and tokens[i][0] == "(":
-                depth = 0
-                while i < n:
-                    depth += (tokens[i][0] == "(") - (tokens[i][0] == ")")
-                    i += 1
-                    if not depth:
-                        break
-            continue
-        if token == "{":
-            if member.kind and not member.value:
-                stack.append(("type", None))
-            elif member.depth == 0 and member.closed and member.name and not member.value:
-                stack.append(("body", (*member.name, doc)))
-                inside += 1
+    source, out = _Blanked(code), []
+    text, types, now, at = source.text, 0, _Declaration(0), 0
+    while m := MARK.search(text, at):
+        place, mark, at = m.start(), m[0], m.end()
+        if mark == "@":
+            note = ANNOTATION.match(text, place)
+            at = source.closing(ROUND, note.start("open")) if note["open"] else note.end()
+            if at < 0:
+                break
+            now.notes.append((place, at))
+            now.holes.append((place, at))
+        elif mark in "([":
+            end = source.closing(ROUND, place)
+            if end < 0:
+                break
+            if mark == "(" and now.round is None:
+                now.round = place, end
+            now.holes.append((place + 1, end - 1))
+            at = end
+        elif mark == "{":
+            outside = now.outside(text, place)
+            value = now.value or bool(VALUE.search(outside))
+            if not value and TYPE_HEAD.search(outside):
+                types, now = types + 1, _Declaration(at)
                 continue
-            elif _is_compact_constructor(member, stack):
-                stack.append(("body", (*member.tokens[-1], doc)))
-                inside += 1
-                continue
-            elif member.value or member.depth:
-                stack.append(("value", None))
-                inside += 1
-                continue
-            else:
-                stack.append(("body", None))
-                inside += 1
-                continue
-            member, doc = _Member(), None
-        elif token == "}":
-            if stack:
-                stack.pop()
-            member, doc = _Member(), None
-        elif token == ";" and member.depth == 0:
-            member, doc = _Member(), None
-        else:
-            member.add(token[:1] if token[0] in "\"'" else token, at)
+            at = source.closing(BRACE, place)
+            if at < 0:
+                break
+            named = None
+            if not value and now.round:
+                named = SIGNATURE.fullmatch(outside, 0, now.round[0] - now.begin + 1)
+            elif not value and types:
+                named = COMPACT.fullmatch(outside)
+            if named:
+                first = now.begin + len(outside) - len(outside.lstrip())
+                out.append((named["name"], now.begin + named.start("name"), source.documentation(now.begin, first, now.notes)))
+            now = _Declaration(at, value=not named and (value or now.round is not None))
+        elif mark in "};":
+            types, now = max(0, types - (mark == "}")), _Declaration(at)
     return out
 
 
-def _is_compact_constructor(member: _Member, stack: list) -> bool:
-    """``public Name {`` in a record: modifiers, then one capitalized word."""
-    words = [t for t, _ in member.tokens]
-    return bool(words) and stack and words[-1][:1].isupper() and all(w in ("public", "protected", "private") for w in words[:-1]) and not member.value
-
-
 _TAG = re.compile(rf"</?(?:{'|'.join(HTML_NAMES)})(?:\s[^<>]*)?/?>|<!--.*?-->", re.S | re.I)
 _BLOCK_TAG = re.compile(r"(?:^|(?<=[\s*]))@(?=[A-Za-z])")
 _INLINE = re.compile(r"\{@([A-Za-z]+)\s*((?:[^{}]|\{[^{}]*\})*)\}?")
@@ -178,62 +170,69 @@ def is_trivial(doc: str | None, name: str) -> bool:
 
 
 TYPES = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string())
+PAIR = "origin string, row_id bigint, method_name string, name_line int, documentation string"
+Found = tuple[str, int, str, int, str]
+
+
+def _described(origin: str, row_id: int, name: str | None, first_line: int, code: str, doc: str | None, whole: bool) -> Iterator[Found]:
+    """The functions of one text: with ``whole`` all, each with its own comment; else the named one, or the only one, with ``doc``."""
+    told = functions(code)
+    if not whole:
+        told = [f for f in told if f[0] == name][:1] or (told if len(told) == 1 else [])
+    for method, at, own in told:
+        text = own if whole else doc
+        if not is_trivial(text, method):
+            yield origin, row_id, method, code.count("\n", 0, at) + first_line, text
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _batch(rows: list[Found]) -> pa.RecordBatch:
+    names = [c.split(" ")[0] for c in PAIR.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), TYPES, strict=True)], names=names)
+
+
+def _of_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: list[tuple] = []
-        columns = [batch.column(c).to_pylist() for c in ("origin", "row_id", "entity_type", "name", "first_line", "code", "doc")]
-        for origin, row_id, kind, wanted, first_line, code, doc in zip(*columns, strict=True):
-            if not code:
-                continue
-            whole = kind == "class"
-            if not whole and (not doc or not doc.strip()):
-                continue
-            found_here = functions(code)
-            if not whole and found_here:
-                found_here = [next((f for f in found_here if f[0] == wanted), found_here[0])]
-            for name, at, own in found_here:
-                text = own if whole else doc
-                if not is_trivial(text, name):
-                    out.append((origin, row_id, name, code.count("\n", 0, at) + first_line, text))
+        columns = [batch.column(c).to_pylist() for c in ("row_id", "name", "code", "doc", "whole")]
+        out = [r for row_id, name, code, doc, whole in zip(*columns, strict=True) for r in _described("samples", row_id, name, 1, code, doc, whole)]
         if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out, strict=True), TYPES, strict=True)],
-                names=["origin", "row_id", "method_name", "name_line", "documentation"],
-            )
+            yield _batch(out)
 
 
-def _lines(content: F.Column, first: F.Column, last: F.Column) -> F.Column:
-    """Lines ``first`` to ``last`` of a text, counted from 1 at each line feed; null if it has fewer."""
-    head = F.call_function("substring_index", content, F.lit("\n"), last)
-    have = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit(""))) + 1
-    return F.when((first >= 1) & (last >= first) & (last <= have), F.call_function("substring_index", head, F.lit("\n"), first - last - 1))
+def _of_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A file's lines are parted once for all its entities; lines outside the file give nothing."""
+    for batch in batches:
+        out: list[Found] = []
+        for content, entities in zip(batch.column("content").to_pylist(), batch.column("entities").to_pylist(), strict=True):
+            lines = content.split("\n")
+            for e in entities:
+                first, last = e["first_line"], e["last_line"]
+                if first is not None and last is not None and 1 <= first <= last <= len(lines):
+                    out += _described("entities", e["row_id"], e["name"], first, "\n".join(lines[first - 1 : last]), e["doc"], False)
+        if out:
+            yield _batch(out)
 
 
 def pairs(samples: DataFrame, entities: DataFrame, file_changes: DataFrame) -> DataFrame:
     """(origin, row_id, method_name, name_line, documentation) of each function with non-trivial documentation.
 
     Rows with null or empty code or comment, an unknown ``entity_type``, a missing side or lines outside
-    the file give nothing. Each function stands once a row it comes from; repeated rows are repeated.
+    the file give nothing; nor does a row whose code holds several functions, none of the entity's name. Each
+    function stands once a row it comes from; repeated rows are repeated.
     """
-    mine = samples.where("entity_type in ('method', 'class')").select(
-        F.lit("samples").alias("origin"), F.col("sample_id").cast("bigint").alias("row_id"), "entity_type", F.col("entity_name").alias("name"), F.lit(1).alias("first_line"),
-        F.col("code_after").alias("code"), F.when(F.col("entity_type") == "method", F.col("javadoc_after")).alias("doc"),
-    )
-    documented = entities.where("entity_type = 'method' and trim(javadoc) <> ''").select(
-        "file_id", "side", F.col("entity_id").cast("bigint").alias("row_id"), "name", F.coalesce("code_start_line", "start_line").alias("first_line"),
-        F.coalesce("code_end_line", "end_line").alias("last_line"), F.col("javadoc").alias("doc"),
+    whole = F.col("entity_type") == "class"
+    mine = samples.where("entity_type in ('method', 'class') and code_after <> ''").where(whole | (F.trim("javadoc_after") != "")).select(
+        F.col("sample_id").cast("bigint").alias("row_id"), F.col("entity_name").alias("name"), F.col("code_after").alias("code"), F.col("javadoc_after").alias("doc"), whole.alias("whole")
     )
-    sides = file_changes.select("file_id", F.explode(F.array(F.struct(F.lit("old").alias("side"), F.col("old_content").alias("content")), F.struct(F.lit("new").alias("side"), F.col("new_content").alias("content")))).alias("s")).select(
-        "file_id", "s.side", "s.content"
-    ).where("content is not null")
-    # Only the declaration's lines leave the join, never the whole file once an entity.
-    theirs = documented.join(sides, ["file_id", "side"]).select(
-        F.lit("entities").alias("origin"), "row_id", F.lit("method").alias("entity_type"), "name", F.col("first_line").cast("int"),
-        _lines(F.col("content"), F.col("first_line"), F.col("last_line")).alias("code"), "doc",
+    entity = F.struct(
+        F.col("entity_id").cast("bigint").alias("row_id"), "name", F.coalesce("code_start_line", "start_line").cast("int").alias("first_line"),
+        F.coalesce("code_end_line", "end_line").cast("int").alias("last_line"), F.col("javadoc").alias("doc"),
     )
-    return mine.union(theirs).mapInArrow(_rows, "origin string, row_id bigint, method_name string, name_line int, documentation string")
+    # The entities of one side of a file travel together, so its text is shuffled and parted once; they are in proportion to it.
+    documented = entities.where("entity_type = 'method' and trim(javadoc) <> ''").groupBy("file_id", "side").agg(F.collect_list(entity).alias("entities"))
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}_content").alias("content")) for s in ("old", "new")])
+    texts = file_changes.select("file_id", F.explode(sides).alias("s")).select("file_id", "s.side", "s.content").where("content is not null")
+    theirs = texts.join(documented, ["file_id", "side"]).select("content", "entities")
+    return mine.mapInArrow(_of_samples, PAIR).union(theirs.mapInArrow(_of_files, PAIR))
 
 
 def found(samples: DataFrame, entities: DataFrame, file_changes: DataFrame) -> DataFrame:
