@@ -6,8 +6,10 @@ scanned, and around each meeting the whole diagonal (text against item) is compa
 longest exact run, and the longest run with a few substitutions. A text that shares ``SPAN`` consecutive
 words with an item meets it under every mask, so none is lost.
 
-Texts are never shuffled. The items' side is broadcast in blocks of a bounded number of words: more
-items mean more passes, not a larger broadcast.
+The items are broadcast whole while they are of at most ``MOST_WORDS`` words, and texts are not shuffled. Beyond that,
+seeds are joined: the texts are scanned once, seeds that a broadcast bit table of fixed size rules out are dropped,
+the others meet the items' seeds by a shuffle, and only texts with a meeting are fetched again, each with the
+items it met, and compared in the same way.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import Scratch
 from . import kernels as K
 
 # One mask a line, each beginning and ending with a one.
@@ -29,7 +32,8 @@ MASKS = (
     "101101101101",
 )
 SUBSTITUTIONS = 2
-BLOCK_WORDS = 1_000_000
+MOST_WORDS = 1_000_000
+FILTER_BITS = 29  # of the table of seeds that items have: 64 MB; a fuller table lets more seeds through and loses none
 DENSE = 2_000_000  # meetings of one text that are listed one by one
 WORDS = r"[^\p{L}\p{N}]+"
 
@@ -179,6 +183,75 @@ def _scan(batches: Iterator[pa.RecordBatch], index: dict) -> Iterator[pa.RecordB
         )
 
 
+RESULT = "doc_id bigint, item_id bigint, run int, overlap int, substitutions int"
+
+
+def _row_seeds(batches: Iterator[pa.RecordBatch], key: str, flags: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """(seed, key): the distinct seeds of each row, with ``flags`` only those whose bit is set."""
+    for batch in K.small_batches(batches, "words"):
+        offsets, raw = K.buffers(batch.column("words"))
+        tokens, rows = K.token_hashes(offsets, raw, K.NOT_BLANK)
+        if len(tokens) < SPAN:
+            continue
+        whole = rows[: len(rows) - SPAN + 1] == rows[SPAN - 1 :]
+        h = np.concatenate([x[whole] for x in _seeds(tokens)])
+        r = np.tile(rows[: len(whole)][whole], len(MASKS))
+        if flags is not None:
+            bit = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            kept = (flags[bit >> 3] >> (bit & 7) & 1).astype(bool)
+            h, r = h[kept], r[kept]
+        h, r, _ = K.row_sets(h, r)
+        yield pa.record_batch({"seed": h.view(np.int64), key: batch.column(key).to_numpy()[r]})
+
+
+def _bits(seeds: DataFrame) -> np.ndarray:
+    """The table of bits that the seeds' first bits name, merged block by block."""
+    block = 16
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, np.zeros(1 << block, bool)
+        for batch in batches:
+            bit = (batch.column("seed").to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(bit >> block, prepend=-1))
+            for i, j in zip(cuts, [*cuts[1:], len(bit)], strict=True):
+                if now is not None and now != bit[i] >> block:
+                    yield pa.record_batch({"block": pa.array([now]), "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+                    held[:] = False
+                now = int(bit[i] >> block)
+                held[bit[i:j] & ((1 << block) - 1)] = True
+        if now is not None:
+            yield pa.record_batch({"block": pa.array([now]), "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+
+    flags = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    placed = seeds.select("seed").withColumn("block", F.shiftrightunsigned("seed", 64 - FILTER_BITS + block)).repartition("block").sortWithinPartitions("block")
+    for row in placed.mapInArrow(merge, "block bigint, bits binary").toLocalIterator():
+        flags[row["block"] << (block - 3) : (row["block"] + 1) << (block - 3)] |= np.frombuffer(row["bits"], np.uint8)
+    return flags
+
+
+def _broadcast(texts: DataFrame, words: DataFrame) -> DataFrame:
+    shared = texts.sparkSession.sparkContext.broadcast(_index(words.toArrow()))
+    return texts.mapInArrow(lambda batches: _scan(batches, shared.value), RESULT)
+
+
+def _joined(texts: DataFrame, words: DataFrame) -> DataFrame:
+    scratch = Scratch(texts.sparkSession)
+    seeds = scratch.written(words.mapInArrow(lambda batches: _row_seeds(batches, "item"), "seed bigint, item bigint"), "item-seeds")
+    flags = texts.sparkSession.sparkContext.broadcast(_bits(seeds))
+    mine = texts.mapInArrow(lambda batches: _row_seeds(batches, "doc_id", flags.value), "seed bigint, doc_id bigint")
+    met = scratch.written(mine.join(seeds, "seed").select("doc_id", "item").distinct(), "met")
+    beside = met.join(words, "item").groupBy("doc_id").agg(F.collect_list(F.struct("item", F.col("words").alias("text"))).alias("items"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                items = batch.column("items")[i].as_py()
+                index = _index(pa.table({"item": pa.array([x["item"] for x in items], pa.int64()), "words": pa.array([x["text"] for x in items], pa.string())}))
+                yield from _scan(iter([batch.select(["doc_id", "words"]).slice(i, 1)]), index)
+
+    return texts.join(beside, "doc_id").select("doc_id", "words", "items").mapInArrow(compare, RESULT)
+
+
 def overlaps(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, run, overlap, substitutions) of every text and item that meet under a seed.
 
@@ -186,21 +259,10 @@ def overlaps(documents: DataFrame, items: DataFrame) -> DataFrame:
     Null and empty texts and items shorter than a mask meet nothing; repeated rows of one document are
     reported once, ties by the longest run. Rows with a null id are dropped.
     """
-    spark = documents.sparkSession
     words = items.where("item_id is not null").select(F.col("item_id").cast("bigint").alias("item"), word_text(F.col("text")).alias("words"))
     total = words.agg(F.coalesce(F.sum(F.size(F.split("words", " "))), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, -(-total // BLOCK_WORDS))
     texts = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), word_text(F.col("text")).alias("words"))
-    out = None
-    for block in range(blocks):
-        part = words.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block) if blocks > 1 else words
-        shared = spark.sparkContext.broadcast(_index(part.toArrow()))
-
-        def kernel(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            return _scan(batches, shared.value)
-
-        found_here = texts.mapInArrow(kernel, "doc_id bigint, item_id bigint, run int, overlap int, substitutions int")
-        out = found_here if out is None else out.union(found_here)
+    out = _broadcast(texts, words) if total <= MOST_WORDS else _joined(texts, words)
     best = F.max(F.struct("overlap", (-F.col("substitutions")).alias("s")))
     grouped = out.groupBy("doc_id", "item_id").agg(F.max("run").alias("run"), best.alias("best"))
     return grouped.select("doc_id", "item_id", "run", F.col("best.overlap").alias("overlap"), (-F.col("best.s")).alias("substitutions"))

@@ -244,7 +244,7 @@ def test_leakage_in_blocks_and_with_substitutions(spark, monkeypatch):
     changed = item.replace("w7 ", "other ").replace("w20 ", "word ")
     df = spark.createDataFrame([(1, changed), (2, item)], "doc_id long, text string")
     it = spark.createDataFrame([(1, item), (2, item.upper()), (3, "short")], "item_id long, text string")
-    monkeypatch.setattr(leakage, "BLOCK_WORDS", 20)
+    monkeypatch.setattr(leakage, "MOST_WORDS", 20)
     got = {(r[0], r[1]): (r[2], r[3], r[4]) for r in leakage.overlaps(df, it).collect()}
     assert got == {(1, 1): (12, 30, 2), (1, 2): (12, 30, 2), (2, 1): (30, 30, 0), (2, 2): (30, 30, 0)}
 
