@@ -244,7 +244,7 @@ def align_entities(table_: DataFrame) -> DataFrame:
 @_query("samples")
 def class_context(samples: DataFrame) -> DataFrame:
     pairs = samples.select(F.col("sample_id").alias("pair_id"), "entity_type", "code_before", "code_after")
-    return entities.bounded_class_contexts(pairs, whole=20, most=60)
+    return entities.bounded_class_contexts(pairs)
 
 
 @_query("samples")
@@ -262,9 +262,18 @@ def recovery_reasons(table_: DataFrame, file_changes: DataFrame) -> DataFrame:
     return jobs.recovered_changes(table_, file_changes).groupBy("entity_type", "reason").agg(F.count("*").alias("changes"))
 
 
+@_query("entities", "file_changes")
+def mine_funnel(table_: DataFrame, file_changes: DataFrame) -> DataFrame:
+    return jobs.pair_funnel(table_, file_changes)
+
+
 @_query("commits", "file_changes", "entities")
 def mine_job(commits: DataFrame, file_changes: DataFrame, table_: DataFrame) -> DataFrame:
-    return jobs.mined_samples(commits, file_changes, table_).select("new_id", "project_slug", "commit_hash", "entity_name", "change_type", "disposition", "reason")
+    """The whole job's outcome a project: what was paired, and what of it came out as a sample, for review or not at all."""
+    samples = jobs.mined_samples(commits, file_changes, table_)
+    counts = samples.groupBy(slug(F.col("project_slug")).alias("slug")).agg(*[F.count_if(F.col("disposition") == d).alias(d) for d in ("retain", "review", "discard")])
+    told = jobs.pair_funnel(table_, file_changes).join(counts, "slug", "left")
+    return told.select("slug", "files", "pairs", "documented", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("retain", "review", "discard")])
 
 
 # Deduplication, joins, order
@@ -453,7 +462,7 @@ def reject_chain(samples: DataFrame) -> DataFrame:
 
 @_query("commits_nested", "entities", "file_changes")
 def recover_job(nested: DataFrame, table_: DataFrame, file_changes: DataFrame) -> DataFrame:
-    reasons = recover.reprocess(table_, file_changes)
+    reasons = recover.reprocess(table_, file_changes, recover.targets(nested, 1))
     return recover.report(reasons, recover.merge_recovered(recover.flat_changes(nested), reasons))
 
 

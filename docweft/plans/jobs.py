@@ -38,6 +38,21 @@ def aligned_pairs(table: DataFrame, file_changes: DataFrame) -> DataFrame:
     return sliced.withColumns({"pair_id": F.col("new_id"), "code_changed": F.col("code_before") != F.col("code_after")})
 
 
+def pair_funnel(table: DataFrame, file_changes: DataFrame) -> DataFrame:
+    """Counts a project: files, target files, pairs of methods and classes in these, and how many pass each cheap gate in turn."""
+    target = F.coalesce(paths.is_target_path(F.col("path")), F.lit(False))
+    files = file_changes.select("file_id", slug(F.col("project_slug")).alias("slug"), target.alias("target"))
+    pairs = aligned_pairs(table, file_changes.where(target)).where("new_entity_type in ('method', 'class')")
+    documented = (strip(text_or_empty(F.col("old_javadoc"))) != "") & (strip(text_or_empty(F.col("new_javadoc"))) != "")
+    told = pairs.select("file_id", "code_changed", documented.alias("documented"), (text_or_empty(F.col("old_javadoc")) != text_or_empty(F.col("new_javadoc"))).alias("redocumented"))
+    gates = told.groupBy("file_id").agg(
+        F.count("*").alias("pairs"), F.count_if("code_changed").alias("code_changed"), F.count_if(F.expr("code_changed and documented")).alias("documented"),
+        F.count_if(F.expr("code_changed and documented and redocumented")).alias("doc_changed"),
+    )
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pairs", "code_changed", "documented", "doc_changed")]
+    return files.join(gates, "file_id", "left").groupBy("slug").agg(F.count("*").alias("files"), F.count_if("target").alias("target_files"), *sums)
+
+
 def classified_changes(table: DataFrame, file_changes: DataFrame) -> DataFrame:
     """The pairs that pass every gate, with their label."""
     return classify.with_gates(aligned_pairs(table, file_changes)).withColumnRenamed("pair_id", "new_id")
