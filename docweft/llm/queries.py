@@ -81,6 +81,15 @@ def oracle_sql() -> dict[str, str]:
           e as (select distinct a.s x, b.s y from c a join c b on left(a.h, 12) = left(b.h, 12) and (starts_with(a.h, b.h) or starts_with(b.h, a.h)) where a.s <> b.s),
           r(x, y) as (select x, y from e union select r.x, e.y from r join e on r.y = e.x)
           select x slug_a, y slug_b from r where x < y""",
+        "p3_found": """with recursive w as (select sample_id, coalesce(batch_id, -1) b, lower(commit_hash) h, regexp_replace(coalesce(code_after, ''), '\\s+', '', 'g') c,
+            regexp_extract_all(lower(coalesce(code_after, '') || chr(10) || coalesce(javadoc_after, '')), '[a-z0-9_]+') t from samples),
+          o as (select *, row_number() over (order by b, sample_id) i, list_distinct(list_transform(range(1, greatest(len(t) - 1, 1)), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) s from w),
+          e as (select i, len(s) n, unnest(s) x from o),
+          m as (select x.i later, y.i earlier, count(*) both_, any_value(x.n) nx, any_value(y.n) ny from e x join e y on x.x = y.x and x.i > y.i group by 1, 2),
+          l as (select later, earlier from m where both_ * 1.0 / (nx + ny - both_) >= 0.6 union select x.i, y.i from o x join o y on x.h = y.h and x.c = y.c and x.i > y.i where x.c <> ''),
+          k as (select o.i, b, sample_id, coalesce(list(earlier) filter (earlier is not null), []) seen from o left join l on later = i group by 1, 2, 3),
+          a(i, kept) as (select 0::bigint, []::bigint[] union all select k.i, case when k.b <= 0 or not list_has_any(kept, seen) then list_append(kept, k.i) else kept end from a join k on k.i = a.i + 1)
+          select sample_id from k where i not in (select unnest(kept) from a where i = (select max(i) from a))""",
         "p4_found": f"""with {_SHINGLES},
           m as (select a.sample_id a, b.sample_id b, any_value(a.n) na, any_value(b.n) nb, count(*) both_ from e a join e b on a.x = b.x and a.sample_id < b.sample_id group by 1, 2)
           select a sample_a, b sample_b from m where both_ * 1.0 / (na + nb - both_) >= 0.6""",
