@@ -287,6 +287,8 @@ class Forest:
                 low, high = prefix_range(asked[0], depth)
                 for numbers, least, most in shared.value["runs"]:
                     row, at = _spread(np.searchsorted(most, low, "left"), np.searchsorted(least, high, "right"))
+                    if not len(row):
+                        continue
                     where = np.array(numbers, np.int64)[at] * 256 + asked[0][row].view(np.uint8)[::WIDTH]
                     order = np.argsort(where, kind="stable")
                     where, row = where[order], row[order]

@@ -211,6 +211,8 @@ def _bits(seeds: DataFrame) -> np.ndarray:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, np.zeros(1 << block, bool)
         for batch in batches:
+            if not batch.num_rows:
+                continue
             bit = (batch.column("seed").to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(bit >> block, prepend=-1))
             for i, j in zip(cuts, [*cuts[1:], len(bit)], strict=True):
