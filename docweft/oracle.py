@@ -335,3 +335,49 @@ SQL["early_stop_limit"] = f"""with recursive {_SNIPPETS}, {_FLAT},
   stops_(least_, stop_) as (select 150::bigint, (select min(scan_seq) from run_ where unique_total >= 150)
     union all select y.unique_total + 10, (select min(v.scan_seq) from run_ v where v.unique_total >= y.unique_total + 10) from stops_ join run_ y on y.scan_seq = stop_ where y.retained_total < 150)
   select * from run_ where scan_seq <= coalesce((select max(stop_) from stops_ join run_ v on v.scan_seq = stop_ where v.retained_total >= 150), (select max(scan_seq) from run_))"""
+
+
+def _semantic(text: str) -> str:
+    """The words of a comment's core text; the character references of the test tables are read, each once."""
+    for reference, mark in (("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", chr(160)), ("&#8212;", "—"), ("&#x2014;", "—"), ("&amp;", "&")):
+        text = f"replace({text}, '{reference}', '{mark}')"
+    text = f"regexp_replace({text}, '\\{{@(?:link|linkplain){_SPACE}+([^}}\\s]+)\\}}', '\\1', 'g')"
+    text = f"regexp_replace({text}, '\\{{@(?:link|linkplain){_SPACE}+(?:[^}}\\s]+){_SPACE}+([^}}]+)\\}}', '\\1', 'g')"
+    for pattern in (
+        "(?i)(?:https?://|www\\.)\\S+", "(?i)(?:#|[A-Z][A-Z0-9]+-)\\d+\\b", "(?i)\\bv?\\d+(?:\\.\\d+){1,}(?:[-._][a-z0-9]+)?\\b",
+        "\\b(?:\\d{4}[-/]\\d{1,2}[-/]\\d{1,2}|\\d{1,2}[-/]\\d{1,2}[-/]\\d{2,4}|(?:19|20)\\d{2})\\b", "<[^>]+>", "\\b\\d+(?:[._-]\\d+)*\\b",
+    ):
+        text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
+    return f"regexp_extract_all(lower({text}), '[a-z]+(?:''[a-z]+)?')"
+
+
+def _cores(*fields: str) -> str:
+    """Tables d and c: samples with the content lines of each field, then with its core text."""
+    lines = ", ".join(f"{_lines(f)} l{i}" for i, f in enumerate(fields))
+    tag = "lower(regexp_extract({}, '^(@\\w+)\\b', 1))"
+    texts = []
+    for i in range(len(fields)):
+        before = f"list_filter(list_transform(l{i}[1:k], lambda y: {tag.format('y')}), lambda t: t <> '')[-1]"
+        kept = f"list_filter(list_transform(range(1, len(l{i}) + 1), lambda k: case when coalesce({before}, '') not in ('@see', '@since', '@version', '@author') then l{i}[k] end), lambda y: y is not null)"
+        texts.append(f"array_to_string({kept}, ' ') c{i}")
+    return f"d as (select *, {lines} from samples), c as (select *, {', '.join(texts)} from d)"
+
+
+_INHERITED = "(?i)\\{@inheritDoc\\}|@inheritDoc\\b"
+_BARE = f"regexp_replace(coalesce(javadoc_after, ''), '{_INHERITED}', ' ', 'g')"
+_WEAK_DOC = f"regexp_matches(coalesce(javadoc_after, ''), '{_INHERITED}') and len({_semantic('c0')}) = 0"
+SQL["semantic_normal_form"] = f"with {_cores('javadoc_after')} select sample_id, array_to_string({_semantic('c0')}, ' ') form from c"
+SQL["inheritdoc_weak"] = f"with {_cores(_BARE)} select sample_id, {_WEAK_DOC} weak from c"
+_DISPOSED = f"""{_SNIPPETS}, {_cores(_BARE).replace('d as (', 'd_ as (').replace('c as (', 'c_ as (').replace('from d)', 'from d_)')},
+  w_ as (select sample_id, {_WEAK_DOC} weak from c_),
+  p_ as (select sample_id, side, coalesce(common, case entity_type when 'method' then as_method when 'class' then as_class else 'unsupported_entity_type' end) problem from x),
+  o_ as (select s.*, weak, coalesce(nullif(b.problem, ''), nullif(a.problem, '')) problem, coalesce(s.entity_type = 'class', false) is_class_,
+    greatest(len(string_split(regexp_replace(coalesce(code_before, ''), '\\n$', ''), chr(10))), len(string_split(regexp_replace(coalesce(code_after, ''), '\\n$', ''), chr(10)))) lines_
+    from samples s join w_ using (sample_id) join p_ b on b.sample_id = s.sample_id and b.side = 'before' join p_ a on a.sample_id = s.sample_id and a.side = 'after'),
+  v_ as (select *, case when weak then 'discard' when problem is not null and is_class_ then 'review' when problem is not null then 'discard' when is_class_ and lines_ > 500 then 'discard' else 'retain' end disposition,
+    case when weak then 'weak_inheritdoc_only' when problem is not null and is_class_ then 'invalid_class_context:' || problem when problem is not null then 'truncated_code_context:' || problem
+      when is_class_ and lines_ > 500 then 'class_context_too_large' else '' end reason from o_)"""
+SQL["sample_dispositions"] = f"with {_DISPOSED} select sample_id, disposition, reason from v_"
+SQL["disposition_stats"] = f"""with {_DISPOSED} select project_slug, count(*)::bigint candidates, count(*) filter (disposition = 'retain')::bigint retained, count(*) filter (disposition = 'review')::bigint review,
+  greatest(0, count(*) - count(*) filter (disposition = 'retain') - count(*) filter (disposition = 'review'))::bigint filtered, count(*) filter (starts_with(reason, 'truncated_code_context'))::bigint truncated,
+  count(*) filter (reason = 'weak_inheritdoc_only')::bigint weak_inheritdoc, count(*) filter (issue_summary_fallback_applied)::bigint fallbacks from v_ group by 1"""
