@@ -381,3 +381,14 @@ SQL["sample_dispositions"] = f"with {_DISPOSED} select sample_id, disposition, r
 SQL["disposition_stats"] = f"""with {_DISPOSED} select project_slug, count(*)::bigint candidates, count(*) filter (disposition = 'retain')::bigint retained, count(*) filter (disposition = 'review')::bigint review,
   greatest(0, count(*) - count(*) filter (disposition = 'retain') - count(*) filter (disposition = 'review'))::bigint filtered, count(*) filter (starts_with(reason, 'truncated_code_context'))::bigint truncated,
   count(*) filter (reason = 'weak_inheritdoc_only')::bigint weak_inheritdoc, count(*) filter (issue_summary_fallback_applied)::bigint fallbacks from v_ group by 1"""
+
+SQL["merge_job"] = f"""with rejected_ as ({SQL['reject_chain']}), sourced_ as ({SQL['repair_summaries']}),
+  kept_ as (select s.*, {_FP} fp from samples s join rejected_ using (sample_id) where reject_reason is null),
+  ranked_ as (select *, row_number() over (partition by fp order by {_weak(_line_form('issue_summary'))}, batch_id is distinct from 0, sample_id) nth from kept_),
+  told_ as (select r.project_slug, {_line_form('r.commit_hash')} h, issue_summary_source source from ranked_ r join sourced_ using (sample_id) where nth = 1),
+  sizes_ as (select count(*) n from told_ where source is not null group by project_slug, h)
+  select (select count(*) from rejected_)::bigint raw_changes, {", ".join(f"(select count(*) from rejected_ where reject_reason = '{r}')::bigint {r}" for r in ("invalid_schema_or_empty_field", "unknown_entity_type", "identical_code", "identical_javadoc"))},
+    (select count(*) from rejected_ where ends_with(reject_reason, '_only'))::bigint format_only, (select count(*) from ranked_ where nth > 1)::bigint duplicates_removed,
+    (select count(*) from told_ where source = 'commit_subject')::bigint repaired_from_subject, (select count(*) from told_ where source is null)::bigint weak_unresolved,
+    count(*)::bigint commits, coalesce(sum(n), 0)::bigint changes, coalesce(round(avg(n), 4), 0.0) average, coalesce(max(n), 0)::bigint largest, count(*) filter (n > 1)::bigint multi_change,
+    count(*) filter (n > 3)::bigint more_than_three from sizes_"""
