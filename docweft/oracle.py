@@ -392,3 +392,13 @@ SQL["merge_job"] = f"""with rejected_ as ({SQL['reject_chain']}), sourced_ as ({
     (select count(*) from told_ where source = 'commit_subject')::bigint repaired_from_subject, (select count(*) from told_ where source is null)::bigint weak_unresolved,
     count(*)::bigint commits, coalesce(sum(n), 0)::bigint changes, coalesce(round(avg(n), 4), 0.0) average, coalesce(max(n), 0)::bigint largest, count(*) filter (n > 1)::bigint multi_change,
     count(*) filter (n > 3)::bigint more_than_three from sizes_"""
+
+_PAIRED = f"""{_ALIGNED}, samples as (select new_id sample_id, b.entity_type, {_code_text('t.old_content', 'a')} code_before, {_code_text('t.new_content', 'b')} code_after, a.javadoc javadoc_before, b.javadoc javadoc_after
+    from pair join entities a on a.entity_id = old_id join entities b on b.entity_id = new_id join file_changes t on t.file_id = pair.file_id where b.entity_type in ('method', 'class'))"""
+_RECOVERED = f"""{_PAIRED}, {_DISPOSED.partition(',\n  o_ as (')[0]},
+  r_ as (select s.*, case when {_is_blank('javadoc_before')} or {_is_blank('javadoc_after')} then 'empty_javadoc' when weak then 'weak_inheritdoc_only' when code_before = code_after then 'code_not_changed'
+      when {_line_form('code_before')} = '' or {_line_form('code_after')} = '' then 'empty_code' when {_line_form('code_before')} = {_line_form('code_after')} then 'identical_code'
+      when {_line_form('javadoc_before')} = {_line_form('javadoc_after')} then 'identical_javadoc' when {_layout('javadoc_before')} = {_layout('javadoc_after')} or {_format('javadoc_before')} = {_format('javadoc_after')} then 'format_only_javadoc'
+      when b.problem <> '' then 'invalid_code_before:' || b.problem when a.problem <> '' then 'invalid_code_after:' || a.problem else '' end reason
+    from samples s join w_ using (sample_id) join p_ b on b.sample_id = s.sample_id and b.side = 'before' join p_ a on a.sample_id = s.sample_id and a.side = 'after')"""
+SQL["recovery_reasons"] = f"with {_RECOVERED} select entity_type, reason, count(*)::bigint changes from r_ group by 1, 2"
