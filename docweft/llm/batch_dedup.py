@@ -172,7 +172,6 @@ def _decide(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """
     state = rows.withColumn("accepted", F.lit(None).cast("boolean"))
     low = [F.min(F.when(c, F.col("id"))).alias(n) for c, n in ((F.col("accepted"), "done"), (F.col("accepted").isNull(), "open"))]
-    links = scratch.written(links, "watched")
     for _ in range(MAX_ROUNDS):
         own = state.where("cls is not null").groupBy("cls").agg(*low)
         near = links.join(own, F.col("d") == F.col("cls")).select(F.col("c").alias("cls"), "done", "open")
@@ -221,7 +220,7 @@ def check_batch(forest: Forest, number: int, size: int, rows: DataFrame, classes
         return out
     hits, held = held_before(forest, classes, signs, scratch)
     keys = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("same"), F.min("id").alias("first"))
-    keys = scratch.written(keys.join(held.withColumn("old", F.lit(True)), F.col("first") == F.col("a"), "left").select("key", "same", "first", "old"), "keys")
+    keys = keys.join(held.withColumn("old", F.lit(True)), F.col("first") == F.col("a"), "left").select("key", "same", "first", "old")
     # A class whose first row is the first of its key, and that key new, or has no key, depends on its set alone.
     lead = rows.join(classes.select(F.col("cls").alias("id")), "id", "left_semi").select("id", "key").join(keys, "key", "left")
     firm = lead.where("key is null or (old is null and first = id)").select("id")
