@@ -295,6 +295,22 @@ def prefixes(h: np.ndarray, rank: np.ndarray, at: np.ndarray, threshold: float)
     return order[kept], row[kept], pos[kept]
 
 
+def weighted_prefixes(h: np.ndarray, rank: np.ndarray, weights: np.ndarray, at: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index into ``h``, row, weight before) of the first members of each row's set, in the order of ``prefixes``; weights are whole numbers.
+
+    A member is kept while it and those after it weigh ``threshold`` of the set or more. Two sets whose weighted Jaccard
+    reaches the threshold have that much in common from their first common member on, which is therefore kept in both.
+    """
+    sizes = np.diff(at)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((mix(h), rank, row))
+    sums = np.concatenate([[0], np.cumsum(weights[order])])
+    before = sums[:-1] - np.repeat(sums[at[:-1]], sizes)
+    total = np.repeat(sums[at[1:]] - sums[at[:-1]], sizes)
+    kept = total - before >= total * threshold
+    return order[kept], row[kept], before[kept]
+
+
 def list_values(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
     """Values and bounds of a list column without nulls."""
     at = column.offsets.to_numpy().astype(np.int64)

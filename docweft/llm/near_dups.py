@@ -7,8 +7,9 @@ many as any pair at the threshold must share one of; (5) representatives that sh
 whose sizes allow it, are compared in full. Copies never meet.
 
 Bands meet with a probability that follows the weighted likeness, which lies far below the threshold where what two
-texts share is common and what they do not is rare. The prefixes do not depend on weights: they lose no pair by set
-likeness. A band that more than ``CROWD`` representatives share is linked as a star only, as prefixes bring the rest.
+texts share is common and what they do not is rare. The prefixes do not depend on chance: by number of shingles they
+lose no pair by set likeness, by weight none by weighted likeness. A band that more than ``CROWD`` representatives
+share is linked as a star only, as prefixes bring the rest.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ SEED = 20_011
 FREQUENCY_ROWS, FREQUENCY_BITS = 3, 22  # of the table of document frequencies: two bytes an entry, 24 MB at any number of rows
 BLOCK_BITS = 16
 SCALE = 1024  # entries hold the binary logarithm of a count in these parts
+WEIGHT_SCALE = 1 << 20  # weights are added up in these parts, as whole numbers, so that sums are exact in any order
+TOLERANCE = 2e-6  # a share of a weight, twice what rounding to such parts can change: no weight is below 0.99
 CROWD = 64
 
 
@@ -117,13 +120,15 @@ def frequencies(sets: DataFrame, counts: DataFrame) -> Frequencies:
     return Frequencies(sets.where("n > 0").count(), table)
 
 
-def keyed(sets: DataFrame, known: Frequencies, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def keyed(sets: DataFrame, known: Frequencies, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
     """(key, band, id, n, pos): the band keys of each row's weighted samples, with pos 0, and the shingles of its prefix.
 
-    ``n`` is the size of the row's set and ``pos`` the shingle's place in it, the rarest first (``K.prefixes``). A
-    shingle that no other row has is left out: nothing can meet it.
+    ``n`` is the size of the row's set and ``pos`` the shingle's place in it, the rarest first (``K.prefixes``); with
+    ``weighted`` the weight of the set and of what stands before the shingle (``K.weighted_prefixes``). A shingle that no
+    other row has is left out: nothing can meet it.
     """
     shared = sets.sparkSession.sparkContext.broadcast(known)
+    kind = np.int64 if weighted else np.int32
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = K.ConsistentSampler(bands * rows, SEED)
@@ -132,23 +137,29 @@ def keyed(sets: DataFrame, known: Frequencies, threshold: float = THRESHOLD, ban
                 continue
             grams, at = K.list_values(batch.column("grams"), np.int64)
             tf, _ = K.list_values(batch.column("tf"), np.float64)
-            ids, sizes = batch.column("id").to_numpy(), np.diff(at).astype(np.int32)
-            keys = K.band_keys(sampler.sample(grams.view(np.uint64), shared.value.weights(grams, tf), at), rows)
-            same = {"band": np.ones(keys.size, bool), "id": np.repeat(ids, bands), "n": np.repeat(sizes, bands), "pos": np.zeros(keys.size, np.int32)}
+            ids, weights = batch.column("id").to_numpy(), shared.value.weights(grams, tf)
+            parts = np.round(weights * WEIGHT_SCALE).astype(np.int64) if weighted else np.empty(0, np.int64)
+            sizes = K.segment_sum(parts.view(np.uint64), at).view(np.int64) if weighted else np.diff(at).astype(kind)
+            keys = K.band_keys(sampler.sample(grams.view(np.uint64), weights, at), rows)
+            same = {"band": np.ones(keys.size, bool), "id": np.repeat(ids, bands), "n": np.repeat(sizes, bands), "pos": np.zeros(keys.size, kind)}
             yield pa.record_batch({"key": keys.ravel().view(np.int64), **same})
             rank = shared.value.rank(grams)
-            which, row, pos = K.prefixes(grams.view(np.uint64), rank, at, threshold)
+            which, row, pos = K.weighted_prefixes(grams.view(np.uint64), rank, parts, at, threshold - TOLERANCE) if weighted else K.prefixes(grams.view(np.uint64), rank, at, threshold)
             met = rank[which] > 0
             which, row, pos = which[met], row[met], pos[met]
-            yield pa.record_batch({"key": grams[which], "band": np.zeros(len(which), bool), "id": ids[row], "n": sizes[row], "pos": pos.astype(np.int32)})
+            yield pa.record_batch({"key": grams[which], "band": np.zeros(len(which), bool), "id": ids[row], "n": sizes[row], "pos": pos.astype(kind)})
 
-    return sets.where("n > 0").select("id", "grams", "tf").mapInArrow(kernel, "key bigint, band boolean, id bigint, n int, pos int")
+    place = "bigint" if weighted else "int"
+    return sets.where("n > 0").select("id", "grams", "tf").mapInArrow(kernel, f"key bigint, band boolean, id bigint, n {place}, pos {place}")
 
 
 def reachable(threshold: float) -> Column:
-    """Whether two sets whose first common shingle stands at these places can still reach the threshold; for bands, by size alone."""
+    """Whether two sets whose first common shingle stands at these places can still reach the threshold; for bands, by size alone.
+
+    Places and sizes are numbers of shingles, or both are weights.
+    """
     both = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return both * (1 + threshold) >= (F.col("na") + F.col("nb")) * threshold - 1e-6
+    return both * (1 + threshold) >= (F.col("na") + F.col("nb")) * (threshold - TOLERANCE)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -205,8 +216,8 @@ def near_duplicates(
 ) -> tuple[DataFrame, DataFrame]:
     """(links, members): links (a, b, likeness) between representatives, a < b, and members (id, rep).
 
-    Likeness is that of the sets of shingles, or with ``weighted`` the weighted Jaccard of their TF-IDF weights, for which
-    the bands alone give the candidates (a pair at 0.6 shares one of 40 bands of 3 with 0.9999). Null fields count as
+    Likeness is that of the sets of shingles, or with ``weighted`` the weighted Jaccard of their TF-IDF weights; the prefixes
+    are then measured by weight, so that they lose no pair by that likeness either. Null fields count as
     empty; rows with an empty set of shingles are linked to nothing and are no members. Repeated rows are members of one
     representative. ``row_id`` must be unique.
     """
@@ -219,10 +230,9 @@ def near_duplicates(
     one = members.where("id = rep").select("id").distinct()
     kept = written(sets.join(one, "id", "left_semi").select("id", "n", "grams", "tf"), "sets")
     scratch.drop()
-    keys = written(keyed(kept, known, threshold, bands, band_rows), "keys")
-    if weighted:
-        return verified_weighted(met_pairs(keys.where("band"), threshold), kept, known, threshold), members
-    return verified(met_pairs(keys, threshold), kept, threshold), members
+    keys = written(keyed(kept, known, threshold, bands, band_rows, weighted), "keys")
+    pairs = met_pairs(keys, threshold)
+    return (verified_weighted(pairs, kept, known, threshold) if weighted else verified(pairs, kept, threshold)), members
 
 
 SAMPLE_FIELDS = ("code_before", "code_after", "javadoc_after")

@@ -339,3 +339,33 @@ def test_format_duplicates(spark):
     assert rows(format_dups.found(df)) == [(1, 5), (2, 4), (8, 9)]
     assert sorted(r["copies"] for r in format_dups.collapsed(df).collect()) == [1, 2, 2, 2]
     assert format_dups.collapsed(df).where("collided").isEmpty()
+
+
+def test_crowded_bands_lose_no_weighted_link(spark):
+    shared = " ".join(f"s{i}" for i in range(62))
+    data = [(i, 0, None, shared, f"r{i}", None, None) for i in range(100)]
+    data += [(i, 0, None, " ".join(f"o{i}x{k}" for k in range(80)), None, None, None) for i in range(100, 400)]
+    expected = [(a, b) for a in range(100) for b in range(a + 1, 100)]
+    got = rows(near_dups.weighted_links(spark.createDataFrame(data, SAMPLES)))
+    common, own = 60 * (np.log(401 / 101) + 1), np.log(401 / 2) + 1
+    assert [r[:2] for r in got] == expected and all(abs(r[2] - common / (common + 2 * own)) < 0.01 for r in got)
+
+
+def test_weighted_prefixes_meet():
+    rng = np.random.default_rng(11)
+    member = rng.choice(1 << 40, 60, replace=False).astype(np.uint64)
+    weight, rank = rng.integers(1, 40, 60), rng.integers(0, 4, 60).astype(float)
+    sets = [np.sort(rng.permutation(60)[: rng.integers(1, 60)]) for _ in range(120)]
+    at = np.cumsum([0, *map(len, sets)])
+    every = np.concatenate(sets)
+    which, row, before = kernels.weighted_prefixes(member[every], rank[every], weight[every], at, 0.5)
+    first = [dict(zip(every[which[row == i]].tolist(), before[row == i].tolist(), strict=True)) for i in range(len(sets))]
+    met = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = weight[np.intersect1d(a, sets[j])].sum()
+            if 2 * both >= weight[np.union1d(a, sets[j])].sum():
+                common = first[i].keys() & first[j].keys()
+                assert any(weight[s].sum() - first[k][c] >= both for c in common for k, s in ((i, a), (j, sets[j])))
+                met += 1
+    assert met > 100
