@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..storage import Scratch, fresh_path, noted
+from ..storage import Scratch, collect_garbage, fresh_path, noted
 from . import kernels as K
 from .forest import DEPTH, EXACT, TREES, WIDTH, Forest, labels_of
 from .near_dups import likeness, shingle_table
@@ -257,6 +257,7 @@ def decisions(samples: DataFrame, forest: Forest | None = None) -> DataFrame:
     sizes = {r["batch"]: r["count"] for r in tables[0].groupBy("batch").count().collect()}
     for number, size in sorted(sizes.items()):
         check_batch(forest, number, size, *[t.where(F.col("batch") == number) for t in tables], accept_all=number <= 0)
+        collect_garbage(spark)
     scratch.drop()
     paths = [forest.batches[str(n)] for n in sizes]
     schema = "id bigint, accepted boolean"

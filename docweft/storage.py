@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import zipfile
@@ -71,6 +72,15 @@ def noted(seen: Observation, name: str) -> int:
         raise
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Lets go of what finished queries hold: Spark drops their shuffle files and broadcasts once the driver's objects are collected.
+
+    For jobs of many queries on a driver whose heap would otherwise grow to its limit before it is collected as a whole.
+    """
+    gc.collect()  # Python's references keep the driver's objects
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """Tables written for one job, deleted together once nothing reads them any more."""
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -369,3 +370,13 @@ def test_weighted_prefixes_meet():
                 assert any(weight[s].sum() - first[k][c] >= both for c in common for k, s in ((i, a), (j, sets[j])))
                 met += 1
     assert met > 100
+
+
+def test_batches_let_go_of_their_broadcasts(spark):
+    held = spark.sparkContext._jsc.sc().env().memoryManager()
+    before = held.storageMemoryUsed()
+    batch_dedup.decisions(spark.createDataFrame(_samples(12), SAMPLES))
+    ends = time.monotonic() + 20
+    while held.storageMemoryUsed() > before + (20 << 20) and time.monotonic() < ends:
+        time.sleep(0.2)
+    assert held.storageMemoryUsed() <= before + (20 << 20)
